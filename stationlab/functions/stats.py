@@ -69,9 +69,8 @@ def cohens_d(value: Column, first: Column, second: Column) -> Column:
     """Standardised mean difference of two groups of rows, with pooled sample variance."""
     a, b = F.when(first, value), F.when(second, value)
     na, nb = F.count(a), F.count(b)
-    pooled = F.try_divide(
-        (na - 1) * F.var_samp(a) + (nb - 1) * F.var_samp(b), (na + nb - 2).cast("double")
-    )
+    spread = [F.coalesce((n - 1) * F.var_samp(x), F.lit(0.0)) for n, x in ((na, a), (nb, b))]
+    pooled = F.try_divide(spread[0] + spread[1], (na + nb - 2).cast("double"))
     return F.try_divide(F.avg(a) - F.avg(b), F.sqrt(pooled))
 
 
