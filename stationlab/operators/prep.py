@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stationlab.functions.scalars import physical_value
 from stationlab.operators.joins import map_state_to_region, station_key
-from stationlab.schemas import ELEMENTS
+from stationlab.schemas import ELEMENTS, STATION_TEXT_FIELDS
 
 
 def clean_observations(raw: DataFrame) -> DataFrame:
@@ -35,8 +35,6 @@ def parse_stations_fixed_width(lines: DataFrame) -> DataFrame:
 
     Short lines and lines of other networks are skipped, a blank elevation counts as 0, and
     stations of no known region are dropped."""
-    from stationlab.schemas import STATION_TEXT_FIELDS
-
     fields = {
         name: F.trim(F.substring("value", start, length))
         for name, (start, length) in STATION_TEXT_FIELDS.items()
