@@ -198,7 +198,7 @@ WIND_SUMMARY = f"""avg(avg_range_before) AS avg_range_before,
   avg(avg_range_after) AS avg_range_after, avg(range_change) AS avg_range_change,
   stddev_samp(range_change) AS std_range_change, count(*) AS num_events,
   {rate('range_change < 0', 'true')} AS moderation_rate, CAST(7 AS INTEGER) AS lag_days,
-  'ok' AS status"""
+  CASE WHEN count(*) = 0 THEN 'No complete events' ELSE 'ok' END AS status"""
 
 MELT_SUMMARY = f"""{corr('snowmelt_doy', 'spring_prcp')} AS correlation,
   {corr('melt_anomaly_std', 'prcp_anomaly_std')} AS correlation_standardized,

@@ -141,32 +141,59 @@ def count_distinct_keys(obs: DataFrame) -> DataFrame:
 
 
 def dataset_profile(obs: DataFrame) -> DataFrame:
-    """Long-form profile (section, key, value): overall figures, rows per element and year."""
+    """Long-form profile (section, key, value): overall figures, rows per element and year.
+
+    The readings are read once. Their counts per station, element and year are summed by
+    station, by element and by year together, and the stations are then summed up."""
     cube = obs.groupBy("STATION", "ELEMENT", "year").agg(
         _rows().alias("n"), F.min("DATE").alias("first"), F.max("DATE").alias("last")
     )
-    n = F.sum("n").cast("double")
-    overall = (
-        cube.groupBy("STATION", "year")
-        .agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
+    sets = [[F.col("STATION")], [F.col("ELEMENT")], [F.col("year")]]
+    section = (
+        F.when(F.grouping("ELEMENT") == 0, "element")
+        .when(F.grouping("year") == 0, "year")
+        .otherwise("overall")
+    )
+    key = F.coalesce(F.col("ELEMENT"), F.col("year").cast("string"))
+    figures = (
+        cube.groupingSets(sets, "STATION", "ELEMENT", "year")
         .agg(
-            n.alias("records"),
-            F.count_distinct("STATION").cast("double").alias("stations"),
-            F.count_distinct("year").cast("double").alias("years"),
-            F.min("first").cast("double").alias("min_date"),
-            F.max("last").cast("double").alias("max_date"),
-            F.try_divide(n, F.count_distinct("STATION")).alias("records_per_station"),
+            section.alias("section"),
+            F.sum("n").alias("n"),
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
         )
-    )
-    names = ["records", "stations", "years", "min_date", "max_date", "records_per_station"]
-    parts = [_long_form(overall, names, "key", "value").select(F.lit("overall"), "key", "value")]
-    for section, column in (("element", "ELEMENT"), ("year", "year")):
-        parts.append(
-            cube.groupBy(column)
-            .agg(n.alias("value"))
-            .select(F.lit(section), F.col(column).cast("string").alias("key"), "value")
+        .groupBy("section", key.alias("key"))
+        .agg(
+            F.sum("n").cast("double").alias("n"),
+            _rows().cast("double").alias("stations"),
+            F.min("first").cast("double").alias("first"),
+            F.max("last").cast("double").alias("last"),
+        )
+        .withColumn(
+            "years",
+            F.count_if(F.col("section") == "year")
+            .over(Window.partitionBy(F.lit(0)))
+            .cast("double"),
         )
-    return parts[0].union(parts[1]).union(parts[2]).toDF("section", "key", "value")
+    )
+    overall = {
+        "records": F.col("n"),
+        "stations": F.col("stations"),
+        "years": F.col("years"),
+        "min_date": F.col("first"),
+        "max_date": F.col("last"),
+        "records_per_station": F.try_divide("n", "stations"),
+    }
+
+    def entry(name: Column, value: Column) -> Column:
+        return F.struct(name.alias("key"), value.alias("value"))
+
+    entries = F.when(
+        F.col("section") == "overall",
+        F.array(*[entry(F.lit(name), value) for name, value in overall.items()]),
+    ).otherwise(F.array(entry(F.col("key"), F.col("n"))))
+    return figures.select("section", F.inline(entries))
 
 
 def expected_vs_actual(

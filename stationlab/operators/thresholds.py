@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from stationlab.operators.joins import salted_lookup
 
 
+def keyed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows on which all key columns are known.
+
+    Stated up front, the test is the same in every branch that reads the rows, which keeps
+    their plans equal and lets Spark run a shared shuffle once."""
+    for name in columns:
+        df = df.filter(F.col(name).isNotNull())
+    return df
+
+
 def percentile_by_group(
     df: DataFrame,
     by: Sequence[str],
@@ -26,13 +36,19 @@ def percentile_by_group(
     ranks are ordered. No task ever holds more of a group than its slices or one slice of
     its distinct readings. NULL readings are ignored. `weight` is the multiplicity of a row."""
     by = list(by)
+    known = F.col(value).isNotNull()
+    # A NULL reading becomes a zero of weight 0: with no filter of its own, this branch shares
+    # the scan and the shuffle of its input with whatever else reads that input.
     readings = (
-        df.filter(F.col(value).isNotNull())
+        keyed(df, by)
         .select(
             *by,
-            F.floor(F.col(value) / F.lit(slice_width)).alias("_slice"),
-            F.col(value).cast("double").alias("_value"),
-            (F.lit(1) if weight is None else weight).cast("long").alias("_n"),
+            F.coalesce(F.floor(F.col(value) / F.lit(slice_width)), F.lit(0)).alias("_slice"),
+            F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("_value"),
+            F.when(known, F.lit(1) if weight is None else weight)
+            .otherwise(0)
+            .cast("long")
+            .alias("_n"),
         )
         .groupBy(*by, "_slice", "_value")
         .agg(F.sum("_n").alias("_n"))

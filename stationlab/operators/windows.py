@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from stationlab.operators.joins import salted_lookup
-from stationlab.operators.thresholds import percentile_by_group
+from stationlab.operators.thresholds import keyed, percentile_by_group
 
 
 def pivot_wide(
@@ -84,7 +84,11 @@ def extreme_days(
     Input rows are (STATION, DATE, VALUE, year). Output has one row per station and date:
     n_readings, n_extreme (strictly above the threshold), their sum and peak, and the sum,
     count and maximum of all known readings."""
-    readings = obs.groupBy("STATION", "year", "DATE", "VALUE").agg(F.count(F.lit(1)).alias("n"))
+    readings = (
+        keyed(obs, ["STATION", "year"])
+        .groupBy("STATION", "year", "DATE", "VALUE")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     limits = percentile_by_group(readings, by, "VALUE", p, weight=F.col("n"), name=threshold)
     n, value = F.col("n"), F.col("VALUE")
     extreme = value > F.col(threshold)

@@ -13,6 +13,9 @@ OBSERVATION = T.StructType(
     ]
 )
 
+# As stored in Parquet, partitioned by year.
+STORED_OBSERVATION = T.StructType([*OBSERVATION.fields, T.StructField("year", T.IntegerType())])
+
 RAW_DAILY = T.StructType(
     [
         T.StructField("STATION", T.StringType()),

@@ -5,27 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlab.functions.dates import derive_date_parts
+from stationlab.functions.dates import day_of, derive_date_parts, month_of
 from stationlab.operators.prep import parse_stations_fixed_width
 from stationlab.operators.sampling import sample_observations
-from stationlab.schemas import OBSERVATION, RAW_DAILY, STATION
+from stationlab.schemas import OBSERVATION, RAW_DAILY, STATION, STORED_OBSERVATION
 
 
 def read_observations(spark: SparkSession, path: str, format: str = "csv") -> DataFrame:
     """Long observations with year, month and day.
 
-    `path` may be CSV with a header, or the Parquet written by `write_clean_long`, where
-    filters on year, element and station prune files and row groups."""
+    `path` may be CSV with a header, or the Parquet written by `write_clean_long`. There the
+    year is the partition column, so that a filter on it opens the files of those years only,
+    and filters on element and station skip row groups."""
     if format == "parquet":
-        stored = spark.read.parquet(path).select(*OBSERVATION.fieldNames())
-        return derive_date_parts(stored)
+        stored = spark.read.schema(STORED_OBSERVATION).parquet(path)
+        return stored.withColumns({"month": month_of("DATE"), "day": day_of("DATE")})
     return derive_date_parts(spark.read.schema(OBSERVATION).csv(path, header=True))
 
 
 def read_year_range(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
     """Observations of some years from the partitioned Parquet; other years are not opened."""
-    stored = spark.read.parquet(path).filter(F.col("year").between(first, last))
-    return derive_date_parts(stored.select(*OBSERVATION.fieldNames()))
+    return read_observations(spark, path, "parquet").filter(F.col("year").between(first, last))
 
 
 def read_observations_sampled(

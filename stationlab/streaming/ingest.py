@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stationlab.functions.dates import year_of
+from stationlab.operators.joins import station_semi_join
 from stationlab.operators.prep import clean_observations
 from stationlab.schemas import RAW_DAILY
 
@@ -32,8 +32,7 @@ def ingest_years(
         .csv(source, header=False)
     )
     if station_ids is not None:
-        ids = station_ids.select(F.col(station_ids.columns[0]).alias("STATION"))
-        raw = raw.join(ids, "STATION", "left_semi")
+        raw = station_semi_join(raw, station_ids)
     rows = clean_observations(raw) if clean else raw
     query = (
         rows.withColumn("year", year_of("DATE"))
