@@ -26,11 +26,13 @@ def station_id(key: str):
 
 
 def ship_date():
-    return F.date_format("l_shipdate", "yyyyMMdd").cast("int")
+    day = F.col("l_shipdate").cast("date")
+    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
 def percent(column: str):
-    return F.round(F.col(column) * 100).cast("int")
+    """Nearest whole percent of a share that is not negative."""
+    return F.floor(F.col(column) * 100 + 0.5).cast("int")
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +67,9 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         station_id("l_suppkey").alias("STATION"),
         ship_date().alias("DATE"),
-        F.split_part(F.lit(RAW_ELEMENTS), F.lit(","), F.col("l_linenumber")).alias("ELEMENT"),
+        F.element_at(F.array(*map(F.lit, RAW_ELEMENTS.split(","))), F.col("l_linenumber")).alias(
+            "ELEMENT"
+        ),
         F.when(F.col("l_orderkey") % 97 == 0, None)
         .when(F.col("l_orderkey") % 89 == 0, -quantity)
         .otherwise(quantity)

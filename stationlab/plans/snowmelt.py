@@ -49,7 +49,8 @@ def snow_and_rain(obs: DataFrame) -> DataFrame:
     snow_known = F.coalesce(snow, F.lit(False))
     amount = F.when(rain, F.col("VALUE"))
     return (
-        obs.filter(snow_known | rain)
+        obs.filter(F.col("ELEMENT").isin("SNWD", "PRCP") & month.isin(*SNOW_SEASON))
+        .filter(snow_known | rain)
         .groupBy("STATION", "year")
         .agg(
             *_named(_snow_columns(snow_known)),

@@ -24,7 +24,7 @@ def ingest_years(
 
     The file source remembers finished files in `checkpoint`, and the Parquet sink commits
     each batch as a whole, so every file is ingested once even after a failure. Runs until no
-    new file is left and returns the number of input rows read in this run."""
+    new file is left and returns the number of batches that had rows to add."""
     raw = (
         spark.readStream.schema(RAW_DAILY)
         .option("pathGlobFilter", pattern)
@@ -43,4 +43,4 @@ def ingest_years(
         .start(target)
     )
     query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    return sum(progress["numInputRows"] > 0 for progress in query.recentProgress)
