@@ -31,7 +31,10 @@ def salted_lookup(
 
     Each key of the table is repeated per salt and each row draws its salt from its own
     content, so the rows of a hot key spread over `salts` tasks whatever happens downstream.
-    `how` is inner, left or left_semi."""
+    With salts=1 it is a plain join, which keeps rows that are already placed by key where they
+    are. `how` is inner, left or left_semi."""
+    if salts == 1:
+        return rows.join(table, list(on), how)
     source = list(salt_by) if salt_by else [c for c in rows.columns if c not in on]
     salt = F.pmod(F.xxhash64(*source), F.lit(salts)).cast("int") if source else F.lit(0)
     repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -68,17 +71,23 @@ def station_regions(stations: DataFrame) -> DataFrame:
     )
 
 
-def attach_region(df: DataFrame, stations: DataFrame) -> DataFrame:
-    """Adds REGION to rows keyed by STATION; every row is kept."""
-    return salted_lookup(df.drop("REGION"), station_regions(stations), ["STATION"])
+def attach_region(df: DataFrame, stations: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Adds REGION to rows keyed by STATION; every row is kept.
 
+    Tables with one row per station and year or day need no salt (salts=1): the calendar
+    bounds what a station can hold."""
+    return salted_lookup(df.drop("REGION"), station_regions(stations), ["STATION"], salts=salts)
 
-def attach_elevation(df: DataFrame, stations: DataFrame) -> DataFrame:
-    """Adds ELEVATION and elev_band; rows of stations without an elevation are dropped."""
+
+def attach_elevation(df: DataFrame, stations: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Adds ELEVATION and elev_band; rows of stations without an elevation are dropped.
+
+    `salts` as in `attach_region`."""
     known = elevation_bands(
         stations.select(F.col(station_key(stations)).alias("STATION"), "ELEVATION")
     )
-    return salted_lookup(df.drop("ELEVATION", "elev_band"), known, ["STATION"], how="inner")
+    rows = df.drop("ELEVATION", "elev_band")
+    return salted_lookup(rows, known, ["STATION"], how="inner", salts=salts)
 
 
 def station_semi_join(df: DataFrame, station_ids: DataFrame) -> DataFrame:

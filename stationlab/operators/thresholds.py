@@ -27,14 +27,16 @@ def percentile_by_group(
     p: float,
     weight: Column | None = None,
     name: str = "threshold",
-    slice_width: float = 1.0,
+    slice_width: float = 0.1,
 ) -> DataFrame:
     """Exact interpolated percentile of `value` per group, safe for groups of any size.
 
     Equal readings are first counted, which Spark combines before the shuffle. The counts are
     then summed over slices of the value axis; only the one or two slices that hold the wanted
     ranks are ordered. No task ever holds more of a group than its slices or one slice of
-    its distinct readings. NULL readings are ignored. `weight` is the multiplicity of a row."""
+    its distinct readings. A slice is by default one step of readings in tenths; take a wider one
+    for values of a much larger range. NULL readings are ignored. `weight` is the multiplicity of
+    a row."""
     by = list(by)
     known = F.col(value).isNotNull()
     # A NULL reading becomes a zero of weight 0: with no filter of its own, this branch shares

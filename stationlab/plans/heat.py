@@ -79,7 +79,7 @@ def heat_summary(
         F.count_if(warm).alias("warm_spring_cases"),
         F.count_if(cool).alias("cool_spring_cases"),
         F.count(F.lit(1)).alias("sample_size"),
-        F.lit(percentile * 100.0).alias("heat_threshold_percentile"),
+        F.lit(round(percentile * 100.0, 6)).alias("heat_threshold_percentile"),
     )
 
 

@@ -77,12 +77,17 @@ def regional_consistency(
     heat = heat_detail(obs, heat_percentile, min_spring_days, min_years)
     melt = melt_precip_years(obs, min_days=min_days, min_years=min_years)
     wind = wind_days(obs, lag_days, min_days=min_wind_days)
+    winters = winter_detail(obs, min_days, min_years)
     region = ["REGION"]
+
+    def placed(detail: DataFrame) -> DataFrame:
+        return attach_region(detail, stations, salts=1)
+
     summaries = {
-        H1: winter_summary(attach_region(winter_detail(obs, min_days, min_years), stations), region),
-        H2: heat_summary(attach_region(heat, stations), region, heat_percentile),
-        H3: wind_summary(attach_region(wind, stations), region, lag_days),
-        H4: snowmelt_summary(attach_region(melt, stations), region),
+        H1: winter_summary(placed(winters), region),
+        H2: heat_summary(placed(heat), region, heat_percentile),
+        H3: wind_summary(placed(wind), region, lag_days),
+        H4: snowmelt_summary(placed(melt), region),
     }
     found = None
     for hypothesis, summary in summaries.items():

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Deciding metric of each analysis and the limit beyond which the hypothesis is supported.
+# Deciding metric of each analysis and the limit beyond which the hypothesis is supported.
 VERDICT_RULES = {
     "H1": ("correlation", "below", -0.1),
     "H2": ("correlation_days", "above", 0.1),
@@ -36,6 +36,7 @@ HEADLINES = {
     "H4": ["correlation", "sample_size", "early_melt_prcp_anomaly", "late_melt_prcp_anomaly"],
 }
 
+# Names of the analyses in the JSON document.
 DOCUMENT_NAMES = {
     "H1": "hypothesis_1_winter_precipitation",
     "H2": "hypothesis_2_spring_summer_heat",

@@ -169,7 +169,7 @@ def snowmelt_by_elevation(
 ) -> DataFrame:
     """The summary per elevation band. Baselines are per station: one pass serves all bands."""
     years = melt_precip_years(obs, min_snow_days, min_days, min_years)
-    return snowmelt_summary(attach_elevation(years, stations), ["elev_band"])
+    return snowmelt_summary(attach_elevation(years, stations, salts=1), ["elev_band"])
 
 
 def snowmelt_trends(obs: DataFrame) -> DataFrame:

@@ -21,49 +21,59 @@ def wind_days(
 ) -> DataFrame:
     """All days with the three readings, the station's wind threshold and the frames around.
 
-    One shuffle by station serves the percentile, the day count, the neighbours and the frames.
-    The table has one row per station and date, so a station holds its calendar days at most.
+    One shuffle by station serves the percentile, the day count, the neighbours and the frames,
+    and leaves the days placed by station for a later lookup. The table has one row per
+    station and date, so a station holds its calendar days at most.
+
     Days without a positive range stay in the table, so that the summary can tell missing
-    readings from missing events, but they take no part in thresholds or frames."""
+    readings from missing events. They take no part in thresholds and, ordered last and without
+    a range, none in frames either."""
     keep = [c for c in by if c != "STATION"]
-    group = [*by, "_usable"]
-    station = Window.partitionBy(*group)
-    in_order = station.orderBy("DATE")
+    station = Window.partitionBy(*by)
+    in_order = station.orderBy(F.desc("_usable"), "DATE")
+    usable = F.col("_usable")
     daily = (
         pivot_wide(obs, keep=keep)
         .withColumn("temp_range", F.col("TMAX") - F.col("TMIN"))
         .withColumn("_usable", F.coalesce(F.col("temp_range") > 0, F.lit(False)))
+        .withColumn("temp_range", F.when(usable, F.col("temp_range")))
+        .withColumn("_wind", F.when(usable, F.col("AWND")))
     )
     return (
         daily.withColumns(
             {
-                "wind_threshold": F.percentile("AWND", F.lit(percentile)).over(station),
-                "avg_wind": F.avg("AWND").over(station),
-                "total_days": F.count(F.lit(1)).over(station),
                 **lag_lead_columns("temp_range", n, in_order),
                 **before_after_columns(
                     "temp_range", n, in_order, "avg_range_before", "avg_range_after"
                 ),
             }
         )
+        .withColumns(
+            {
+                "wind_threshold": F.percentile("_wind", F.lit(percentile)).over(station),
+                "avg_wind": F.avg("_wind").over(station),
+                "total_days": F.count_if(usable).over(station),
+            }
+        )
         .withColumn("is_high_wind", F.col("AWND") > F.col("wind_threshold"))
         .withColumn("range_change", F.col("avg_range_after") - F.col("avg_range_before"))
         .withColumn(
             "_is_event",
             F.coalesce(
-                F.col("_usable")
+                usable
                 & (F.col("total_days") >= min_days)
                 & F.col("is_high_wind")
                 & F.col("range_change").isNotNull(),
                 F.lit(False),
             ),
         )
+        .drop("_usable", "_wind")
     )
 
 
 def high_wind_events(days: DataFrame) -> DataFrame:
     """Days above their station's wind percentile with complete frames before and after."""
-    return days.filter("_is_event").drop("_usable", "_is_event")
+    return days.filter("_is_event").drop("_is_event")
 
 
 def event_summary(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:

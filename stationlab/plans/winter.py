@@ -85,5 +85,5 @@ def winter_precip_by_region(
     obs: DataFrame, stations: DataFrame, min_days: int = 50, min_years: int = 5
 ) -> DataFrame:
     """The summary per region. Baselines are per station, so one pass serves all regions."""
-    detail = attach_region(winter_detail(obs, min_days, min_years), stations)
+    detail = attach_region(winter_detail(obs, min_days, min_years), stations, salts=1)
     return winter_summary(detail.filter(F.col("REGION").isNotNull()), ["REGION"])

@@ -58,13 +58,16 @@ KEY_ELEMENTS = ["TMAX", "TMIN", "PRCP", "AWND", "SNWD"]
 
 # States of each region for the analyses.
 REGION_STATES = {
-    "Northeast": "ME NH VT MA RI CT NY NJ PA",
-    "Southeast": "DE MD VA WV NC SC GA FL AL MS LA AR TN KY",
-    "Midwest": "OH IN IL MI WI MN IA MO ND SD NE KS",
-    "Southwest": "TX OK NM AZ",
-    "West": "CA NV UT CO WY MT ID OR WA",
-    "Alaska": "AK",
-    "Hawaii": "HI",
+    "Northeast": ["ME", "NH", "VT", "MA", "RI", "CT", "NY", "NJ", "PA"],
+    "Southeast": [
+        "DE", "MD", "VA", "WV", "NC", "SC", "GA", "FL", "AL", "MS", "LA", "AR", "TN",
+        "KY",
+    ],
+    "Midwest": ["OH", "IN", "IL", "MI", "WI", "MN", "IA", "MO", "ND", "SD", "NE", "KS"],
+    "Southwest": ["TX", "OK", "NM", "AZ"],
+    "West": ["CA", "NV", "UT", "CO", "WY", "MT", "ID", "OR", "WA"],
+    "Alaska": ["AK"],
+    "Hawaii": ["HI"],
 }
 REGIONS = list(REGION_STATES)
 
@@ -113,7 +116,7 @@ ELEVATION_BANDS = [("Low (<500m)", 500.0), ("Mid (500-1500m)", 1500.0), ("High (
 
 def state_regions(selection: bool = False) -> list[tuple[str, str]]:
     """(STATE, REGION) pairs; `selection` uses the map of the station selection step."""
-    pairs = {s: region for region, states in REGION_STATES.items() for s in states.split()}
+    pairs = {s: region for region, states in REGION_STATES.items() for s in states}
     if selection:
         pairs.update(SELECTION_OVERRIDES)
     return sorted(pairs.items())
