@@ -29,14 +29,16 @@ def salted_lookup(
 ) -> DataFrame:
     """Equi-join of many `rows` with a `table` that has one row per key.
 
-    Each key of the table is repeated per salt and each row draws its salt from its own
-    content, so the rows of a hot key spread over `salts` tasks whatever happens downstream.
+    Each key of the table is repeated per salt and each row draws its salt from its content and
+    its input partition, so the rows of a hot key spread over `salts` tasks whatever happens
+    downstream, exact copies included. A repeated task gives its rows the same salts again.
     With salts=1 it is a plain join, which keeps rows that are already placed by key where they
     are. `how` is inner, left or left_semi."""
     if salts == 1:
         return rows.join(table, list(on), how)
     source = list(salt_by) if salt_by else [c for c in rows.columns if c not in on]
-    salt = F.pmod(F.xxhash64(*source), F.lit(salts)).cast("int") if source else F.lit(0)
+    content = F.pmod(F.xxhash64(*source), F.lit(salts)) if source else F.lit(0)
+    salt = F.pmod(content + F.spark_partition_id(), F.lit(salts)).cast("int")
     repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")
 

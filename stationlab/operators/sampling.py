@@ -61,15 +61,17 @@ def regional_random_sample(
 def numbered_within(df: DataFrame, group: str, order: list[str]) -> DataFrame:
     """Adds the 0-based `position` and the `group_size` of each row in its group.
 
-    `order` must be unique within the group. The rows are range-partitioned, so one group may
-    span many tasks; positions are the place in the partition plus the rows of the group in
-    earlier partitions. The ordered rows are checkpointed because both counts must see the same
-    partitions."""
+    The rows are range-partitioned, so one group may span many tasks; positions are the place
+    in the partition plus the rows of the group in earlier partitions. Rows that are equal in
+    `order` follow their input partition, which keeps a mass of copies from ending up in one
+    task. The ordered rows are checkpointed because both counts must see the same partitions."""
+    keys = [group, *order, "_input"]
     placed = durable(
-        df.repartitionByRange(group, *order)
-        .sortWithinPartitions(group, *order)
+        df.withColumn("_input", F.spark_partition_id())
+        .repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
         .select(
-            "*",
+            *df.columns,
             F.spark_partition_id().alias("_part"),
             F.monotonically_increasing_id().alias("_row"),
         )

@@ -147,6 +147,22 @@ def test_positions_of_a_group_that_spans_partitions(spark):
         assert (part.group_size == len(part)).all()
 
 
+def test_copies_are_numbered_over_several_tasks(spark):
+    df = spark.range(4000, numPartitions=16).select(
+        F.lit("West").alias("REGION"), F.lit(1.0).alias("ELEVATION"), F.lit("S").alias("STATION_ID")
+    )
+    numbered = sampling.numbered_within(df, "REGION", ["ELEVATION", "STATION_ID"])
+    assert sorted(r.position for r in numbered.collect()) == list(range(4000))
+    assert sampling.even_spaced_sample(df, {"West": 10}).count() == 10
+
+
+def test_copies_of_a_row_get_several_salts(spark):
+    rows = spark.range(1000, numPartitions=8).select(F.lit("A").alias("k"), F.lit(1).alias("v"))
+    table = spark.createDataFrame([("A", "x")], "k string, w string")
+    joined = joins.salted_lookup(rows, table.withColumn("seen", F.lit(1)), ["k"])
+    assert joined.count() == 1000 and joined.filter("w = 'x'").count() == 1000
+
+
 def test_station_sample_keeps_whole_stations(spark):
     obs = observation_rows(spark, [(f"S{i}", 20200101 + d, "PRCP", 1.0) for i in range(60) for d in range(3)])
     kept = sampling.sample_observations(obs, 0.5)
