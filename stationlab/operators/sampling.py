@@ -58,7 +58,17 @@ def regional_random_sample(
     )
 
 
-def numbered_within(df: DataFrame, group: str, order: list[str]) -> DataFrame:
+# Tables of at most this many short rows are broadcast; the bound is known before they run.
+BROADCAST_ROWS = 500_000
+
+
+def _broadcast_up_to(df: DataFrame, most_rows: int) -> DataFrame:
+    return F.broadcast(df) if most_rows <= BROADCAST_ROWS else df
+
+
+def numbered_within(
+    df: DataFrame, group: str, order: list[str], most_groups: int | None = None
+) -> DataFrame:
     """Adds the 0-based `position` and the `group_size` of each row in its group.
 
     The rows are range-partitioned, so one group may span many tasks; positions are the place
@@ -89,6 +99,9 @@ def numbered_within(df: DataFrame, group: str, order: list[str]) -> DataFrame:
         ).alias("_offset"),
         F.sum("_n").over(Window.partitionBy(group)).alias("group_size"),
     )
+    if most_groups is not None:
+        # Ranges share a partition only at their ends: one row per partition and group.
+        parts = _broadcast_up_to(parts, placed.rdd.getNumPartitions() + most_groups)
     return (
         placed.join(parts, [group, "_part"])
         .withColumn("position", F.col("_offset") + F.col("_row") - F.col("_start"))
@@ -115,7 +128,10 @@ def even_spaced_sample(
     by station id."""
     key = station_key(stations)
     order = numbered_within(
-        stations.filter(F.col("REGION").isin(*quotas)), "REGION", ["ELEVATION", key]
+        stations.filter(F.col("REGION").isin(*quotas)),
+        "REGION",
+        ["ELEVATION", key],
+        most_groups=len(quotas),
     )
     quota = _quota_table(stations, quotas)
     ranked = order.join(quota, "REGION")
@@ -130,7 +146,9 @@ def even_spaced_sample(
     whole = ranked.filter(F.col("group_size") <= F.col("_quota")).select(*stations.columns)
     spread = (
         ranked.filter(F.col("group_size") > F.col("_quota"))
-        .join(wanted, ["REGION", "position"], "left_semi")
+        .join(
+            _broadcast_up_to(wanted, sum(quotas.values())), ["REGION", "position"], "left_semi"
+        )
         .select(*stations.columns)
     )
     return whole.unionByName(spread)

@@ -33,21 +33,22 @@ def heat_wave_metrics(flags: DataFrame) -> DataFrame:
     )
 
 
-def spring_anomalies(obs: DataFrame, min_days: int = 75, min_years: int = 5) -> DataFrame:
-    """Mean spring maximum per station-year and its standardised anomaly."""
-    springs = seasonal_means(obs, "TMAX", SPRING, min_days).withColumnRenamed(
-        "std", "spring_temp_std"
+def spring_means(obs: DataFrame, min_days: int = 75) -> DataFrame:
+    """Mean spring maximum per station-year."""
+    return seasonal_means(obs, "TMAX", SPRING, min_days).withColumnsRenamed(
+        {"mean": "spring_avg_tmax", "days": "spring_days", "std": "spring_temp_std"}
     )
-    return with_baseline(springs, "mean", min_n=min_years, need_spread=True).select(
-        "STATION",
-        "year",
-        F.col("mean").alias("spring_avg_tmax"),
-        F.col("days").alias("spring_days"),
-        "spring_temp_std",
-        F.col("baseline").alias("baseline_spring_temp"),
-        F.col("std").alias("std_spring_temp"),
-        F.col("n").alias("num_years"),
-        F.try_divide(F.col("mean") - F.col("baseline"), F.col("std")).alias("spring_temp_anomaly"),
+
+
+def with_spring_anomaly(springs: DataFrame, min_years: int = 5) -> DataFrame:
+    """Springs with their station's baseline and the standardised anomaly."""
+    difference = F.col("spring_avg_tmax") - F.col("baseline")
+    return (
+        with_baseline(springs, "spring_avg_tmax", min_n=min_years, need_spread=True)
+        .withColumn("spring_temp_anomaly", F.try_divide(difference, F.col("std")))
+        .withColumnsRenamed(
+            {"baseline": "baseline_spring_temp", "std": "std_spring_temp", "n": "num_years"}
+        )
     )
 
 
@@ -56,10 +57,12 @@ def heat_detail(
 ) -> DataFrame:
     """Spring station-years with the heat-wave metrics of the same year's summer.
 
-    A year without summer rows has no heat-wave days and no intensity."""
+    A year without summer rows has no heat-wave days and no intensity. Both sides are placed by
+    station-year when they meet; the baseline comes last, so that only its shuffle is added."""
     metrics = heat_wave_metrics(summer_flags(obs, percentile))
-    joined = spring_anomalies(obs, min_days, min_years).join(metrics, ["STATION", "year"], "left")
-    return fill_missing_counts(joined, ["heat_wave_days", "extreme_days"])
+    joined = spring_means(obs, min_days).join(metrics, ["STATION", "year"], "left")
+    counted = fill_missing_counts(joined, ["heat_wave_days", "extreme_days"])
+    return with_spring_anomaly(counted, min_years)
 
 
 def heat_summary(
