@@ -42,7 +42,7 @@ def coverage_overall(obs: DataFrame) -> DataFrame:
 
 def coverage_by_element(obs: DataFrame) -> DataFrame:
     """Rows of each element and their share of all rows, most frequent first."""
-    everything = Window.partitionBy(F.lit(0))
+    everything = Window.partitionBy(F.lit(0))  # one row per element by then
     return (
         obs.groupBy("ELEMENT")
         .agg(_rows().alias("records"))
@@ -173,7 +173,7 @@ def dataset_profile(obs: DataFrame) -> DataFrame:
         .withColumn(
             "years",
             F.count_if(F.col("section") == "year")
-            .over(Window.partitionBy(F.lit(0)))
+            .over(Window.partitionBy(F.lit(0)))  # one row per element and year by then
             .cast("double"),
         )
     )
@@ -225,7 +225,7 @@ def yearly_counts(obs: DataFrame) -> DataFrame:
 
 def first_last_years(obs: DataFrame, n: int = 5) -> DataFrame:
     """The first n and the last n years with their rows."""
-    years = Window.partitionBy(F.lit(0))
+    years = Window.partitionBy(F.lit(0))  # one row per year by then
     return (
         yearly_counts(obs)
         .withColumns(

@@ -1,4 +1,4 @@
-"""Table schemas and the fixed reference values of the domain."""
+"""Table schemas and the fixed values of the domain."""
 
 from __future__ import annotations
 

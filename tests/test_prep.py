@@ -188,3 +188,10 @@ def test_merge_inserts_overwrites_and_folds_repeated_keys(spark):
         ("A", None, "old"), ("B", 20.0, "old"), ("C", 31.0, "first"), ("D", None, "x"),
         ("E", None, "old"),
     ]
+
+
+def test_merge_without_an_order_keeps_keys_unique(spark):
+    target = spark.createDataFrame([("A", 1.0)], "k string, v double")
+    updates = spark.createDataFrame([("A", 3.0), ("A", 2.0), ("B", 5.0), ("B", 4.0)], "k string, v double")
+    merged = keyed_merge(target, updates, ["k"], ["v"])
+    assert sorted(map(tuple, merged.collect())) == [("A", 3.0), ("B", 5.0)]
