@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationlab.llm import mixing, sharding, token_files
+from stationlab.llm import mixing, sharding, token_files, toxicity
 from stationlab.llm.common import table
 from stationlab.llm.sql import SQL as SQL
 from stationlab.session import scratch_path
@@ -30,6 +30,11 @@ def op2_token_files(spark, sf_dir):
     return token_files.read_token_files(spark, folder)
 
 
+@query
+def op4_compression_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op9_sampled_splitters(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
