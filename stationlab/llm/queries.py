@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationlab.llm import mixing, sharding, token_files, toxicity
+from stationlab.llm import decontamination, mixing, sharding, token_files, toxicity, warc
 from stationlab.llm.common import table
 from stationlab.llm.sql import SQL as SQL
 from stationlab.session import scratch_path
@@ -35,6 +35,20 @@ def op4_compression_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op6_warc_salvage(spark, sf_dir):
+    folder = scratch_path(spark, "archives")
+    files = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.page_records(warc.read_archives(spark, folder, files))
+
+
+@query
+def op8_pigeonhole_decontamination(spark, sf_dir):
+    return decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 @query
 def op9_sampled_splitters(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))

@@ -3,6 +3,20 @@
 WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 SQL = {
+    "op6_warc_salvage": """
+WITH rows AS (
+    SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n
+    FROM pages
+), judged AS (
+    SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END
+              AS first
+    FROM rows
+)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM judged
+""",
     "op10_fair_queue_mix": rf"""
 WITH thin AS (
     SELECT doc_id, source, CAST({WORDS} AS BIGINT) AS size,
