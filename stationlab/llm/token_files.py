@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,8 @@ from stationlab.llm.common import Published, opened
 SEQ_LEN = 2048
 BATCH = 64
 END_ID = 1
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 1_000_000
+TOGETHER = 64
 INDEX = "doc_id long, part int, file string, place long, n_tokens long"
 
 
@@ -35,11 +37,22 @@ def file_schema(seq_len: int, ids: pa.DataType) -> pa.Schema:
     )
 
 
+def parted(run: str) -> tuple[str, str]:
+    """A run as two pieces with the same ids: full stops and commas after a letter or digit are
+    always tokens of their own, and case never matters outside special tokens."""
+    core = run.rstrip(".,")
+    if not core or not (core[-1].isalpha() or core[-1] in "0123456789"):
+        core = run
+    tail = run[len(core) :]
+    return (core.lower() if core.isascii() and "<" not in core else core), tail
+
+
 class Encoder:
     """Encodes texts, asking the tokenizer once for each distinct run between ASCII white space.
 
-    Valid for tokenizers that split at white space and drop it, as the given one does: the ids of
-    a text are then those of its runs, one after another.
+    Valid for tokenizers that, as the given one, drop white space, ignore case and split letters
+    from punctuation: the ids of a text are then those of its runs, one after another. At most
+    KNOWN_WORDS pieces are remembered; beyond that the memory starts anew.
     """
 
     def __init__(self, path: str):
@@ -53,24 +66,40 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat: list[np.ndarray] = [np.zeros(0, self.type)]
-        self.lengths = np.zeros(0, np.int64)
-
-    def learn(self, words: list[str]) -> np.ndarray:
-        """Numbers of the words in the table of known ones."""
-        if len(self.known) + len(words) > KNOWN_WORDS:
+        self.known: dict[str, int] = {"": 0}
+        self.flat = np.zeros(0, self.type)
+        self.lengths = np.zeros(1, np.int64)
+        self.starts = np.zeros(2, np.int64)
+
+    def learn(self, runs: list[str]) -> np.ndarray:
+        """Two numbers of known pieces for each run."""
+        pieces = [piece for run in runs for piece in parted(run)]
+        if len(self.known) + len(pieces) > KNOWN_WORDS:
             self.forget()
-        new = [w for w in words if w not in self.known]
+        new = list(dict.fromkeys(x for x in pieces if x not in self.known))
         if new:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter((i for x in found for i in x), self.type, int(sizes.sum()))
-            self.flat = [np.concatenate([*self.flat, ids])]
+            ids, sizes = self.ask(new)
+            self.flat = np.concatenate([self.flat, ids])
             self.lengths = np.concatenate([self.lengths, sizes])
             self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
-        return np.fromiter((self.known[w] for w in words), np.int64, len(words))
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+
+    def ask(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids per word) from the tokenizer, which gets a few words at a time as one text;
+        a token belongs to the word in which it begins."""
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        ids, sizes = [], []
+        for low in range(0, len(groups), TOGETHER):
+            some = groups[low : low + TOGETHER]
+            found = self.tokenizer.encode_batch([" ".join(g) for g in some], add_special_tokens=False)
+            for group, coded in zip(some, found):
+                ends = np.cumsum(np.fromiter(map(len, group), np.int64, len(group)) + 1)
+                begins = np.array([begin for begin, _ in coded.offsets], np.int64)
+                owner = np.searchsorted(ends, begins, side="right")
+                sizes.append(np.bincount(owner, minlength=len(group)))
+                ids.append(np.array(coded.ids, self.type))
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per text), without end ids; a null text counts as empty."""
@@ -79,12 +108,19 @@ class Encoder:
         offsets = np.asarray(runs.offsets, dtype=np.int64) - int(runs.offsets[0].as_py())
         if not len(coded):
             return np.zeros(0, self.type), np.zeros(len(texts), np.int64)
-        number = self.learn(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
+        pairs = self.learn(coded.dictionary.to_pylist()).reshape(-1, 2)
+        number = pairs[np.asarray(coded.indices)].ravel()
         sizes = self.lengths[number]
         ends = np.cumsum(sizes)
         at = np.repeat(self.starts[number] - (ends - sizes), sizes) + np.arange(ends[-1])
-        per_text = np.diff(np.concatenate([[0], ends])[offsets])
-        return self.flat[0][at], per_text
+        per_text = np.diff(np.concatenate([[0], ends])[2 * offsets])
+        return self.flat[at], per_text
+
+
+@cache
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this Python process: what one task has learnt serves the next."""
+    return Encoder(path)
 
 
 def _close_documents(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> np.ndarray:
@@ -106,7 +142,7 @@ def write_token_files(
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         schema = file_schema(seq_len, pa.from_numpy_dtype(encoder.type))
         part = TaskContext.get().partitionId()
         out = sink = None
