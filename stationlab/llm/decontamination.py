@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RATE = 0.08
+RATE = 0.06
 MIN_CHARS = 24
 BLOCK_BYTES = 16_000_000
 

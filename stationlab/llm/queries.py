@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stationlab.llm import decontamination, mixing, sharding, token_files, toxicity, warc
-from stationlab.llm.common import table
+from stationlab.llm import chat, decontamination, language, mixing, sharding, token_files, toxicity, warc
+from stationlab.llm.common import stored, table
 from stationlab.llm.sql import SQL as SQL
 from stationlab.session import scratch_path
 
@@ -35,6 +36,21 @@ def op4_compression_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+# A conversation whose texts look like the template.
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+@query
+def op5_typed_chat(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame(
+        [(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)],
+        "conv_id long, turn long, role string, text string",
+    )
+    turns = given.unionByName(tricky).withColumn("parts", chat.text_parts(F.col("text")))
+    return chat.read_chats(stored(chat.format_chats(turns), "chats"))
+
+
 @query
 def op6_warc_salvage(spark, sf_dir):
     folder = scratch_path(spark, "archives")
@@ -42,6 +58,11 @@ def op6_warc_salvage(spark, sf_dir):
     return warc.page_records(warc.read_archives(spark, folder, files))
 
 
+@query
+def op7_kneser_ney_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_pigeonhole_decontamination(spark, sf_dir):
     return decontamination.contamination(

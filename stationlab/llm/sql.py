@@ -3,6 +3,28 @@
 WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 SQL = {
+    "op5_typed_chat": r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL
+    SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), said AS (
+    SELECT *, CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss,
+           4 + 2 + 9
+           + length(regexp_replace(role, '(\\|###|</turn>|<(?:image|audio|document):|[:\n])', '\\\1', 'g'))
+           + length(regexp_replace(text, '(\\|###|</turn>|<(?:image|audio|document):)', '\\\1', 'g'))
+           AS formatted
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(length(loss)) AS BIGINT) AS loss_chars,
+       sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
+       CAST(sum(formatted) AS BIGINT) AS formatted_chars
+FROM said GROUP BY conv_id
+""",
     "op6_warc_salvage": """
 WITH rows AS (
     SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n
