@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlab.llm import chat, decontamination, language, mixing, sharding, token_files, toxicity, warc
+from stationlab.llm import chat, decontamination, language, mixing, outliers, sharding, token_files, toxicity, warc
 from stationlab.llm.common import stored, table
 from stationlab.llm.sql import SQL as SQL
 from stationlab.session import scratch_path
@@ -31,6 +31,11 @@ def op2_token_files(spark, sf_dir):
     return token_files.read_token_files(spark, folder)
 
 
+@query
+def op3_robust_outliers(spark, sf_dir):
+    return outliers.judge(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_compression_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
