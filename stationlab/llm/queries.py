@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlab.llm import chat, decontamination, language, mixing, outliers, sharding, token_files, toxicity, warc
+from stationlab.llm import chat, decontamination, language, mixing, near_duplicates, outliers, sharding, token_files, toxicity, warc
 from stationlab.llm.common import stored, table
 from stationlab.llm.sql import SQL as SQL
 from stationlab.session import scratch_path
@@ -22,6 +22,11 @@ def query(build: Query) -> Query:
     return build
 
 
+@query
+def op1_order_minhash(spark, sf_dir):
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_token_files(spark, sf_dir):
     folder = scratch_path(spark, "token-files")
