@@ -18,6 +18,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationlab.llm.common import stored
+
 WINDOW = 12
 # The sample of labelled texts: whole texts, about so many bytes of each label.
 TOXIC_BYTES = 8_000_000
@@ -185,16 +187,21 @@ def sample(docs: DataFrame, labels: DataFrame) -> list[tuple[str, int]]:
         .agg(F.max("toxic").cast("int").alias("label"))
         .filter(~held_out(F.col("doc_id")))
     )
-    rows = docs.select("doc_id", "text").filter("text IS NOT NULL").join(known, "doc_id")
-    rows = rows.withColumn("h", F.xxhash64("doc_id", "text"))
-    totals = rows.groupBy("label").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()
+    sizes = docs.filter("text IS NOT NULL").groupBy("doc_id").agg(
+        F.sum(F.octet_length("text")).alias("bytes")
+    )
+    rows = stored(sizes.join(known, "doc_id"), "labelled")
+    totals = rows.groupBy("label").agg(F.sum("bytes").alias("bytes")).collect()
     share = {0: 1.0, 1: 1.0}
     for label, size in totals:
         share[label] = min(1.0, (ORDINARY_BYTES, TOXIC_BYTES)[label] / max(size, 1))
-    drawn = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
-    taken = rows.filter(
-        drawn <= F.when(F.col("label") == 1, F.lit(share[1])).otherwise(F.lit(share[0]))
-    ).select("h", "text", "label")
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))
+    drawn = rows.filter(
+        draw <= F.when(F.col("label") == 1, F.lit(share[1])).otherwise(F.lit(share[0]))
+    ).select("doc_id", "label")
+    # The drawn ids are as few as their texts are; so texts are read again, never shuffled.
+    taken = docs.filter("text IS NOT NULL").join(F.broadcast(drawn), "doc_id")
+    taken = taken.select(F.xxhash64("doc_id", "text").alias("h"), "text", "label")
     return [(text, label) for _, text, label in sorted(map(tuple, taken.collect()))]
 
 
