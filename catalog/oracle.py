@@ -258,11 +258,13 @@ check(
     f"""SELECT STATION, DATE, ELEMENT, CAST(VALUE AS DOUBLE) AS VALUE, {DATED}
 FROM raw WHERE substr(md5(concat(STATION, '42')), 1, 4) < '8000'""",
 )
-check("read_raw_yearly", RAW, "SELECT STATION, DATE, ELEMENT, VALUE, QFLAG FROM raw")
+check("read_raw_yearly", RAW, "SELECT STATION, DATE, ELEMENT, VALUE, CAST(NULL AS VARCHAR) AS MFLAG, QFLAG, '7' AS SFLAG, CAST(NULL AS VARCHAR) AS TIME FROM raw")
 check(
     "read_filtered_years",
     RAW,
-    """SELECT STATION, DATE // 10000 AS year, count(*) AS records, count(QFLAG) AS flagged
+    """SELECT STATION, DATE // 10000 AS year, CAST(DATE // 10000 AS INTEGER) AS file_year,
+       count(*) AS records, count(QFLAG) AS flagged, CAST(sum(VALUE) AS BIGINT) AS value_sum,
+       CAST(sum(DATE) AS BIGINT) AS date_sum
 FROM raw GROUP BY 1, 2""",
 )
 check(
@@ -371,7 +373,7 @@ check(
 check(
     "export_all_results",
     ALL_SUMMARIES,
-    "SELECT hypothesis, metric_name, metric_value, CAST(sample_size AS INTEGER) AS sample_size"
+    "SELECT hypothesis, metric_name, metric_value, sample_size"
     f" FROM ({LONG_ROWS}) WHERE metric_value IS NOT NULL",
     "metric_value",
 )
@@ -619,12 +621,12 @@ check(
     "coverage_key_elements",
     RAW,
     """SELECT e.ELEMENT, count(r.STATION) AS records,
-       100.0 * count(r.STATION) / (SELECT count(*) FROM raw WHERE ELEMENT <> 'SNWD') AS pct_records,
+       100.0 * count(r.STATION) / (SELECT count(*) FROM raw) AS pct_records,
        count(DISTINCT r.STATION) AS stations,
        100.0 * count(DISTINCT r.STATION)
-         / (SELECT count(DISTINCT STATION) FROM raw WHERE ELEMENT <> 'SNWD') AS pct_stations
-FROM (VALUES ('TMAX'), ('TMIN'), ('PRCP'), ('AWND'), ('SNWD')) e(ELEMENT)
-LEFT JOIN (SELECT * FROM raw WHERE ELEMENT <> 'SNWD') r ON e.ELEMENT = r.ELEMENT
+         / (SELECT count(DISTINCT STATION) FROM raw) AS pct_stations
+FROM (VALUES ('TMAX'), ('TMIN'), ('PRCP'), ('AWND'), ('SNWD'), ('EVAP')) e(ELEMENT)
+LEFT JOIN raw r ON e.ELEMENT = r.ELEMENT
 GROUP BY e.ELEMENT""",
     "pct_records pct_stations",
 )
@@ -728,7 +730,9 @@ FROM obs o JOIN obs_regions r ON o.STATION = r.STATION""",
     "observed",
 )
 check(
-    "source_file_profile", (), "SELECT 'lineitem.parquet' AS file_name, count(*) AS records FROM lineitem"
+    "source_file_profile", (), """SELECT 'lineitem.parquet' AS file_name, count(*) AS records, true AS has_bytes
+FROM lineitem
+UNION ALL SELECT 'orders.parquet', count(*), true FROM orders"""
 )
 check(
     "station_selection_stats",
@@ -796,7 +800,7 @@ check(
          count(*) OVER (PARTITION BY REGION) AS n
   FROM demo_regions s
   JOIN (VALUES ('Northeast', 53), ('Southeast', 47), ('Midwest', 1), ('West', 2),
-               ('Alaska', 100000)) q(REGION, k) USING (REGION)) t
+               ('Alaska', 100000), ('Southwest', 0), ('Hawaii', 3)) q(REGION, k) USING (REGION)) t
 WHERE n <= k OR (k = 1 AND p = 0) OR (k > 1 AND p = n - 1)
    OR (k > 1 AND p IN (SELECT CAST(floor(i * ((t.n - 1)::DOUBLE / (t.k - 1)::DOUBLE)) AS BIGINT)
                        FROM range(0, 100000) r(i) WHERE i < t.k - 1))""",
@@ -927,10 +931,10 @@ check(
     "regional_results_table",
     REGIONAL,
     """SELECT hypothesis, region, correlation,
-       CASE WHEN sample_size <> 0 THEN sample_size ELSE num_events END AS sample_size,
-       coalesce(nullif(moderation_rate, 0), compensation_rate) AS effect_size,
+       coalesce(sample_size, num_events) AS sample_size,
+       coalesce(moderation_rate, compensation_rate) AS effect_size,
        coalesce(abs(correlation) > 0.1, false)
-         OR coalesce(coalesce(nullif(moderation_rate, 0), compensation_rate) > 55, false)
+         OR coalesce(coalesce(moderation_rate, compensation_rate) > 55, false)
          AS significant
 FROM regional WHERE status = 'ok'""",
     "correlation effect_size",

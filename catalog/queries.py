@@ -21,7 +21,7 @@ from stationlab.operators import (
     windows,
 )
 from stationlab.plans import heat, regional, report, snowmelt, wind, winter
-from stationlab.schemas import LATE_SPRING, SPRING, SUMMER
+from stationlab.schemas import KEY_ELEMENTS, LATE_SPRING, SPRING, SUMMER
 from stationlab.session import scratch_path
 from stationlab.sinks import files as sink_files
 from stationlab.sinks import results
@@ -89,20 +89,28 @@ def read_observations_sampled(spark, sf_dir):
 def read_raw_yearly(spark, sf_dir):
     path = scratch_path(spark, "raw")
     adapter.raw(spark, sf_dir).write.option("compression", "gzip").csv(path)
-    return source_files.read_raw_yearly(spark, path).select(
-        "STATION", "DATE", "ELEMENT", "VALUE", "QFLAG"
-    )
+    return source_files.read_raw_yearly(spark, path)
 
 
 @query
 def read_filtered_years(spark, sf_dir):
     path = scratch_path(spark, "filtered")
     rows = adapter.raw(spark, sf_dir).withColumn("y", dates.year_of("DATE"))
-    rows.write.partitionBy("y").csv(path, header=True)
-    return (
-        source_files.read_filtered_years(spark, f"{path}/*")
-        .groupBy("STATION", dates.year_of("DATE").alias("year"))
-        .agg(F.count(F.lit(1)).alias("records"), F.count("QFLAG").alias("flagged"))
+    years = [r.y for r in rows.select("y").distinct().collect()]
+    for year in years:
+        rows.filter(F.col("y") == year).drop("y").write.csv(f"{path}/{year}", header=True)
+    # A year's file names are known from its folder; the column must name one of them.
+    read = None
+    for year in years:
+        part = source_files.read_filtered_years(spark, f"{path}/{year}/*").withColumn(
+            "file_year", F.when(F.col("source_file").startswith("part-"), F.lit(year)).cast("int")
+        )
+        read = part if read is None else read.unionAll(part)
+    return read.groupBy("STATION", dates.year_of("DATE").alias("year"), "file_year").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count("QFLAG").alias("flagged"),
+        F.sum("VALUE").alias("value_sum"),
+        F.sum("DATE").alias("date_sum"),
     )
 
 
@@ -501,9 +509,9 @@ def coverage_by_element(spark, sf_dir):
 
 @query
 def coverage_key_elements(spark, sf_dir):
-    """Over cleaned readings without snow depth, so that one element is absent."""
-    rows = adapter.raw(spark, sf_dir).filter("ELEMENT <> 'SNWD'")
-    return rounded(quality.coverage_key_elements(rows))
+    """Over all readings, with an element besides that never occurs."""
+    elements = [*KEY_ELEMENTS, "EVAP"]
+    return rounded(quality.coverage_key_elements(adapter.raw(spark, sf_dir), elements))
 
 
 @query
@@ -563,10 +571,13 @@ def expectation_report(spark, sf_dir):
 
 @query
 def source_file_profile(spark, sf_dir):
-    """Rows per input file of the order lines."""
-    return quality.source_file_profile(adapter.table(spark, sf_dir, "lineitem")).select(
-        "file_name", "records"
+    """Rows and bytes per input file of orders and order lines, read together."""
+    both = spark.read.schema("l_orderkey bigint, o_orderkey bigint").parquet(
+        f"{sf_dir}/lineitem.parquet", f"{sf_dir}/orders.parquet"
     )
+    profile = quality.source_file_profile(both)
+    has_bytes = (F.col("bytes") > 0) & (F.col("total_bytes") > F.col("bytes"))
+    return profile.select("file_name", "records", has_bytes.alias("has_bytes"))
 
 
 @query
@@ -615,6 +626,7 @@ def high_wind_events(spark, sf_dir):
 @query
 def even_spaced_sample(spark, sf_dir):
     quotas = {"Northeast": 53, "Southeast": 47, "Midwest": 1, "West": 2, "Alaska": 100_000}
+    quotas |= {"Southwest": 0, "Hawaii": 3}
     return sampling.even_spaced_sample(adapter.stations_demo_regions(spark, sf_dir), quotas)
 
 

@@ -1,9 +1,10 @@
 """Joins of observations with station-level tables.
 
 Station tables grow with the network, so none of them is broadcast by hand: Spark broadcasts
-a side whose measured size is under its limit and shuffles it otherwise. One station may hold
-a large share of the observations, so row-level lookups are salted. The only hand-made
-broadcast is the state map, which has one row per state.
+a side whose measured size is under its limit and shuffles it otherwise, splitting partitions
+that are too large. Filters and column pruning pass through these joins to the scan. A caller who
+knows of a hot station can ask for a sure split with `salts`. The only hand-made broadcast is the
+state map, which has one row per state.
 """
 
 from __future__ import annotations
@@ -16,29 +17,23 @@ from pyspark.sql import functions as F
 from stationlab.functions.scalars import elevation_bands
 from stationlab.schemas import state_regions
 
-SALTS = 8
-
-
 def salted_lookup(
     rows: DataFrame,
     table: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    salts: int = SALTS,
-    salt_by: Sequence[str] | None = None,
+    salts: int = 1,
+    salt_by: Sequence[str] = ("DATE",),
 ) -> DataFrame:
     """Equi-join of many `rows` with a `table` that has one row per key.
 
-    Each key of the table is repeated per salt and each row draws its salt from its content and
-    its input partition, so the rows of a hot key spread over `salts` tasks whatever happens
-    downstream, exact copies included. A repeated task gives its rows the same salts again.
-    With salts=1 it is a plain join, which keeps rows that are already placed by key where they
-    are. `how` is inner, left or left_semi."""
+    With salts=1 it is a plain join. With more, each key of the table is repeated per salt and a
+    row draws its salt from the `salt_by` columns alone, so the rows of a hot key spread over
+    `salts` tasks; filters on other columns still reach the scan, and only these columns are read
+    besides. `how` is inner, left or left_semi."""
     if salts == 1:
         return rows.join(table, list(on), how)
-    source = list(salt_by) if salt_by else [c for c in rows.columns if c not in on]
-    content = F.pmod(F.xxhash64(*source), F.lit(salts)) if source else F.lit(0)
-    salt = F.pmod(content + F.spark_partition_id(), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
     repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")
 
@@ -73,18 +68,15 @@ def station_regions(stations: DataFrame) -> DataFrame:
     )
 
 
-def attach_region(df: DataFrame, stations: DataFrame, salts: int = SALTS) -> DataFrame:
-    """Adds REGION to rows keyed by STATION; every row is kept.
-
-    Tables with one row per station and year or day need no salt (salts=1): the calendar
-    bounds what a station can hold."""
+def attach_region(df: DataFrame, stations: DataFrame, salts: int = 1) -> DataFrame:
+    """Adds REGION to rows keyed by STATION; every row is kept. `salts` as in `salted_lookup`."""
     return salted_lookup(df.drop("REGION"), station_regions(stations), ["STATION"], salts=salts)
 
 
-def attach_elevation(df: DataFrame, stations: DataFrame, salts: int = SALTS) -> DataFrame:
+def attach_elevation(df: DataFrame, stations: DataFrame, salts: int = 1) -> DataFrame:
     """Adds ELEVATION and elev_band; rows of stations without an elevation are dropped.
 
-    `salts` as in `attach_region`."""
+    `salts` as in `salted_lookup`."""
     known = elevation_bands(
         stations.select(F.col(station_key(stations)).alias("STATION"), "ELEVATION")
     )
@@ -92,10 +84,10 @@ def attach_elevation(df: DataFrame, stations: DataFrame, salts: int = SALTS) ->
     return salted_lookup(rows, known, ["STATION"], how="inner", salts=salts)
 
 
-def station_semi_join(df: DataFrame, station_ids: DataFrame) -> DataFrame:
-    """Rows of the listed stations. The id list has one column."""
-    ids = station_ids.select(F.trim(F.col(station_ids.columns[0])).alias("STATION")).distinct()
-    return salted_lookup(df, ids, ["STATION"], how="left_semi")
+def station_semi_join(df: DataFrame, station_ids: DataFrame, salts: int = 1) -> DataFrame:
+    """Rows of the listed stations. The id list has one column; repeated ids do no harm."""
+    ids = station_ids.select(F.trim(F.col(station_ids.columns[0])).alias("STATION"))
+    return salted_lookup(df, ids, ["STATION"], how="left_semi", salts=salts)
 
 
 def shifted_year_join(

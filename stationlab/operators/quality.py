@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationlab.functions.dates import is_calendar_day
 from stationlab.operators.joins import station_regions
 from stationlab.schemas import KEY_ELEMENTS, REGIONS
 
@@ -98,7 +99,8 @@ def validate_quality(
 ) -> DataFrame:
     """Issues found and how many rows each concerns; checks without hits are left out.
 
-    Duplicates are rows beyond the first of each (STATION, DATE, ELEMENT)."""
+    Duplicates are rows beyond the first of each (STATION, DATE, ELEMENT). A date is invalid if it
+    is no calendar day; a key is missing if one of its three parts is."""
     element, value = F.col("ELEMENT"), F.col("VALUE")
     is_tmax, is_tmin = element == "TMAX", element == "TMIN"
     checks = {
@@ -108,6 +110,9 @@ def validate_quality(
         | (is_tmin & (value < min_tmin)),
         "negative_precipitation": (element == "PRCP") & (value < 0),
         "null_value": value.isNull(),
+        "invalid_date": F.col("DATE").isNotNull()
+        & ~F.coalesce(is_calendar_day("DATE"), F.lit(False)),
+        "missing_key": F.col("STATION").isNull() | F.col("DATE").isNull() | element.isNull(),
     }
     block, mask = _date_mask()
     per_block = obs.groupBy("STATION", "ELEMENT", block.alias("_block")).agg(
@@ -315,8 +320,9 @@ def expectation_report(
     )
 
 
-def source_file_profile(df: DataFrame, first: int | None = 5) -> DataFrame:
-    """Rows and bytes per input file of a file-based table, in file order."""
+def source_file_profile(df: DataFrame, first: int | None = None) -> DataFrame:
+    """Rows and bytes per input file of a file-based table, in file order, with the bytes of all
+    files together; `first` keeps the first few files only."""
     files = (
         df.select(
             F.col("_metadata.file_name").alias("file_name"),
@@ -324,6 +330,7 @@ def source_file_profile(df: DataFrame, first: int | None = 5) -> DataFrame:
         )
         .groupBy("file_name")
         .agg(_rows().alias("records"), F.max("bytes").alias("bytes"))
+        .withColumn("total_bytes", F.sum("bytes").over(Window.partitionBy(F.lit(0))))
         .orderBy("file_name")
     )
     return files if first is None else files.limit(first)

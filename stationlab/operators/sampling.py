@@ -35,8 +35,8 @@ def sample_observations(
         return df.sample(fraction=fraction, seed=seed)
     if unit != "station":
         raise ValueError(f"unknown sampling unit: {unit}")
-    limit = format(int(fraction * 16**4), "04x")
-    return df.filter(F.substring(_lottery("STATION", str(seed)), 1, 4) < limit)
+    limit = format(int(fraction * 16**15), "015x")
+    return df.filter(F.substring(_lottery("STATION", str(seed)), 1, 15) < limit)
 
 
 def regional_random_sample(
@@ -58,17 +58,7 @@ def regional_random_sample(
     )
 
 
-# Tables of at most this many short rows are broadcast; the bound is known before they run.
-BROADCAST_ROWS = 500_000
-
-
-def _broadcast_up_to(df: DataFrame, most_rows: int) -> DataFrame:
-    return F.broadcast(df) if most_rows <= BROADCAST_ROWS else df
-
-
-def numbered_within(
-    df: DataFrame, group: str, order: list[str], most_groups: int | None = None
-) -> DataFrame:
+def numbered_within(df: DataFrame, group: str, order: list[str]) -> DataFrame:
     """Adds the 0-based `position` and the `group_size` of each row in its group.
 
     The rows are range-partitioned, so one group may span many tasks; positions are the place
@@ -99,9 +89,6 @@ def numbered_within(
         ).alias("_offset"),
         F.sum("_n").over(Window.partitionBy(group)).alias("group_size"),
     )
-    if most_groups is not None:
-        # Ranges share a partition only at their ends: one row per partition and group.
-        parts = _broadcast_up_to(parts, placed.rdd.getNumPartitions() + most_groups)
     return (
         placed.join(parts, [group, "_part"])
         .withColumn("position", F.col("_offset") + F.col("_row") - F.col("_start"))
@@ -110,13 +97,15 @@ def numbered_within(
 
 
 def _even_positions(k: Column, n: Column) -> Column:
-    """k whole positions spread evenly over 0 .. n-1, both ends included; 0 alone if k is 1."""
+    """k whole positions spread evenly over 0 .. n-1, both ends included; 0 alone if k is 1, none
+    if it is less."""
     step = F.try_divide((n - 1).cast("double"), (k - 1).cast("double"))
     spread = F.transform(
         F.sequence(F.lit(0), k - 1),
         lambda i: F.when(i == k - 1, n - 1).otherwise(F.floor(i * step)),
     )
-    return F.when(k > 1, spread).otherwise(F.array(F.lit(0).cast("long")))
+    single = F.array(F.lit(0).cast("long"))
+    return F.when(k > 1, spread).when(k == 1, single).otherwise(F.array().cast("array<bigint>"))
 
 
 def even_spaced_sample(
@@ -131,7 +120,6 @@ def even_spaced_sample(
         stations.filter(F.col("REGION").isin(*quotas)),
         "REGION",
         ["ELEVATION", key],
-        most_groups=len(quotas),
     )
     quota = _quota_table(stations, quotas)
     ranked = order.join(quota, "REGION")
@@ -146,9 +134,7 @@ def even_spaced_sample(
     whole = ranked.filter(F.col("group_size") <= F.col("_quota")).select(*stations.columns)
     spread = (
         ranked.filter(F.col("group_size") > F.col("_quota"))
-        .join(
-            _broadcast_up_to(wanted, sum(quotas.values())), ["REGION", "position"], "left_semi"
-        )
+        .join(wanted, ["REGION", "position"], "left_semi")
         .select(*stations.columns)
     )
     return whole.unionByName(spread)

@@ -35,18 +35,21 @@ def percentile_by_group(
     then summed over slices of the value axis; only the one or two slices that hold the wanted
     ranks are ordered. No task ever holds more of a group than its slices or one slice of
     its distinct readings. A slice is by default one step of readings in tenths; take a wider one
-    for values of a much larger range. NULL readings are ignored. `weight` is the multiplicity of
+    for values of a much larger range. NULL and NaN readings are ignored. `weight` is the multiplicity of
     a row."""
     by = list(by)
-    known = F.col(value).isNotNull()
+    # NaN is an unknown reading, as NULL is.
+    known = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
     # A NULL reading becomes a zero of weight 0: with no filter of its own, this branch shares
     # the scan and the shuffle of its input with whatever else reads that input.
     readings = (
         keyed(df, by)
         .select(
             *by,
-            F.coalesce(F.floor(F.col(value) / F.lit(slice_width)), F.lit(0)).alias("_slice"),
-            F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("_value"),
+            F.when(known, F.floor(F.col(value) / F.lit(slice_width)))
+            .otherwise(0)
+            .alias("_slice"),
+            F.when(known, F.col(value).cast("double")).otherwise(0.0).alias("_value"),
             F.when(known, F.lit(1) if weight is None else weight)
             .otherwise(0)
             .cast("long")

@@ -19,14 +19,14 @@ def keyed_merge(
 
     An unknown key inserts its whole row; a known one overwrites `update_columns` only. Where
     a key occurs more than once in the updates, `order_by` gives the order of arrival: the first
-    row inserts, the last one has the final word on the updated columns. Without it the rows of
-    a key arrive in the order of their values, so that the result is repeatable and a key never
-    occurs twice. Columns missing from the updates are NULL on insert."""
+    row inserts, the last one has the final word on the updated columns. Without it, and among rows
+    of equal arrival, the rows of a key arrive in the order of their values, so that the result is
+    repeatable and a key never occurs twice. Columns missing from the updates are NULL on insert."""
     keys = list(keys)
     columns = [c for c in target.columns if c not in keys]
     given = [c for c in columns if c in updates.columns]
     row = F.struct(*given)
-    arrival = F.struct(*order_by) if order_by else row
+    arrival = F.struct(*order_by, row.alias("_row")) if order_by else row
     folded = updates.groupBy(*keys).agg(
         F.min_by(row, arrival).alias("_first"), F.max_by(row, arrival).alias("_last")
     )

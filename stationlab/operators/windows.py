@@ -12,8 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from stationlab.operators.joins import salted_lookup
-from stationlab.operators.thresholds import keyed, percentile_by_group
+from stationlab.operators.thresholds import keyed
 
 
 def pivot_wide(
@@ -83,17 +82,22 @@ def extreme_days(
 
     Input rows are (STATION, DATE, VALUE, year). Output has one row per station and date:
     n_readings, n_extreme (strictly above the threshold), their sum and peak, and the sum,
-    count and maximum of all known readings."""
+    count and maximum of all known readings. NULL and NaN readings are unknown.
+
+    Equal readings of a day are counted first, which Spark combines before the shuffle. What is
+    left of a station is bounded by its calendar days and the steps of its instrument, so the
+    percentile is a window over the station, and all that follows stays where the station is."""
+    reading = F.when(~F.isnan(F.col("VALUE").cast("double")), F.col("VALUE"))
     readings = (
         keyed(obs, ["STATION", "year"])
-        .groupBy("STATION", "year", "DATE", "VALUE")
+        .groupBy("STATION", "year", "DATE", reading.alias("VALUE"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    limits = percentile_by_group(readings, by, "VALUE", p, weight=F.col("n"), name=threshold)
     n, value = F.col("n"), F.col("VALUE")
+    limit = F.percentile(value, F.lit(float(p)), n).over(Window.partitionBy(*by))
     extreme = value > F.col(threshold)
     return (
-        salted_lookup(readings, limits, list(by), salt_by=["DATE", "VALUE"])
+        readings.withColumn(threshold, limit)
         .groupBy("STATION", "year", "DATE")
         .agg(
             F.max(threshold).alias(threshold),

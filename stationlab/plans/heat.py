@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationlab.functions.dates import season_filter
@@ -20,7 +20,7 @@ def summer_flags(obs: DataFrame, percentile: float = 0.95) -> DataFrame:
     return heat_wave_flags(season_filter(of_element(obs, "TMAX"), SUMMER), percentile)
 
 
-def heat_wave_metrics(flags: DataFrame) -> DataFrame:
+def heat_wave_metrics(flags: DataFrame, *more: Column) -> DataFrame:
     """Heat-wave and extreme days per station-year, with peak and mean heat-wave temperature."""
     wave = F.col("is_heat_wave_day")
     days = F.coalesce(F.sum(F.when(wave, F.col("n_extreme"))), F.lit(0))
@@ -30,6 +30,17 @@ def heat_wave_metrics(flags: DataFrame) -> DataFrame:
         F.try_divide(F.sum(F.when(wave, F.col("sum_extreme"))), days).alias("avg_heat_wave_temp"),
         F.sum("n_extreme").alias("extreme_days"),
         F.sum("n_readings").alias("summer_days"),
+        *more,
+    )
+
+
+def summer_years(flags: DataFrame) -> DataFrame:
+    """The metrics of a station-year with what the trend over years needs besides."""
+    return heat_wave_metrics(
+        flags,
+        F.sum("sum_value").alias("sum_value"),
+        F.sum("n_known").alias("n_known"),
+        F.max("max_value").alias("max_value"),
     )
 
 
@@ -52,19 +63,24 @@ def with_spring_anomaly(springs: DataFrame, min_years: int = 5) -> DataFrame:
     )
 
 
-def heat_detail(
-    obs: DataFrame, percentile: float = 0.95, min_days: int = 75, min_years: int = 5
-) -> DataFrame:
+def heat_of(springs: DataFrame, metrics: DataFrame, min_years: int = 5) -> DataFrame:
     """Spring station-years with the heat-wave metrics of the same year's summer.
 
     A year without summer rows has no heat-wave days and no intensity. Both sides are placed by
     station-year when they meet; the baseline comes last, so that only its shuffle is added."""
-    metrics = heat_wave_metrics(summer_flags(obs, percentile))
-    joined = spring_means(obs, min_days).join(metrics, ["STATION", "year"], "left")
+    joined = springs.join(metrics, ["STATION", "year"], "left")
     counted = fill_missing_counts(joined, ["heat_wave_days", "extreme_days"])
     return with_spring_anomaly(counted, min_years)
 
 
+def heat_detail(
+    obs: DataFrame, percentile: float = 0.95, min_days: int = 75, min_years: int = 5
+) -> DataFrame:
+    """`heat_of` the springs and summers of the readings."""
+    metrics = heat_wave_metrics(summer_flags(obs, percentile))
+    return heat_of(spring_means(obs, min_days), metrics, min_years)
+
+
 def heat_summary(
     detail: DataFrame, by: Sequence[str] = (), percentile: float = 0.95
 ) -> DataFrame:
@@ -96,15 +112,16 @@ def spring_summer_heat(
 
 def heat_wave_trends(obs: DataFrame, percentile: float = 0.95) -> DataFrame:
     """Heat-wave days and mean and maximum summer temperature per year, by year."""
-    wave_days = F.coalesce(
-        F.sum(F.when(F.col("is_heat_wave_day"), F.col("n_extreme"))), F.lit(0)
-    )
+    return trends_of(summer_years(summer_flags(obs, percentile)))
+
+
+def trends_of(summers: DataFrame) -> DataFrame:
+    """The trends from `summer_years`."""
     return (
-        summer_flags(obs, percentile)
-        .groupBy("year")
+        summers.groupBy("year")
         .agg(
-            wave_days.alias("total_hw_days"),
-            wave_days.alias("hw_day_count"),
+            F.sum("heat_wave_days").alias("total_hw_days"),
+            F.sum("heat_wave_days").alias("hw_day_count"),
             F.try_divide(F.sum("sum_value"), F.sum("n_known")).alias("avg_summer_temp"),
             F.max("max_value").alias("max_summer_temp"),
         )

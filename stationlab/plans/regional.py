@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationlab.operators.joins import attach_region, station_regions
-from stationlab.plans.heat import heat_detail, heat_summary
-from stationlab.plans.snowmelt import melt_precip_years, snowmelt_summary
+from stationlab.plans import station_years
+from stationlab.plans.heat import heat_of, heat_summary, heat_wave_metrics, summer_flags
+from stationlab.plans.snowmelt import melt_anomalies, snowmelt_summary
 from stationlab.plans.wind import wind_days, wind_summary
-from stationlab.plans.winter import winter_detail, winter_summary
+from stationlab.plans.winter import winter_anomalies, winter_summary
+from stationlab.session import scratch_path
 
+# The names of the analyses.
 H1 = "H1_winter_precipitation"
 H2 = "H2_spring_summer_heat"
 H3 = "H3_wind_moderation"
@@ -45,11 +50,12 @@ def _regional(summary: DataFrame, hypothesis: str) -> DataFrame:
     )
 
 
-def eligible_regions(obs: DataFrame, stations: DataFrame, min_rows: int = 10_000) -> DataFrame:
-    """Regions with at least `min_rows` observations."""
-    per_station = obs.groupBy("STATION").agg(F.count(F.lit(1)).alias("n"))
+def eligible_regions(rows: DataFrame, stations: DataFrame, min_rows: int = 10_000) -> DataFrame:
+    """Regions with at least `min_rows` observations, from tables with `rows` per station."""
     return (
-        per_station.join(station_regions(stations), "STATION")
+        rows.groupBy("STATION")
+        .agg(F.sum("rows").alias("n"))
+        .join(station_regions(stations), "STATION")
         .groupBy("REGION")
         .agg(F.sum("n").alias("n"))
         .filter(F.col("REGION").isNotNull() & (F.col("n") >= min_rows))
@@ -68,31 +74,55 @@ def regional_consistency(
     min_years: int = 5,
     lag_days: int = 7,
 ) -> DataFrame:
-    """One row per analysis and eligible region.
-
-    Baselines, thresholds and frames are all per station and a station has one region, so the
-    detail tables are those of the whole network and only the last aggregation is grouped.
-    Regions are attached to station-years and days, never to readings. A region without
-    results for an analysis has NULL metrics and says so in `status`."""
-    heat = heat_detail(obs, heat_percentile, min_spring_days, min_years)
-    melt = melt_precip_years(obs, min_days=min_days, min_years=min_years)
-    wind = wind_days(obs, lag_days, min_days=min_wind_days)
-    winters = winter_detail(obs, min_days, min_years)
+    """One row per analysis and eligible region; see `regional_of`.
+
+    The observations are read three times: for all that is per station-year, which is stored in
+    the shared folder because four branches use it, for summer days and for wind days."""
+    spark = obs.sparkSession
+    path = scratch_path(spark, "station-years")
+    station_years.station_years(obs).write.parquet(path)
+    years = spark.read.parquet(path)
+    summers = heat_wave_metrics(summer_flags(obs, heat_percentile))
+    tables = {
+        "H1": winter_anomalies(station_years.winters(years, min_days), min_years),
+        "H2": heat_of(station_years.springs(years, min_spring_days), summers, min_years),
+        "H3": wind_days(obs, lag_days, min_days=min_wind_days),
+        "H4": melt_anomalies(
+            station_years.snow_and_rain(years), min_days=min_days, min_years=min_years
+        ),
+    }
+    return regional_of(tables, years, stations, min_rows, heat_percentile, lag_days)
+
+
+def regional_of(
+    tables: Mapping[str, DataFrame],
+    rows: DataFrame,
+    stations: DataFrame,
+    min_rows: int = 10_000,
+    heat_percentile: float = 0.95,
+    lag_days: int = 7,
+) -> DataFrame:
+    """One row per analysis and eligible region, from the detail tables of the whole network.
+
+    Baselines, thresholds and frames are all per station and a station has one region, so only
+    the last aggregation is grouped. Regions are attached to station-years and days, never to
+    readings. A region without results for an analysis has NULL metrics and says so in `status`.
+    `tables` has winter details, heat details, wind days and melt years as H1 to H4."""
     region = ["REGION"]
 
     def placed(detail: DataFrame) -> DataFrame:
-        return attach_region(detail, stations, salts=1)
+        return attach_region(detail, stations)
 
     summaries = {
-        H1: winter_summary(placed(winters), region),
-        H2: heat_summary(placed(heat), region, heat_percentile),
-        H3: wind_summary(placed(wind), region, lag_days),
-        H4: snowmelt_summary(placed(melt), region),
+        H1: winter_summary(placed(tables["H1"]), region),
+        H2: heat_summary(placed(tables["H2"]), region, heat_percentile),
+        H3: wind_summary(placed(tables["H3"]), region, lag_days),
+        H4: snowmelt_summary(placed(tables["H4"]), region),
     }
     found = None
     for hypothesis, summary in summaries.items():
-        rows = _regional(summary, hypothesis)
-        found = rows if found is None else found.unionByName(rows)
+        part = _regional(summary, hypothesis)
+        found = part if found is None else found.unionByName(part)
 
     missing = F.create_map(
         *[
@@ -101,7 +131,7 @@ def regional_consistency(
             for x in pair
         ]
     )
-    expected = eligible_regions(obs, stations, min_rows).withColumn(
+    expected = eligible_regions(rows, stations, min_rows).withColumn(
         "hypothesis", F.explode(F.array(*[F.lit(h) for h in HYPOTHESES]))
     )
     joined = expected.join(found, ["hypothesis", "REGION"], "left").withColumn(
@@ -119,10 +149,8 @@ def regional_consistency(
 
 def regional_results_table(regional: DataFrame) -> DataFrame:
     """Export form: correlation, size, effect and a rough significance flag per region."""
-    effect = F.coalesce(
-        F.nullif(F.col("moderation_rate"), F.lit(0.0)), F.col("compensation_rate")
-    )
-    size = F.coalesce(F.nullif(F.col("sample_size"), F.lit(0)), F.col("num_events"))
+    effect = F.coalesce("moderation_rate", "compensation_rate")
+    size = F.coalesce("sample_size", "num_events")
     return regional.filter(F.col("status") == "ok").select(
         "hypothesis",
         "region",

@@ -14,7 +14,7 @@ from stationlab.operators.seasons import baseline_columns, of_element
 from stationlab.schemas import LATE_SPRING, SNOW_SEASON
 
 
-def _snow_columns(snow: Column) -> dict[str, Column]:
+def snow_columns(snow: Column) -> dict[str, Column]:
     """Aggregates of the snow rows of a station-year.
 
     Within a year the last day of the year is that of the largest date, so dates are turned
@@ -36,7 +36,7 @@ def _named(columns: dict[str, Column]) -> list[Column]:
 def snowmelt_dates(obs: DataFrame) -> DataFrame:
     """Last day with snow on the ground in January-May, per station-year."""
     snow = season_filter(of_element(obs, "SNWD"), SNOW_SEASON).filter("VALUE > 0")
-    return snow.groupBy("STATION", "year").agg(*_named(_snow_columns(F.lit(True))))
+    return snow.groupBy("STATION", "year").agg(*_named(snow_columns(F.lit(True))))
 
 
 def snow_and_rain(obs: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def snow_and_rain(obs: DataFrame) -> DataFrame:
         .filter(snow_known | rain)
         .groupBy("STATION", "year")
         .agg(
-            *_named(_snow_columns(snow_known)),
+            *_named(snow_columns(snow_known)),
             F.sum(amount).alias("spring_prcp"),
             F.count_if(rain).alias("spring_prcp_days"),
             F.avg(amount).alias("avg_daily_prcp"),
@@ -61,8 +61,8 @@ def snow_and_rain(obs: DataFrame) -> DataFrame:
     )
 
 
-def melt_precip_years(
-    obs: DataFrame, min_snow_days: int = 10, min_days: int = 50, min_years: int = 5
+def melt_anomalies(
+    rows: DataFrame, min_snow_days: int = 10, min_days: int = 50, min_years: int = 5
 ) -> DataFrame:
     """Station-years with both baselines and the flags `_snow` and `_paired`.
 
@@ -75,8 +75,7 @@ def melt_precip_years(
     rain_mean, rain_std, rain_n = baseline_columns(rain, where=rain_ok)
     mean_snow_days, _, _ = baseline_columns(F.col("snow_days"), where=snow_ok)
     return (
-        snow_and_rain(obs)
-        .withColumns(
+        rows.withColumns(
             {
                 "baseline_melt_doy": melt_mean,
                 "std_melt_doy": melt_std,
@@ -112,6 +111,13 @@ def melt_precip_years(
     )
 
 
+def melt_precip_years(
+    obs: DataFrame, min_snow_days: int = 10, min_days: int = 50, min_years: int = 5
+) -> DataFrame:
+    """`melt_anomalies` of the readings."""
+    return melt_anomalies(snow_and_rain(obs), min_snow_days, min_days, min_years)
+
+
 def melt_precip_join(years: DataFrame) -> DataFrame:
     """The station-years on which both sides pass their gates."""
     return years.filter("_paired").drop("_snow", "_paired")
@@ -142,6 +148,7 @@ def snowmelt_summary(years: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             F.count_distinct(F.when(paired, F.col("STATION"))).alias("num_stations"),
             F.count_if("_snow").alias("_snow_years"),
         )
+        # The texts of the status.
         .withColumn(
             "status",
             F.when(F.col("_snow_years") == 0, "No snow data")
@@ -174,9 +181,13 @@ def snowmelt_by_elevation(
 
 def snowmelt_trends(obs: DataFrame) -> DataFrame:
     """Melt day statistics per year, over all station-years with snow, by year."""
+    return trends_of(snowmelt_dates(obs))
+
+
+def trends_of(melts: DataFrame) -> DataFrame:
+    """The trends from station-years with snow."""
     return (
-        snowmelt_dates(obs)
-        .groupBy("year")
+        melts.groupBy("year")
         .agg(
             F.avg("snowmelt_doy").alias("avg_melt_doy"),
             F.stddev_samp("snowmelt_doy").alias("std_melt_doy"),

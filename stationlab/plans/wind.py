@@ -105,6 +105,7 @@ def wind_summary(days: DataFrame, by: Sequence[str] = (), n: int = 7) -> DataFra
             F.lit(n).alias("lag_days"),
             F.count(F.lit(1)).alias("_days"),
         )
+        # The texts of the status.
         .withColumn(
             "status",
             F.when(F.col("_days") == 0, "No overlapping data")

@@ -35,14 +35,13 @@ def matched_winters(obs: DataFrame, min_days: int = 50) -> DataFrame:
     )
 
 
-def winter_detail(obs: DataFrame, min_days: int = 50, min_years: int = 5) -> DataFrame:
-    """Station-winters with the baselines over matched winters and both anomalies."""
+def winter_anomalies(winters: DataFrame, min_years: int = 5) -> DataFrame:
+    """Matched winters with the baselines over them and both anomalies."""
     early, late = F.col("early_winter_prcp"), F.col("late_winter_prcp")
     mean_early, std_early, years = baseline_columns(early)
     mean_late, std_late, _ = baseline_columns(late)
     return (
-        matched_winters(obs, min_days)
-        .withColumns(
+        winters.withColumns(
             {
                 "baseline_early": mean_early,
                 "baseline_late": mean_late,
@@ -61,6 +60,11 @@ def winter_detail(obs: DataFrame, min_days: int = 50, min_years: int = 5) -> Dat
     )
 
 
+def winter_detail(obs: DataFrame, min_days: int = 50, min_years: int = 5) -> DataFrame:
+    """Station-winters with the baselines over matched winters and both anomalies."""
+    return winter_anomalies(matched_winters(obs, min_days), min_years)
+
+
 def winter_summary(detail: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     early, late = F.col("early_anomaly"), F.col("late_anomaly")
     return detail.groupBy(*by).agg(

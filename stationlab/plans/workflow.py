@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stationlab.operators import prep, quality, sampling
 from stationlab.operators.joins import station_semi_join
-from stationlab.plans import heat, regional, report, snowmelt, wind, winter
+from stationlab.plans import heat, regional, report, snowmelt, station_years, wind, winter
+from stationlab.session import scratch_path
 from stationlab.sinks import files as sink_files
-from stationlab.sinks.results import ResultStore, export_all_results
+from stationlab.sinks.results import ResultStore, export_all_results, yearly_trend_rows
 from stationlab.sources import files as source_files
 
 
@@ -31,12 +32,65 @@ class Gates:
 
 @dataclass
 class Analyses:
-    """Lazy results: (detail, summary) per analysis, and the regional table if there is one."""
+    """Lazy results. All of them follow from few tables: `years` (station-years), `summers`, and
+    `wind` (days); `store` keeps these once and takes the results from what it kept."""
 
-    results: dict[str, tuple[DataFrame, DataFrame]]
-    regional: DataFrame | None = None
+    tables: dict[str, DataFrame]
+    gates: Gates = Gates()
+    stations: DataFrame | None = None
     reports: dict[str, DataFrame] = field(default_factory=dict)
 
+    def details(self) -> dict[str, DataFrame]:
+        """Winter details, heat details, wind days and melt years as H1 to H4."""
+        g, years = self.gates, self.tables["years"]
+        heat_metrics = self.tables["summers"].drop("sum_value", "n_known", "max_value")
+        return {
+            "H1": winter.winter_anomalies(station_years.winters(years, g.season_days), g.years),
+            "H2": heat.heat_of(station_years.springs(years, g.spring_days), heat_metrics, g.years),
+            "H3": self.tables["wind"],
+            "H4": snowmelt.melt_anomalies(
+                station_years.snow_and_rain(years), g.snow_days, g.season_days, g.years
+            ),
+        }
+
+    @property
+    def results(self) -> dict[str, tuple[DataFrame, DataFrame]]:
+        """(detail, summary) per analysis."""
+        g, d = self.gates, self.details()
+        return {
+            "H1": (d["H1"], winter.winter_summary(d["H1"])),
+            "H2": (d["H2"], heat.heat_summary(d["H2"], percentile=g.heat_percentile)),
+            "H3": (wind.high_wind_events(d["H3"]), wind.wind_summary(d["H3"], n=g.lag_days)),
+            "H4": (snowmelt.melt_precip_join(d["H4"]), snowmelt.snowmelt_summary(d["H4"])),
+        }
+
+    @property
+    def regional(self) -> DataFrame | None:
+        """The regional table, if there are stations."""
+        if self.stations is None:
+            return None
+        g = self.gates
+        return regional.regional_of(
+            self.details(), self.tables["years"], self.stations, g.region_rows,
+            g.heat_percentile, g.lag_days,
+        )
+
+    def trends(self) -> DataFrame:
+        """Rows of yearly_trends: heat waves and snowmelt per year."""
+        hot = heat.trends_of(self.tables["summers"])
+        melts = station_years.snow_and_rain(self.tables["years"]).filter("snow_days > 0")
+        melt = snowmelt.trends_of(melts)
+        columns = {"avg_value": "avg_summer_temp", "max_value": "max_summer_temp"}
+        rows = yearly_trend_rows(hot, "summer_temperature", columns)
+        rows = rows.unionByName(
+            yearly_trend_rows(hot, "heat_wave_days", {"avg_value": "total_hw_days"}), True
+        )
+        columns = {
+            "avg_value": "avg_melt_doy", "std_value": "std_melt_doy",
+            "min_value": "earliest_melt", "max_value": "latest_melt", "num_stations": "num_stations",
+        }
+        return rows.unionByName(yearly_trend_rows(melt, "snowmelt_doy", columns), True)
+
     def summaries(self) -> dict[str, DataFrame]:
         return {name: summary for name, (_, summary) in self.results.items()}
 
@@ -58,8 +112,9 @@ def prepare(
     table, ids = f"{target}/stations", f"{target}/station_ids"
     sink_files.write_station_list(stations, table, ids)
     raw = source_files.read_raw_yearly(spark, raw_files)
-    kept = station_semi_join(raw, source_files.read_station_ids(spark, ids))
-    sink_files.write_clean_long(prep.clean_observations(kept), f"{target}/observations")
+    known_ids = source_files.read_station_ids(spark, ids)
+    kept = station_semi_join(prep.clean_observations(raw), known_ids)
+    sink_files.write_clean_long(kept, f"{target}/observations")
     return source_files.read_station_metadata(spark, table)
 
 
@@ -71,26 +126,16 @@ def analyze(
 ) -> Analyses:
     """The four analyses, the regional comparison if stations are given, and the reports."""
     g = gates
+    flags = heat.summer_flags(obs, g.heat_percentile)
     found = Analyses(
         {
-            "H1": winter.winter_precip_lag(obs, g.season_days, g.years),
-            "H2": heat.spring_summer_heat(obs, g.heat_percentile, g.spring_days, g.years),
-            "H3": wind.wind_moderation(obs, g.lag_days, g.wind_percentile, g.wind_days),
-            "H4": snowmelt.snowmelt_precip(obs, g.snow_days, g.season_days, g.years),
-        }
+            "years": station_years.station_years(obs),
+            "summers": heat.summer_years(flags),
+            "wind": wind.wind_days(obs, g.lag_days, g.wind_percentile, g.wind_days),
+        },
+        gates,
+        stations,
     )
-    if stations is not None:
-        found.regional = regional.regional_consistency(
-            obs,
-            stations,
-            min_rows=g.region_rows,
-            heat_percentile=g.heat_percentile,
-            min_days=g.season_days,
-            min_spring_days=g.spring_days,
-            min_wind_days=g.wind_days,
-            min_years=g.years,
-            lag_days=g.lag_days,
-        )
     if quality_checks:
         found.reports = {
             "coverage_overall": quality.coverage_overall(obs),
@@ -104,8 +149,19 @@ def analyze(
 def store(
     spark: SparkSession, found: Analyses, root: str, stations: DataFrame | None = None
 ) -> list[str]:
-    """Merges all results into the tables below `root` and writes the JSON document."""
+    """Merges all results into the tables below `root` and writes the JSON document.
+
+    The tables that everything follows from are computed once, each from one read of the
+    observations, into the shared folder; summaries, regions, trends and document come from there."""
+    kept = {}
+    for name, table in found.tables.items():
+        path = scratch_path(spark, f"run-{name}")
+        table.write.parquet(path)
+        kept[name] = spark.read.schema(table.schema).parquet(path)
+    found = replace(found, tables=kept)
     table = None if found.regional is None else regional.regional_results_table(found.regional)
-    written = export_all_results(ResultStore(spark, root), found.results, table, stations)
+    written = export_all_results(
+        ResultStore(spark, root), found.results, table, stations, found.trends()
+    )
     sink_files.write_results_document(found.document(), f"{root}/document")
     return written

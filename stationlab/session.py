@@ -2,23 +2,42 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+FOLDER = "stationlab"
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a local one only where that is unset."""
+    """The folder named in spark.checkpoint.dir. Where that is unset: on a local master, which has
+    one machine only, a folder of this application below spark.local.dir; on a cluster a folder
+    below the home of the default file system, which all executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder or tempfile.mkdtemp(prefix="stationlab-")
+    context = spark.sparkContext
+    folder = folder or context.getCheckpointDir()
+    if folder:
+        return folder
+    if context.master == "local" or context.master.startswith("local["):
+        return f"{spark.conf.get('spark.local.dir', '/tmp')}/{FOLDER}-{context.applicationId}"
+    files = context._jvm.org.apache.hadoop.fs.FileSystem.get(context._jsc.hadoopConfiguration())
+    return f"{files.getHomeDirectory().toString()}/.{FOLDER}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, never used before."""
-    return f"{shared_folder(spark).rstrip('/')}/stationlab/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, never used before. Lazy results may read it, so it stays
+    until its owner drops it, or the whole folder, with `drop_scratch`."""
+    return f"{shared_folder(spark).rstrip('/')}/{FOLDER}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str | None = None) -> None:
+    """Removes one scratch path, or all of them; nothing that reads them may run later."""
+    top = f"{shared_folder(spark).rstrip('/')}/{FOLDER}"
+    if path is not None and not path.startswith(f"{top}/"):
+        raise ValueError(f"not a scratch path: {path}")
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path or top)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from stationlab.functions.dates import year_of
 from stationlab.operators.joins import station_key
 
-SINGLE_FILE_ROWS = 100_000
-
-
 def write_clean_long(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Clean observations as Parquet, partitioned by year.
 
@@ -41,15 +38,16 @@ def write_station_list(stations: DataFrame, table_path: str, ids_path: str) -> N
 
 
 def export_flat(
-    df: DataFrame, path: str, format: str = "csv", single_file_rows: int = SINGLE_FILE_ROWS
+    df: DataFrame, path: str, format: str = "csv", single_file: bool = False
 ) -> None:
     """CSV (with header) or JSON for charts.
 
-    A small result is written as one file; a larger one keeps its parallel part files."""
+    Written as the parallel part files of its tasks; `single_file` gathers them in one task, for
+    results that a chart can hold."""
     if format not in ("csv", "json"):
         raise ValueError(f"Unsupported format: {format}")
-    if df.limit(single_file_rows + 1).count() <= single_file_rows:
-        df = df.coalesce(1)
+    if single_file:
+        df = df.repartition(1)
     writer = df.write.mode("overwrite")
     if format == "csv":
         writer.option("header", "true").csv(path)

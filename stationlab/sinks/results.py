@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,8 +15,8 @@ from stationlab.operators.upsert import keyed_merge
 from stationlab.plans.report import summary_metrics_long
 from stationlab.schemas import RESULT_TABLES
 
-INT_COLUMNS = ("year", "event_date", "heat_wave_days", "extreme_days", "snowmelt_doy",
-               "sample_size", "num_stations")
+INT_COLUMNS = ("year", "event_date", "snowmelt_doy")
+COUNT_COLUMNS = ("heat_wave_days", "extreme_days", "sample_size", "num_stations")
 TEXT_COLUMNS = ("station_id", "hypothesis", "metric_name", "description", "region", "state", "name")
 
 # Columns that change their name on export.
@@ -47,6 +49,8 @@ def result_schema(table: str) -> T.StructType:
             kind: T.DataType = T.StringType()
         elif name in INT_COLUMNS:
             kind = T.IntegerType()
+        elif name in COUNT_COLUMNS:
+            kind = T.LongType()
         elif name == "significant":
             kind = T.BooleanType()
         else:
@@ -103,41 +107,52 @@ def merged_result(
 
 
 class ResultStore:
-    """Result tables below a shared folder, one subfolder per version.
+    """Result tables below a shared folder, one subfolder per version, and a log of versions.
 
-    A merge reads the newest finished version and writes the next one, so a lost job leaves the
-    previous version untouched and readers never see a half-written table."""
+    A merge reads the newest logged version, writes the next one under a name of its own, and logs
+    it when it is whole; so a lost job leaves the previous version untouched, readers never see a
+    half-written table, and other folders do no harm. Of merges that ran at once one is logged
+    first by name; the others raise, and can be run again. Versions stay; whoever owns
+    the folder removes old ones."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _versions(self, table: str) -> list[int]:
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
+    def _log(self, table: str) -> list[tuple[int, str]]:
+        """(version, folder) of all logged versions, of which the first per version counts."""
+        log = self.spark.read.schema("version int, folder string")
+        try:
+            rows = log.parquet(f"{self.root}/{table}/log/*").collect()
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
             return []
-        found = []
-        for status in fs.listStatus(folder):
-            path = status.getPath()
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
-                found.append(int(path.getName().removeprefix("v")))
-        return sorted(found)
+        first: dict[int, str] = {}
+        for version, folder in sorted(rows):
+            first.setdefault(version, folder)
+        return sorted(first.items())
 
     def read(self, table: str) -> DataFrame | None:
-        versions = self._versions(table)
+        versions = self._log(table)
         if not versions:
             return None
         return self.spark.read.schema(result_schema(table)).parquet(
-            f"{self.root}/{table}/v{versions[-1]}"
+            f"{self.root}/{table}/{versions[-1][1]}"
         )
 
     def merge(self, table: str, updates: DataFrame, order_by: list[str] | None = None) -> None:
-        versions = self._versions(table)
+        versions = self._log(table)
         merged = merged_result(self.spark, table, updates, self.read(table), order_by)
-        following = versions[-1] + 1 if versions else 1
-        merged.write.mode("overwrite").parquet(f"{self.root}/{table}/v{following}")
+        version = versions[-1][0] + 1 if versions else 1
+        folder = f"v{version}-{uuid.uuid4().hex}"
+        merged.write.mode("error").parquet(f"{self.root}/{table}/{folder}")
+        entry = self.spark.range(1).select(
+            F.lit(version).alias("version"), F.lit(folder).alias("folder")
+        )
+        entry.write.mode("error").parquet(f"{self.root}/{table}/log/{folder}")
+        if dict(self._log(table))[version] != folder:
+            raise RuntimeError(f"{table}: another merge wrote version {version}; merge again")
 
 
 def export_all_results(
@@ -145,10 +160,12 @@ def export_all_results(
     results: Mapping[str, tuple[DataFrame | None, DataFrame | None]],
     regional: DataFrame | None = None,
     stations: DataFrame | None = None,
+    trends: DataFrame | None = None,
 ) -> list[str]:
     """Merges every detail table that exists, and all summaries, into the store.
 
-    `results` maps H1 to H4 to (detail, summary). Returns the names of the tables written."""
+    `results` maps H1 to H4 to (detail, summary); `trends` has rows of yearly_trends. Returns the
+    names of the tables written."""
     written, metrics = [], None
     for name, (detail, summary) in results.items():
         if detail is None:
@@ -161,6 +178,7 @@ def export_all_results(
     for table, rows in (
         ("analysis_summary", metrics),
         ("regional_results", regional),
+        ("yearly_trends", trends),
         ("stations", None if stations is None else station_rows(stations)),
     ):
         if rows is not None:

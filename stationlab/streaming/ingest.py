@@ -19,21 +19,21 @@ def ingest_years(
     clean: bool = True,
     files_per_batch: int = 64,
     pattern: str = "*.csv*",
-) -> int:
+) -> None:
     """Adds the yearly files of `source` that were not ingested before to `target`.
 
     The file source remembers finished files in `checkpoint`, and the Parquet sink commits
     each batch as a whole, so every file is ingested once even after a failure. Runs until no
-    new file is left and returns the number of batches that had rows to add."""
+    new file is left."""
     raw = (
         spark.readStream.schema(RAW_DAILY)
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(source, header=False)
     )
-    if station_ids is not None:
-        raw = station_semi_join(raw, station_ids)
     rows = clean_observations(raw) if clean else raw
+    if station_ids is not None:
+        rows = station_semi_join(rows, station_ids)
     query = (
         rows.withColumn("year", year_of("DATE"))
         .writeStream.format("parquet")
@@ -43,4 +43,3 @@ def ingest_years(
         .start(target)
     )
     query.awaitTermination()
-    return sum(progress["numInputRows"] > 0 for progress in query.recentProgress)

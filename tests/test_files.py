@@ -5,6 +5,7 @@ import pytest
 from conftest import observation_rows
 from pyspark.sql import functions as F
 
+from stationlab.operators import quality
 from stationlab.plans import report
 from stationlab.schemas import RESULT_TABLES
 from stationlab.sinks import files as sinks
@@ -43,10 +44,10 @@ def test_ingest_reads_each_file_once_and_keeps_listed_stations(spark, tmp_path):
     target, progress = str(tmp_path / "out"), str(tmp_path / "progress")
     ids = spark.createDataFrame([("A",)], "STATION string")
     write(source / "2000.csv", "A,20000101,TMAX,105,,,7,\nB,20000101,TMAX,10,,,7,\n")
-    assert ingest_years(spark, str(source), target, progress, ids) == 1
+    ingest_years(spark, str(source), target, progress, ids)
     write(source / "2001.csv", "A,20010101,PRCP,5,,,7,\nA,20010102,PRCP,5,,X,7,\n")
-    assert ingest_years(spark, str(source), target, progress, ids) == 1
-    assert ingest_years(spark, str(source), target, progress, ids) == 0
+    for _ in range(2):
+        ingest_years(spark, str(source), target, progress, ids)
     rows = sorted((r.STATION, r.DATE, r.VALUE, r.year) for r in spark.read.parquet(target).collect())
     assert rows == [("A", 20000101, 10.5, 2000), ("A", 20010101, 0.5, 2001)]
 
@@ -64,21 +65,15 @@ def test_clean_long_round_trip(spark, tmp_path, generated):
 
 def test_flat_export_formats(spark, tmp_path):
     df = spark.range(10, numPartitions=4)
-    sinks.export_flat(df, str(tmp_path / "c"))
+    sinks.export_flat(df, str(tmp_path / "c"), single_file=True)
     assert len(list((tmp_path / "c").glob("part-*.csv"))) == 1
-    sinks.export_flat(df, str(tmp_path / "j"), "json", single_file_rows=5)
+    sinks.export_flat(df, str(tmp_path / "j"), "json")
     assert len(list((tmp_path / "j").glob("part-*.json"))) == 4
     with pytest.raises(ValueError, match="Unsupported format"):
         sinks.export_flat(df, str(tmp_path / "x"), "xml")
 
 
-def test_jdbc_settings_and_modes():
-    assert jdbc.jdbc_url("h", 3307, "d") == "jdbc:mysql://h:3307/d"
-    assert jdbc.jdbc_properties("u", "p") == {
-        "user": "u",
-        "password": "p",
-        "driver": "com.mysql.cj.jdbc.Driver",
-    }
+def test_jdbc_modes():
     df = MagicMock()
     jdbc.export_jdbc(df, "t", "url", {"user": "u"}, mode="append")
     df.write.mode.assert_called_once_with("append")
@@ -108,9 +103,9 @@ def test_metrics_in_long_form(spark):
 def test_every_result_table_merges(spark):
     for table, spec in RESULT_TABLES.items():
         schema = results.result_schema(table)
-        values = {"string": "k", "int": 1, "double": 1.5, "boolean": True}
+        values = {"string": "k", "int": 1, "bigint": 1, "double": 1.5, "boolean": True}
         old = {f.name: values[f.dataType.simpleString()] for f in schema.fields}
-        changed = {"int": 2, "double": 2.5, "boolean": False, "string": "z"}
+        changed = {"int": 2, "bigint": 2, "double": 2.5, "boolean": False, "string": "z"}
         new = {
             f.name: old[f.name] if f.name in spec["keys"] else changed[f.dataType.simpleString()]
             for f in schema.fields
@@ -133,10 +128,53 @@ def test_store_keeps_versions(spark, tmp_path):
     written = results.export_all_results(store, {"H1": (None, None)}, stations=stations)
     assert written == ["stations"]
     store.merge("stations", results.station_rows(stations.withColumn("LATITUDE", F.lit(0.0))))
-    (tmp_path / "stations" / "v9").mkdir()  # unfinished: no _SUCCESS
+    for name in ("v9", "old copy"):
+        (tmp_path / "stations" / name).mkdir()
     row = store.read("stations").first()
     assert (row.station_id, row.latitude, row.elevation, row.region) == ("A", 0.0, 0.0, None)
-    assert sorted(p.name for p in (tmp_path / "stations").iterdir()) == ["v1", "v2", "v9"]
+    names = sorted(p.name.split("-")[0] for p in (tmp_path / "stations").iterdir())
+    assert names == ["log", "old copy", "v1", "v2", "v9"]
+
+
+def test_of_merges_at_once_one_counts_and_the_other_raises(spark, tmp_path):
+    store = results.ResultStore(spark, str(tmp_path))
+    rows = results.station_rows(spark.createDataFrame([("A", 1.0)], "STATION_ID string, LATITUDE double"))
+    rival = spark.createDataFrame([(1, "v1-0")], "version int, folder string")
+    results.merged_result(spark, "stations", rows).write.parquet(f"{tmp_path}/stations/v1-0")
+    known = store._log
+    calls = iter([[]])
+
+    def raced(table):
+        found = next(calls, None)
+        if found is None:
+            found = known(table)
+        else:
+            rival.write.parquet(f"{tmp_path}/stations/log/v1-0")
+        return found
+
+    store._log = raced
+    store.read = lambda table: None
+    with pytest.raises(RuntimeError, match="merge again"):
+        store.merge("stations", rows)
+    assert results.ResultStore(spark, str(tmp_path)).read("stations").count() == 1
+
+
+def test_counts_beyond_an_int_are_stored(spark):
+    rows = spark.createDataFrame(
+        [("H1", "m", 1.0, 3_000_000_000)],
+        "hypothesis string, metric_name string, metric_value double, sample_size long",
+    )
+    assert results.as_result_rows(rows, "analysis_summary").first().sample_size == 3_000_000_000
+
+
+def test_profile_lists_every_file(spark, tmp_path):
+    for i in range(7):
+        write(tmp_path / f"{i}.csv", "A,1\n" * (i + 1))
+    df = spark.read.csv(f"{tmp_path}/*.csv")
+    rows = quality.source_file_profile(df).collect()
+    assert [r.records for r in rows] == list(range(1, 8))
+    assert {r.total_bytes for r in rows} == {4 * 28} and rows[2].bytes == 12
+    assert quality.source_file_profile(df, 5).count() == 5
 
 
 def test_yearly_trend_rows(spark):

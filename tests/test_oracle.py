@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from catalog.oracle import SQL
+from catalog.queries import QUERIES
 from tools.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -20,12 +22,12 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_a_check():
-    assert set(oracle_sql()) == set(queries())
+    assert set(SQL) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     problem = compare(df, con, name)
     assert problem is None or (name in EMPTY_HERE and problem == "EMPTY")
     plan = df._jdf.queryExecution().executedPlan().toString()

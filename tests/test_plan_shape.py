@@ -4,8 +4,8 @@ import re
 
 import pytest
 
-from stationlab.operators import quality, sampling
-from stationlab.plans import heat, snowmelt, wind, winter
+from stationlab.operators import joins, quality, sampling, thresholds
+from stationlab.plans import heat, snowmelt, wind, winter, workflow
 from stationlab.sinks.files import write_clean_long
 from stationlab.sources.files import read_observations, read_year_range
 
@@ -56,3 +56,40 @@ def test_random_sample_is_limited_before_the_shuffle(spark, generated_stations):
 
     plan = executed(sampling.regional_random_sample(map_state_to_region(generated_stations)))
     assert plan.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize(
+    "attach",
+    [
+        lambda obs, stations: joins.attach_region(obs, stations),
+        lambda obs, stations: joins.attach_elevation(obs, stations),
+        lambda obs, stations: joins.station_semi_join(obs, stations.select("STATION_ID")),
+        lambda obs, stations: joins.station_semi_join(obs, stations.select("STATION_ID"), salts=4),
+        lambda obs, stations: thresholds.threshold_join(obs, "VALUE", 0.9, ("year", "STATION")),
+    ],
+)
+def test_filters_and_pruning_pass_through_station_joins(spark, stored, generated_stations, attach):
+    obs = read_observations(spark, stored, "parquet")
+    plan = executed(attach(obs, generated_stations).filter("year = 2013").select("STATION", "VALUE"))
+    scans = re.findall(r"FileScan parquet.*", plan)
+    assert scans and all(re.search(r"PartitionFilters: \[[^]]*year", scan) for scan in scans)
+    assert all("ELEMENT" not in scan.split("ReadSchema")[1] for scan in scans)
+
+
+def test_heat_moves_a_station_once(spark, stored):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        summary = heat.spring_summer_heat(read_observations(spark, stored, "parquet"))[1]
+        plan = summary._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"\bExchange ", plan)) <= 7
+
+
+def test_a_run_reads_its_observations_three_times(spark, stored, generated_stations):
+    found = workflow.analyze(read_observations(spark, stored, "parquet"), generated_stations)
+    scans = [
+        len(re.findall("FileScan parquet", table._jdf.queryExecution().executedPlan().toString()))
+        for table in found.tables.values()
+    ]
+    assert sum(scans) == 3

@@ -106,6 +106,7 @@ def test_quality_counts(spark):
         "negative_precipitation": 1,
         "null_value": 1,
         "duplicate_keys": 4,
+        "invalid_date": 3,
     }
     assert quality.count_distinct_keys(obs).first()["keys"] == 6
     assert quality.validate_quality(obs.filter("STATION = 'C'")).count() == 0
@@ -156,10 +157,10 @@ def test_copies_are_numbered_over_several_tasks(spark):
     assert sampling.even_spaced_sample(df, {"West": 10}).count() == 10
 
 
-def test_copies_of_a_row_get_several_salts(spark):
-    rows = spark.range(1000, numPartitions=8).select(F.lit("A").alias("k"), F.lit(1).alias("v"))
+def test_rows_of_a_hot_key_get_several_salts(spark):
+    rows = spark.range(1000, numPartitions=8).select(F.lit("A").alias("k"), F.col("id").alias("DATE"))
     table = spark.createDataFrame([("A", "x")], "k string, w string")
-    joined = joins.salted_lookup(rows, table.withColumn("seen", F.lit(1)), ["k"])
+    joined = joins.salted_lookup(rows, table.withColumn("seen", F.lit(1)), ["k"], salts=8)
     assert joined.count() == 1000 and joined.filter("w = 'x'").count() == 1000
 
 
@@ -169,6 +170,8 @@ def test_station_sample_keeps_whole_stations(spark):
     sizes = {r["count"] for r in kept.groupBy("STATION").count().collect()}
     assert sizes == {3} and 0 < kept.count() < obs.count()
     assert sampling.sample_observations(obs, 1.0) is obs
+    ids = spark.range(1_000_000).select(F.format_string("S%07d", "id").alias("STATION"))
+    assert 1 <= sampling.sample_observations(ids, 1e-5).count() <= 30
     with pytest.raises(ValueError):
         sampling.sample_observations(obs, 0.5, unit="day")
 
@@ -190,6 +193,33 @@ def test_merge_inserts_overwrites_and_folds_repeated_keys(spark):
     ]
 
 
+def test_rows_of_equal_arrival_merge_repeatably(spark):
+    target = spark.createDataFrame([], "k string, x int, y int")
+    updates = [("A", 1, 5, 1), ("A", 2, 6, 1)]
+    for rows in (updates, updates[::-1]):
+        df = spark.createDataFrame(rows, "k string, x int, y int, seq int")
+        assert tuple(keyed_merge(target, df, ["k"], ["x"], ["seq"]).first()) == ("A", 2, 5)
+
+
+def test_a_quota_of_zero_takes_no_station(spark):
+    rows = [(f"S{i}", float(i), r) for r in ("Northeast", "West") for i in range(5)]
+    stations = spark.createDataFrame(rows, "STATION_ID string, ELEVATION double, REGION string")
+    found = sampling.even_spaced_sample(stations, {"Northeast": 0, "West": 2}).collect()
+    assert [(r.REGION, r.STATION_ID) for r in found] in (
+        [("West", "S0"), ("West", "S4")], [("West", "S4"), ("West", "S0")],
+    )
+
+
+def test_invalid_dates_and_missing_keys_are_counted(spark):
+    obs = spark.createDataFrame(
+        [("A", 20230229, "TMAX", 1.0), ("A", 20240229, "TMAX", 1.0), ("A", 20241301, "PRCP", 1.0),
+         (None, 20240101, "PRCP", 1.0), ("A", None, "PRCP", 1.0), ("A", 20240102, None, 1.0)],
+        "STATION string, DATE int, ELEMENT string, VALUE double",
+    )
+    found = {r.issue: r.n for r in quality.validate_quality(obs).collect()}
+    assert found == {"invalid_date": 2, "missing_key": 3}
+
+
 def test_merge_without_an_order_keeps_keys_unique(spark):
     target = spark.createDataFrame([("A", 1.0)], "k string, v double")
     updates = spark.createDataFrame([("A", 3.0), ("A", 2.0), ("B", 5.0), ("B", 4.0)], "k string, v double")

@@ -113,3 +113,8 @@ def test_value_equal_to_the_threshold_is_not_above_it(spark):
     df = spark.createDataFrame([("A", 5.0), ("A", 5.0), ("A", 5.0), ("A", 6.0)], "STATION string, VALUE double")
     flags = sorted((r.VALUE, r.is_extreme) for r in threshold_join(df, "VALUE", 0.5).collect())
     assert flags == [(5.0, False)] * 3 + [(6.0, True)]
+
+
+def test_nan_readings_are_unknown(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", 2.0)], "g string, v double")
+    assert one(percentile_by_group(df, ["g"], "v", 0.95)).threshold == pytest.approx(1.95)

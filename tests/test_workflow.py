@@ -35,7 +35,7 @@ def test_from_raw_files_to_stored_results(spark, generated, generated_stations,
     found = workflow.analyze(obs, stations, workflow.Gates(season_days=45))
     root = str(tmp_path / "results")
     tables = workflow.store(spark, found, root, stations)
-    assert len(tables) == 7
+    assert len(tables) == 8
     store = ResultStore(spark, root)
     first = {t: store.read(t).count() for t in tables}
     assert all(first.values())
