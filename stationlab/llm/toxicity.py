@@ -200,7 +200,8 @@ def sample(docs: DataFrame, labels: DataFrame) -> list[tuple[str, int]]:
         draw <= F.when(F.col("label") == 1, F.lit(share[1])).otherwise(F.lit(share[0]))
     ).select("doc_id", "label")
     # The drawn ids are as few as their texts are; so texts are read again, never shuffled.
-    taken = docs.filter("text IS NOT NULL").join(F.broadcast(drawn), "doc_id")
+    taken = docs.select("doc_id", "text").filter("text IS NOT NULL")
+    taken = taken.join(F.broadcast(drawn), "doc_id")
     taken = taken.select(F.xxhash64("doc_id", "text").alias("h"), "text", "label")
     return [(text, label) for _, text, label in sorted(map(tuple, taken.collect()))]
 
