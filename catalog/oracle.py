@@ -987,3 +987,54 @@ check(
     ),
     " ".join(REPORT_COLUMNS),
 )
+
+# Merged result tables: where the rows of each come from, and its number columns there.
+TREND_ROWS = """SELECT avg(VALUE) AS avg_value, max(VALUE) AS max_value, NULL AS std_value,
+         NULL AS min_value, NULL AS num_stations FROM flags GROUP BY year
+  UNION ALL SELECT sum(CASE WHEN is_heat_wave_day THEN 1 ELSE 0 END), NULL, NULL, NULL, NULL
+  FROM flags GROUP BY year
+  UNION ALL SELECT avg(snowmelt_doy), max(snowmelt_doy), stddev_samp(snowmelt_doy),
+         min(snowmelt_doy), count(*) FROM melt_all GROUP BY year"""
+MERGED = {
+    "h1_winter_precipitation": (
+        "winters",
+        "early_winter_prcp late_winter_prcp early_anomaly late_anomaly baseline_early baseline_late",
+    ),
+    "h2_spring_summer_heat": (
+        "heat",
+        "spring_avg_tmax spring_temp_anomaly heat_wave_days max_heat_wave_temp extreme_days",
+    ),
+    "h3_wind_moderation": (
+        "(SELECT *, AWND AS awnd FROM events)",
+        "awnd temp_range avg_range_before avg_range_after range_change",
+    ),
+    "h4_snowmelt_precipitation": (
+        "melt_rain",
+        "snowmelt_doy melt_anomaly_days spring_prcp prcp_anomaly_std baseline_melt_doy"
+        " melt_anomaly_std baseline_spring_prcp",
+    ),
+    "analysis_summary": (
+        f"(SELECT * FROM ({LONG_ROWS}) WHERE metric_value IS NOT NULL)",
+        "metric_value sample_size",
+    ),
+    "stations": ("obs_stations", "latitude longitude elevation"),
+    "yearly_trends": (f"({TREND_ROWS})", "avg_value min_value max_value std_value num_stations"),
+    "regional_results": (
+        """(SELECT correlation, coalesce(sample_size, num_events) AS sample_size,
+         coalesce(moderation_rate, compensation_rate) AS effect_size
+  FROM regional WHERE status = 'ok')""",
+        "correlation sample_size effect_size",
+    ),
+}
+check(
+    "result_table_merges",
+    (*REGIONAL, *ALL_SUMMARIES),
+    "SELECT table_name, item, round(total, 3) + 0.0 AS total FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{item}' AS item, CAST({value} AS DOUBLE) AS total"
+        f" FROM {rows}"
+        for table, (rows, items) in MERGED.items()
+        for item, value in [("records", "count(*)"), *[(i, f"sum({i})") for i in items.split()]]
+    )
+    + ") WHERE total IS NOT NULL",
+)

@@ -20,8 +20,8 @@ from stationlab.operators import (
     upsert,
     windows,
 )
-from stationlab.plans import heat, regional, report, snowmelt, wind, winter
-from stationlab.schemas import KEY_ELEMENTS, LATE_SPRING, SPRING, SUMMER
+from stationlab.plans import heat, regional, report, snowmelt, wind, winter, workflow
+from stationlab.schemas import KEY_ELEMENTS, LATE_SPRING, RESULT_TABLES, SPRING, SUMMER
 from stationlab.session import scratch_path
 from stationlab.sinks import files as sink_files
 from stationlab.sinks import results
@@ -224,6 +224,34 @@ def export_all_results(spark, sf_dir):
     return rounded(store.read("analysis_summary").drop("description"))
 
 
+@query
+def result_table_merges(spark, sf_dir):
+    """A whole run stored twice: rows and sums of the number columns of all eight tables."""
+    gates = workflow.Gates(
+        season_days=MIN_DAYS, spring_days=MIN_DAYS, region_rows=REGION_ROWS, heat_percentile=HEAT
+    )
+    stations = adapter.obs_stations(spark, sf_dir)
+    run = workflow.analyze(obs_of(spark, sf_dir), stations, gates, quality_checks=False)
+    root = scratch_path(spark, "results")
+    for _ in range(2):
+        workflow.store(spark, run, root, stations)
+    store, found = results.ResultStore(spark, root), None
+    for name, spec in RESULT_TABLES.items():
+        table = store.read(name)
+        numbers = [
+            c
+            for c in (*spec["update"], *spec["insert_only"])
+            if table.schema[c].dataType.typeName() in ("double", "long", "integer")
+        ]
+        sums = {"records": F.count(F.lit(1))} | {c: F.sum(c) for c in numbers}
+        sums = [F.struct(F.lit(c).alias("item"), v.cast("double").alias("total")) for c, v in sums.items()]
+        part = table.agg(F.array(*sums).alias("sums")).select(
+            F.lit(name).alias("table_name"), F.inline("sums")
+        )
+        found = part if found is None else found.unionAll(part)
+    return rounded(found.filter("total IS NOT NULL"), 3)
+
+
 @query
 def keyed_upsert(spark, sf_dir):
     """Winters up to 1998 stored, winters from 1997 arriving twice with other values."""
