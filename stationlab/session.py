@@ -19,7 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder
     if context.master == "local" or context.master.startswith("local["):
-        return f"{spark.conf.get('spark.local.dir', '/tmp')}/{FOLDER}-{context.applicationId}"
+        local = spark.conf.get("spark.local.dir", "/tmp").split(",")[0]
+        return f"{local}/{FOLDER}-{context.applicationId}"
     files = context._jvm.org.apache.hadoop.fs.FileSystem.get(context._jsc.hadoopConfiguration())
     return f"{files.getHomeDirectory().toString()}/.{FOLDER}"
 
