@@ -10,10 +10,11 @@ and is accepted if that is not above what training texts of that language and le
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +25,8 @@ ORDER = 4
 # A model keeps so many grams of an order at most, the commonest; the rest is backed off.
 MOST_GRAMS = 262_144
 CHUNK = 1 << 20
-HELD = 1 << 21
+HELD = 1 << 20
+SLICE = 256
 ACCEPTED = 0.999
 UNDETERMINED = "und"
 UNKNOWN = float(np.log(1e-6))
@@ -61,42 +63,41 @@ def mask(order: int) -> int:
 def gram_counts(docs: DataFrame) -> DataFrame:
     """(lang, gram, n) of (lang, text): each task counts and merges, Spark adds up."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-
-        def merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
-            keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-            n = np.bincount(at, np.concatenate([n for _, n in parts]), len(keys))
-            return keys, n.astype(np.int64)
-
-        def rows(lang: str, keys: np.ndarray, n: np.ndarray) -> pd.DataFrame:
-            return pd.DataFrame({"lang": lang, "gram": keys.view(np.int64), "n": n})
-
-        def add(lang: str, waiting: list[np.ndarray]) -> Iterator[pd.DataFrame]:
-            found = np.unique(np.concatenate(waiting), return_counts=True)
-            held.setdefault(lang, []).append(found)
-            if sum(len(k) for k, _ in held[lang]) > HELD // 4:
-                held[lang] = [merged(held[lang])]
-                if len(held[lang][0][0]) > HELD // 8:
-                    yield rows(lang, *held.pop(lang)[0])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[str, list[np.ndarray]] = {}
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+        def rows(lang: str) -> pa.RecordBatch:
+            keys, n = held.pop(lang)
+            langs = pa.array([lang]).take(pa.array(np.zeros(len(keys), np.int32)))
+            columns = [langs, pa.array(keys.view(np.int64)), pa.array(n)]
+            return pa.record_batch(columns, names=["lang", "gram", "n"])
+
+        def merge(lang: str) -> Iterator[pa.RecordBatch]:
+            keys, n = np.unique(np.concatenate(waiting.pop(lang)), return_counts=True)
+            if lang in held:
+                keys, at = np.unique(np.concatenate([held[lang][0], keys]), return_inverse=True)
+                n = np.bincount(at, np.concatenate([held[lang][1], n]), len(keys))
+            held[lang] = (keys, n.astype(np.int64))
+            if len(keys) > HELD:
+                yield rows(lang)
 
         for batch in batches:
-            for lang, texts in batch.groupby("lang")["text"]:
-                waiting, size = [], 0
-                for text in texts:
+            for low in range(0, batch.num_rows, SLICE):
+                some = batch.slice(low, SLICE)
+                for lang, text in zip(*[some.column(c).to_pylist() for c in ("lang", "text")]):
                     codes = coded(text)
-                    for low in range(0, max(0, len(codes) - ORDER + 1), CHUNK):
-                        waiting.append(keys_of(codes[low : low + CHUNK + ORDER - 1]))
-                        size += len(waiting[-1])
-                        if size >= CHUNK:
-                            yield from add(lang, waiting)
-                            waiting, size = [], 0
-                if waiting:
-                    yield from add(lang, waiting)
-        for lang, parts in held.items():
-            yield rows(lang, *merged(parts))
-
-    counted = docs.select("lang", "text").mapInPandas(count, "lang string, gram long, n long")
+                    for at in range(0, max(0, len(codes) - ORDER + 1), CHUNK):
+                        keys = keys_of(codes[at : at + CHUNK + ORDER - 1])
+                        waiting.setdefault(lang, []).append(keys)
+                        if sum(map(len, waiting[lang])) >= CHUNK:
+                            yield from merge(lang)
+        for lang in list(waiting):
+            yield from merge(lang)
+        for lang in list(held):
+            yield rows(lang)
+
+    counted = docs.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -246,7 +247,7 @@ class Models:
         return -sums / np.maximum(sizes, 1)[:, None], sizes
 
 
-@cache
+@lru_cache(maxsize=1)
 def load_models(folder: str) -> Models | None:
     """The models in a folder, read once in each Python process."""
     import pyarrow.parquet as pq
@@ -256,26 +257,33 @@ def load_models(folder: str) -> Models | None:
     return Models(rows) if len(rows) else None
 
 
-def scored(text: Column, folder: str) -> Column:
-    """(lang, entropy, letters, score) of each whole text; null language without letters."""
+def scored(rows: DataFrame, folder: str) -> DataFrame:
+    """The columns of `rows` but the text, with lang, entropy, letters and score of each whole text;
+    the language is null without letters. Texts are taken from Arrow a few at a time."""
+    kept = [c for c in rows.columns if c != "text"]
 
-    @F.pandas_udf("lang string, entropy double, letters long, score double")
-    def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = load_models(folder)
         for batch in batches:
-            n = len(batch)
-            if models is None:
-                yield pd.DataFrame({"lang": [None] * n, "entropy": 0.0, "letters": 0, "score": 0.0})
-                continue
-            entropy, letters = models.entropies(list(batch))
-            best = entropy.argmin(1)
-            lowest = entropy[np.arange(n), best]
-            gap = np.minimum((entropy - lowest[:, None]) * letters[:, None], 50)
-            score = np.where(letters > 0, 1 / np.exp(-gap).sum(1), 0.0)
-            lang = np.where(letters > 0, np.array(models.langs, object)[best], None)
-            yield pd.DataFrame({"lang": lang, "entropy": lowest, "letters": letters, "score": score})
-
-    return udf(text)
+            for low in range(0, batch.num_rows, SLICE):
+                some = batch.slice(low, SLICE)
+                n = some.num_rows
+                found = [pa.nulls(n, pa.string()), np.zeros(n), np.zeros(n, np.int64), np.zeros(n)]
+                if models is not None:
+                    entropy, letters = models.entropies(some.column("text").to_pylist())
+                    best = entropy.argmin(1)
+                    lowest = entropy[np.arange(n), best]
+                    gap = np.minimum((entropy - lowest[:, None]) * letters[:, None], 50)
+                    values = np.where(letters > 0, 1 / np.exp(-gap).sum(1), 0.0)
+                    langs = [models.langs[i] if m else None for i, m in zip(best, letters)]
+                    found = [pa.array(langs, pa.string()), lowest, letters, values]
+                columns = [some.column(c) for c in kept] + [pa.array(x) for x in found]
+                yield pa.record_batch(columns, names=[*kept, "lang", "entropy", "letters", "score"])
+
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in kept)
+    return rows.mapInArrow(
+        score, f"{types}, lang string, entropy double, letters long, score double"
+    )
 
 
 def remainder(doc_id: Column) -> Column:
@@ -300,15 +308,13 @@ def identify(docs: DataFrame) -> DataFrame:
     model.repartitionByRange("lang", "order", "gram").sortWithinPartitions(
         "lang", "order", "gram"
     ).write.parquet(folder)
-    found = stored(
-        docs.select(
-            "doc_id",
-            F.coalesce(remainder(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"),
-            F.when(remainder(F.col("doc_id")) != 1, F.col("lang")).alias("told"),
-            scored(F.col("text"), folder).alias("s"),
-        ).select("doc_id", "held_out", "told", "s.*"),
-        "languages",
+    rows = docs.select(
+        "doc_id",
+        F.coalesce(remainder(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"),
+        F.when(remainder(F.col("doc_id")) != 1, F.col("lang")).alias("told"),
+        "text",
     )
+    found = stored(scored(rows, folder), "languages")
     found = found.withColumn("length", F.floor(F.log2(F.greatest("letters", F.lit(1)))))
     steps = (
         found.filter("told = lang")
