@@ -19,15 +19,16 @@ from stationlab.llm.common import stored
 SPACE = r"[\x20\x09-\x0D]"
 UNIT = 1024
 FEATURES = ("x0", "x1", "x2", "x3")
-# Least standard deviations, so that a statistic which most texts lack does not decide alone.
-LEAST_SPREAD = (0.05, 0.10, 0.15, 0.15)
+# Least standard deviations, for statistics which most texts lack: small enough that each of them can
+# reject a text alone (5 % symbols, or a fifth of the lines or words repeated where others have none).
+LEAST_SPREAD = (0.05, 0.05, 0.10, 0.10)
 INNER = 0.75
 STEPS = 3
 # A group below this size shares the estimate of its language's small groups; where those are
 # fewer together, they are not judged.
 LEAST_ROWS = 40
-# Quantiles of chi-squared with four degrees of freedom: median, and 1 - 1e-9.
-MEDIAN, LIMIT = 3.3567, 47.5
+# Quantiles of chi-squared with four degrees of freedom: median, and 0.999.
+MEDIAN, LIMIT = 3.3567, 18.467
 FINEST = 256
 
 

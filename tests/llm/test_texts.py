@@ -222,6 +222,33 @@ def test_distances_equal_those_of_plain_steps(spark):
     assert (kept == (d <= scale * outliers.LIMIT)).all() and 0 < (~kept).sum() < 30
 
 
+def ordinary_text(rng):
+    """140 words in ten lines, no words of which repeat."""
+    return "\n".join(" ".join(words(rng, 14)) for _ in range(10))
+
+
+def test_each_statistic_rejects_alone(spark):
+    rng = random.Random(4)
+    texts = [ordinary_text(rng) for _ in range(200)]
+    lines = ordinary_text(rng).split("\n")
+    texts.append(" | ".join(words(rng, 140)))  # words divided by bars, about a fifth symbols
+    texts.append("\n".join(f"{x}\nsame" for x in lines))  # half of the lines repeat
+    texts.append("\n".join([*lines, " ".join(words(rng, 14) * 6)]))  # more than a third of the words repeat
+    texts.append("\n".join(" ".join("".join(rng.choices("abcdefgh", k=14)) for _ in range(14)) for _ in lines))  # long words
+    docs = docs_of(spark, texts).selectExpr("*", "'en' lang", "'s' source")
+    rows = {r.doc_id: r for r in outliers.judge(docs).collect()}
+    assert not any(rows[i].base_failed or rows[i].kept for i in range(200, 204))
+    assert sum(not rows[i].kept for i in range(200)) <= 4
+
+
+def test_outliers_of_labelled_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    judged = outliers.judge(docs).filter("NOT base_failed").join(labels, "doc_id")
+    share = {r.quality: r.s for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("s")).collect()}
+    assert share[1] > 0.95 and share[0] < 0.1
+
+
 def test_outliers_of_odd_rows(odd_docs, no_docs):
     rows = outliers.judge(odd_docs).collect()
     assert len(rows) == odd_docs.count()
