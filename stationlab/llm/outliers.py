@@ -1,9 +1,9 @@
 """Quality by robust multivariate outliers, per language and source; DataFrame functions only.
 
 Statistics of each text are transformed to four numbers. For each language and source, minimum-
-covariance-determinant steps find location and covariance of the inner three quarters, and texts
-whose Mahalanobis distance from them is too large are rejected. All sums are over whole numbers, so
-results do not depend on their order.
+covariance-determinant steps from several starts find location and covariance of the inner half, and
+texts whose Mahalanobis distance from them is too large are rejected. Estimates are over distinct
+vectors with their counts. All sums are over whole numbers, so results do not depend on their order.
 """
 
 from __future__ import annotations
@@ -22,8 +22,12 @@ FEATURES = ("x0", "x1", "x2", "x3")
 # Least standard deviations, for statistics which most texts lack: small enough that each of them can
 # reject a text alone (5 % symbols, or a fifth of the lines or words repeated where others have none).
 LEAST_SPREAD = (0.05, 0.05, 0.10, 0.10)
-INNER = 0.75
-STEPS = 3
+INNER = 0.5
+# Steps end where no determinant falls any more (about ten steps); this bound is not reached.
+STEPS = 100
+# A start counts as better than the first if its log-determinant is lower by this, and a step as
+# better than the one before if its log-determinant is lower by that.
+BETTER, FALL = 0.01, 1e-6
 # A group below this size shares the estimate of its language's small groups; where those are
 # fewer together, they are not judged.
 LEAST_ROWS = 40
@@ -116,8 +120,8 @@ def with_features(rows: DataFrame) -> DataFrame:
 
 
 def group_quantiles(rows: DataFrame, by: list[str], value: str, shares: dict[str, float]) -> DataFrame:
-    """Exact quantiles of a whole number per group, from counts of its values."""
-    counts = rows.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    """Exact quantiles of a whole number per group, from counts (column n) of its values."""
+    counts = rows.groupBy(*by, value).agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by)
     counts = counts.withColumn("upto", F.sum("n").over(group.orderBy(value))).withColumn(
         "all", F.sum("n").over(group)
@@ -147,57 +151,110 @@ def squared_distance() -> Column:
     return reduce(add, total)
 
 
-def stepped(rows: DataFrame) -> DataFrame:
+def with_distance(rows: DataFrame) -> DataFrame:
     """Distances as whole numbers, capped far beyond every limit."""
     d = F.least(squared_distance() * FINEST, F.lit(1e7))
     return rows.withColumn("d", F.floor(d).cast("long"))
 
 
-def start(rows: DataFrame) -> DataFrame:
-    """Medians, and half the distance of the outer sixths, as first location and spread."""
-    long = rows.select(
+P = len(FEATURES)
+PLACE = [f"m{j}" for j in range(P)]
+WHITE = [f"w{j}{k}" for j in range(P) for k in range(j + 1)]
+
+
+def starts(vectors: DataFrame) -> DataFrame:
+    """(group, start, det, m, w): first locations and spreads. Medians with half the distance of the
+    outer sixths; medians with the least spreads; lower quartiles with the least spreads, for groups
+    of which more than the upper sixth is unlike the rest."""
+    long = vectors.select(
         "group",
+        "n",
         F.explode(
             F.array(*[F.struct(F.lit(j).alias("j"), F.col(x).alias("v")) for j, x in enumerate(FEATURES)])
         ).alias("f"),
-    ).select("group", "f.j", "f.v")
-    q = group_quantiles(long, ["group", "j"], "v", {"low": 0.16, "mid": 0.5, "high": 0.84})
+    ).select("group", "n", "f.j", "f.v")
+    q = group_quantiles(long, ["group", "j"], "v", {"low": 0.16, "quarter": 0.25, "mid": 0.5, "high": 0.84})
     at = lambda j, c: F.max(F.when(F.col("j") == j, c))
-    columns = []
-    for j, least in enumerate(LEAST_SPREAD):
-        spread = F.greatest((F.col("high") - F.col("low")) / 2.0, F.lit(least * UNIT))
-        columns += [at(j, F.col("mid").cast("double")).alias(f"m{j}"), at(j, 1 / spread).alias(f"w{j}{j}")]
-        columns += [F.lit(0.0).alias(f"w{j}{k}") for k in range(j)]
-    return q.groupBy("group").agg(*columns)
-
-
-def concentrated(inner: DataFrame) -> DataFrame:
-    """Location and whitening (inverse Cholesky factor of the covariance) of the inner rows."""
-    p = len(FEATURES)
-    c = [F.col(x).cast("double") for x in FEATURES]
-    sums = inner.groupBy("group").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(c[j]).alias(f"s{j}") for j in range(p)],
-        *[F.sum(c[j] * c[k]).alias(f"s{j}{k}") for j in range(p) for k in range(j + 1)],
+    spread = (F.col("high") - F.col("low")) / 2.0
+    q = q.groupBy("group").agg(
+        *[at(j, F.col(c).cast("double")).alias(f"{c}{j}") for j in range(P) for c in ("quarter", "mid")],
+        *[at(j, F.greatest(spread, F.lit(least * UNIT))).alias(f"spread{j}") for j, least in enumerate(LEAST_SPREAD)],
     )
-    out = sums.select("*", *[(F.col(f"s{j}") / F.col("n")).alias(f"m{j}") for j in range(p)])
-    for j in range(p):
-        for k in range(j + 1):
-            value = F.col(f"s{j}{k}") / F.col("n") - F.col(f"m{j}") * F.col(f"m{k}")
-            if j == k:
-                value = F.greatest(value, F.lit(0.0)) + F.lit((LEAST_SPREAD[j] * UNIT) ** 2)
-            value = reduce(
-                lambda a, b: a - b, [F.col(f"l{j}{i}") * F.col(f"l{k}{i}") for i in range(k)], value
+    least = [F.lit(x * UNIT) for x in LEAST_SPREAD]
+    kinds = [("mid", [F.col(f"spread{j}") for j in range(P)]), ("mid", least), ("quarter", least)]
+    made = []
+    for i, (place, spreads) in enumerate(kinds):
+        white = [1 / spreads[j] if j == k else F.lit(0.0) for j in range(P) for k in range(j + 1)]
+        made.append(
+            F.struct(
+                F.lit(i).alias("start"),
+                F.lit(float("inf")).alias("det"),
+                *[F.col(f"{place}{j}").alias(f"m{j}") for j in range(P)],
+                *[w.alias(name) for w, name in zip(white, WHITE)],
             )
-            value = F.sqrt(F.greatest(value, F.lit(1.0))) if j == k else value / F.col(f"l{k}{k}")
-            out = out.withColumn(f"l{j}{k}", value)
-    for k in range(p):
+        )
+    return q.select("group", F.explode(F.array(*made)).alias("e")).select("group", "e.*")
+
+
+def stepped(vectors: DataFrame, estimate: DataFrame) -> DataFrame:
+    """(group, start, det, m, w, fell) one step on: location and whitening (inverse Cholesky factor of
+    the covariance) of the inner rows of each estimate, the logarithm of the determinant, and whether
+    it fell. Of the rows at the very limit of the inner half, each has the same part in the sums."""
+    pairs = [(j, k) for j in range(P) for k in range(j + 1)]
+    moments = [f"s{j}" for j in range(P)] + [f"s{j}{k}" for j, k in pairs]
+    c, n = [F.col(x) for x in FEATURES], F.col("n")
+    near = with_distance(joined(vectors, estimate))
+    levels = near.groupBy("group", "start", "det", "d").agg(
+        F.sum(n).alias("n"),
+        *[F.sum(n * c[j]).alias(f"s{j}") for j in range(P)],
+        *[F.sum(n * c[j] * c[k]).alias(f"s{j}{k}") for j, k in pairs],
+    )
+    group = Window.partitionBy("group", "start", "det")
+    levels = levels.withColumn("upto", F.sum("n").over(group.orderBy("d"))).withColumn(
+        "half", F.ceil(F.sum("n").over(group) * INNER)
+    )
+    whole, before = F.col("upto") <= F.col("half"), F.col("upto") - n
+    part = (F.col("half") - before) / n
+    inner = lambda x: (
+        F.coalesce(F.sum(F.when(whole, F.col(x))), F.lit(0)) + F.coalesce(F.max(F.when(~whole, part * F.col(x))), F.lit(0.0))
+    )
+    out = (
+        levels.filter(before < F.col("half"))
+        .groupBy("group", "start", "det")
+        .agg(F.max("half").alias("n"), *[inner(x).alias(x) for x in moments])
+    )
+    out = out.select("*", *[(F.col(f"s{j}") / n).alias(f"m{j}") for j in range(P)])
+    for j, k in pairs:
+        value = F.col(f"s{j}{k}") / n - F.col(f"m{j}") * F.col(f"m{k}")
+        if j == k:
+            value = F.greatest(value, F.lit(0.0)) + F.lit((LEAST_SPREAD[j] * UNIT) ** 2)
+        value = reduce(
+            lambda a, b: a - b, [F.col(f"l{j}{i}") * F.col(f"l{k}{i}") for i in range(k)], value
+        )
+        value = F.sqrt(F.greatest(value, F.lit(1.0))) if j == k else value / F.col(f"l{k}{k}")
+        out = out.withColumn(f"l{j}{k}", value)
+    for k in range(P):
         out = out.withColumn(f"w{k}{k}", 1 / F.col(f"l{k}{k}"))
-        for j in range(k + 1, p):
+        for j in range(k + 1, P):
             value = reduce(add, [F.col(f"l{j}{i}") * F.col(f"w{i}{k}") for i in range(k, j)])
             out = out.withColumn(f"w{j}{k}", -value / F.col(f"l{j}{j}"))
-    names = [f"w{j}{k}" for j in range(p) for k in range(j + 1)]
-    return out.select("group", *[f"m{j}" for j in range(p)], *names)
+    det = reduce(add, [2 * F.log(f"l{j}{j}") for j in range(P)])
+    return out.select("group", "start", det.alias("det"), *PLACE, *WHITE, (det < F.col("det") - FALL).alias("fell"))
+
+
+def estimates(vectors: DataFrame) -> DataFrame:
+    """(group, m, w) of least determinant over all starts, stepped until none falls."""
+    last, found = stored(starts(vectors), "location"), None
+    for _ in range(STEPS):
+        last = stored(stepped(vectors, last), "location").filter("fell").drop("fell")
+        if last.isEmpty():
+            break
+        found = last if found is None else found.union(last)
+    if found is None:
+        return last.select("group", *PLACE, *WHITE)
+    rank = F.when(F.col("start") == 0, F.col("det") - BETTER).otherwise(F.col("det"))
+    best = found.groupBy("group").agg(F.min(F.struct(rank.alias("rank"), "start", *PLACE, *WHITE)).alias("e"))
+    return best.select("group", *[F.col(f"e.{x}") for x in PLACE + WHITE])
 
 
 def with_groups(rows: DataFrame) -> DataFrame:
@@ -227,17 +284,15 @@ def judge(docs: DataFrame) -> DataFrame:
     their hashes or more are.
     """
     every = stored(with_features(statistics(docs)), "statistics")
-    rows = stored(
-        with_groups(every.filter("NOT base_failed")).filter("group IS NOT NULL").select("group", *FEATURES),
-        "features",
+    vectors = stored(
+        with_groups(every.filter("NOT base_failed"))
+        .filter("group IS NOT NULL")
+        .groupBy("group", *FEATURES)
+        .agg(F.count(F.lit(1)).alias("n")),
+        "vectors",
     )
-    estimate = stored(start(rows), "location")
-    for _ in range(STEPS):
-        near = stepped(joined(rows, estimate))
-        cut = group_quantiles(near, ["group"], "d", {"cut": INNER})
-        inner = joined(near.select("group", "d", *FEATURES), cut).filter("d <= cut")
-        estimate = stored(concentrated(inner), "location")
-    middle = group_quantiles(stepped(joined(rows, estimate)), ["group"], "d", {"mid": 0.5})
+    estimate = stored(estimates(vectors), "estimates")
+    middle = group_quantiles(with_distance(joined(vectors, estimate)), ["group"], "d", {"mid": 0.5})
     # The inner rows spread too little; their median distance says by how much.
     scale = F.greatest(F.col("mid") / F.lit(FINEST * MEDIAN), F.lit(1.0)).alias("scale")
     final = stored(joined(estimate, middle).select(*estimate.columns, scale), "estimates")

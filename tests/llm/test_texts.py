@@ -241,6 +241,20 @@ def test_each_statistic_rejects_alone(spark):
     assert sum(not rows[i].kept for i in range(200)) <= 4
 
 
+@pytest.mark.parametrize("share", [0.3, 0.4])
+def test_copies_do_not_hide_themselves(spark, share):
+    """A text with 35 % symbols whose copies are a large part of a language and source."""
+    rng = random.Random(5)
+    texts = [ordinary_text(rng) for _ in range(300)]
+    copy = " ".join(words(rng, 140))
+    copy += " " + "#" * (len(copy) // 2)
+    n = int(share * len(texts))
+    docs = docs_of(spark, [copy] * n + texts[n:]).selectExpr("*", "'en' lang", "'s' source")
+    rows = {r.doc_id: r for r in outliers.judge(docs).collect()}
+    assert not any(rows[i].kept for i in range(n))
+    assert sum(not rows[i].kept for i in range(n, 300)) <= 6
+
+
 def test_outliers_of_labelled_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
