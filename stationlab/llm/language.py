@@ -22,8 +22,6 @@ from stationlab.llm.common import opened, stored
 from stationlab.session import scratch_path
 
 ORDER = 4
-# A model keeps so many grams of an order at most, the commonest; the rest is backed off.
-MOST_GRAMS = 262_144
 CHUNK = 1 << 20
 HELD = 1 << 20
 SLICE = 256
@@ -148,9 +146,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
             rows = rows.join(below, (F.col("lang") == F.col("bl")) & (shorter == F.col("b")))
             rows = rows.withColumn("p", own + F.col("weight") * F.col("bp"))
         lower = stored(rows.select("lang", "gram", "n", "p"), f"kneser-ney-{order}")
-        most = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-        kept = lower.withColumn("r", F.row_number().over(most)).filter(F.col("r") <= MOST_GRAMS)
-        out.append(kept.select(F.lit(order).alias("order"), "lang", "gram", F.log("p").alias("logp")))
+        out.append(lower.select(F.lit(order).alias("order"), "lang", "gram", F.log("p").alias("logp")))
         if order > 1:
             gamma = contexts.select(
                 F.lit(-order).alias("order"), F.col("cl").alias("lang"), F.col("c").alias("gram"),

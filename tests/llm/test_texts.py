@@ -355,6 +355,19 @@ def test_languages_of_odd_rows(odd_docs, no_docs):
     assert {r.lang_pred for r in language.identify(unknown).collect()} == {"und"}
 
 
+def test_models_keep_every_gram(spark):
+    """More four-grams than 2**18 in one language."""
+    rng = random.Random(6)
+    text = "".join(chr(rng.randrange(0x4E00, 0x4E00 + 3000)) for _ in range(300_000))
+    docs = spark.createDataFrame([("zh", text), ("en", "a plain text of few grams")], "lang string, text string")
+    model = language.kneser_ney(language.gram_counts(docs)).filter("lang = 'zh'").toPandas()
+    keys = language.keys_of(language.coded(text))
+    for order in range(1, language.ORDER + 1):
+        grams = np.unique(keys & np.uint64(language.mask(order)))
+        assert (model.order == order).sum() == len(grams)
+    assert len(grams) > 1 << 18
+
+
 # Decontamination
 
 
