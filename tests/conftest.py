@@ -48,12 +48,3 @@ def generated_stations(spark, generated):
         "STATION_ID string, LATITUDE double, LONGITUDE double, ELEVATION double,"
         " STATE string, NAME string",
     )
-
-
-def observation_rows(spark, rows):
-    """Rows of (STATION, DATE, ELEMENT, VALUE) with date parts."""
-    from stationlab.functions.dates import derive_date_parts
-
-    return derive_date_parts(
-        spark.createDataFrame(rows, "STATION string, DATE int, ELEMENT string, VALUE double")
-    )

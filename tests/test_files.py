@@ -2,7 +2,7 @@ import json
 from unittest.mock import MagicMock
 
 import pytest
-from conftest import observation_rows
+from observation_tables import observation_rows
 from pyspark.sql import functions as F
 
 from stationlab.operators import quality

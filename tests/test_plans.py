@@ -1,7 +1,7 @@
 """The composite analyses at their default gates, over generated stations."""
 
 import pytest
-from conftest import observation_rows
+from observation_tables import observation_rows
 from pyspark.sql import functions as F
 
 from stationlab.operators import joins, windows

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import observation_rows
+from observation_tables import observation_rows
 from stationlab.functions.dates import day_of_year, is_calendar_day
 from stationlab.functions.scalars import elevation_bands
 from stationlab.operators import joins, prep, quality, sampling

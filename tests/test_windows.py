@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import observation_rows
+from observation_tables import observation_rows
 
 from stationlab.functions.dates import derive_date_parts
 from stationlab.operators import windows
