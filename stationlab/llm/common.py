@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from contextlib import suppress
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -71,6 +73,39 @@ def running_totals(
         ],
     )
 
+HEAVY = 1000
+
+
+def looked_up(rows: DataFrame, table: DataFrame, on: list[str], weight: str = "n") -> DataFrame:
+    """`rows` (stored) with the other columns of `table`, which has one row per key and in `weight`
+    how many rows hold the key, but for `weight` itself; rows without a key in it are dropped.
+
+    A key that holds a thousandth of the rows is one of at most HEAVY such keys, so these are
+    broadcast and their rows stay where they are; all other keys are joined by a shuffle, in which
+    no key has more than its thousandth.
+    """
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    keys = [f"__k{i}" for i in range(len(on))]
+    named = table.select(
+        *[F.col(c).alias(k) for c, k in zip(on, keys)],
+        *[c for c in table.columns if c not in (*on, weight)],
+        (F.col(weight) * HEAVY >= F.lit(total)).alias("__heavy"),
+    )
+    heavy, light = named.filter("__heavy").drop("__heavy"), named.filter("NOT __heavy").drop("__heavy")
+    same = reduce(and_, [F.col(c) == F.col(k) for c, k in zip(on, keys)])
+    near = rows.join(F.broadcast(heavy), same).drop(*keys)
+    far = rows.join(F.broadcast(heavy.select(*keys)), same, "left_anti").join(light, same).drop(*keys)
+    return near.unionAll(far)
+
+
+def ranked(df: DataFrame, order: list[str], name: str = "name") -> DataFrame:
+    """`df` (stored, its rows distinct in `order`) with their places in that order, from 0. The first
+    column of the order is a 64-bit hash, so equal ranges of it hold about equally many rows."""
+    buckets = sized_buckets(df.count(), 65_536)
+    bucket = F.floor((F.col(order[0]) / F.lit(2.0**64) + F.lit(0.5)) * buckets)
+    placed = running_totals(df, [], bucket, [F.col(c) for c in order], {name: F.lit(1).cast("long")})
+    return placed.withColumn(name, F.col(name) - 1)
+
 
 def opened(uri: str):
     """(pyarrow file system, path) of a place in the shared folder, usable inside tasks."""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlab.llm import chat, decontamination, language, mixing, near_duplicates, outliers, sharding, token_files, toxicity, warc
+from stationlab.llm import block_names, chat, decontamination, language, mixing, near_duplicates, outliers, sharding, token_files, toxicity, warc
 from stationlab.llm.common import stored, table
 from stationlab.llm.sql import SQL as SQL
 from stationlab.session import scratch_path
@@ -88,3 +88,8 @@ def op9_sampled_splitters(spark, sf_dir):
 @query
 def op10_fair_queue_mix(spark, sf_dir):
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_block_names(spark, sf_dir):
+    return block_names.exact_duplicates(table(spark, sf_dir, "documents"))

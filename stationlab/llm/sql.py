@@ -84,5 +84,15 @@ SELECT any_value(doc_id) AS doc_id, any_value(size) AS size,
        any_value(source_size) AS source_size, any_value(target) AS target,
        CAST(sum(CASE WHEN taken THEN size ELSE 0 END) AS BIGINT) AS taken
 FROM ordered GROUP BY rank, row
+""",
+    "op13_block_names": r"""
+WITH texts AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text
+    FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY text ORDER BY doc_id NULLS LAST) = 1 AS kept,
+       sha256(text) AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY text)
 """,
 }
