@@ -84,6 +84,61 @@ SELECT any_value(doc_id) AS doc_id, any_value(size) AS size,
        any_value(source_size) AS source_size, any_value(target) AS target,
        CAST(sum(CASE WHEN taken THEN size ELSE 0 END) AS BIGINT) AS taken
 FROM ordered GROUP BY rank, row
+""",
+    "op12_prefix_trie": """
+WITH turns AS (
+    SELECT conv_id AS conv, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id
+                              ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS number
+    FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+    SELECT conv, count(*) AS size, conv - conv % 100 AS family,
+           xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+                   string_split(conv::VARCHAR, ''),
+                   lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+               lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END),
+               4294967295) % 6 AS h
+    FROM turns GROUP BY conv
+), convs AS (
+    SELECT crc.*, least(h, coalesce(head.size, 0)) AS lent,
+           least(h, coalesce(head.size, 0)) + greatest(crc.size - h, 0) AS length
+    FROM crc LEFT JOIN (SELECT conv AS head, size FROM crc) head ON family = head
+), rebuilt AS (
+    SELECT conv, number - h + lent AS depth, role, text FROM turns JOIN convs USING (conv) WHERE number > h
+    UNION ALL
+    SELECT convs.conv, number, role, text FROM convs JOIN turns ON turns.conv = family AND number <= h
+    UNION ALL
+    SELECT conv, 0, '', '' FROM convs
+), keyed AS (
+    SELECT conv, depth, CAST(length(text) AS BIGINT) AS chars,
+           string_agg(md5(length(role) || ':' || role || text), '') OVER
+               (PARTITION BY conv ORDER BY depth ROWS UNBOUNDED PRECEDING) AS key
+    FROM rebuilt
+), paths AS (
+    SELECT conv, depth, chars, count(*) OVER node AS n, min(conv) OVER node AS first
+    FROM keyed WINDOW node AS (PARTITION BY depth, key)
+), nodes AS (
+    SELECT own.*, upper.first AS parent
+    FROM paths own LEFT JOIN paths upper ON own.conv = upper.conv AND own.depth = upper.depth + 1
+    WHERE own.conv = own.first
+), children AS (
+    SELECT parent AS conv, depth - 1 AS depth, count(*) AS n_children
+    FROM nodes WHERE parent IS NOT NULL GROUP BY ALL
+), below AS (
+    SELECT paths.first AS conv, paths.depth,
+           sum((nodes.n - 1) * nodes.chars) AS saved_tokens, sum((n_children IS NULL)::INT) AS n_leaves
+    FROM nodes JOIN paths ON nodes.conv = paths.conv AND paths.depth <= nodes.depth
+    LEFT JOIN children ON children.conv = nodes.conv AND children.depth = nodes.depth
+    GROUP BY ALL
+), ends AS (
+    SELECT first AS conv, depth, string_agg(conv::VARCHAR, ',' ORDER BY conv) AS ids
+    FROM paths JOIN convs USING (conv) WHERE depth = length GROUP BY ALL
+)
+SELECT conv AS conv_id, depth, parent AS parent_conv_id, n AS n_convs,
+       coalesce(n_children, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes JOIN below USING (conv, depth)
+LEFT JOIN children USING (conv, depth) LEFT JOIN ends USING (conv, depth)
 """,
     "op13_block_names": r"""
 WITH texts AS (
