@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlab.llm import block_names, chat, decontamination, language, mixing, near_duplicates, outliers, prefix_trie, sharding, token_files, toxicity, warc
+from stationlab.llm import block_names, chat, decontamination, language, mixing, near_duplicates, outliers, prefix_trie, sharding, token_alignment, token_files, toxicity, warc
 from stationlab.llm.common import stored, table
 from stationlab.llm.sql import SQL as SQL
 from stationlab.session import scratch_path
@@ -90,6 +90,15 @@ def op10_fair_queue_mix(spark, sf_dir):
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_token_alignment(spark, sf_dir):
+    return token_alignment.alignment(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 @query
 def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
