@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from stationlab.llm.common import stored
 
 # Characters of text that are aligned at once, and that a process remembers the tokens of.
-TOGETHER = 1 << 20
-REMEMBERED = 1 << 23
+TOGETHER = 1 << 18
+REMEMBERED = 1 << 22
+# Parts that a tokenizer gets as one text.
+ASKED = 64
 # Distinct pairs that a task counts before it hands them on.
 HELD = 1 << 20
 # Pairs held by at least one in so many of all (document, pair) incidences go to every task: there
@@ -91,6 +93,44 @@ class Pieces:
         return self.model.encode(texts, num_threads=1)
 
 
+class Kind:
+    """The tokens of remembered parts by one tokenizer."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.bytes = tokenizer, tokenizer.bytes
+        self.lengths = np.asarray(pc.binary_length(tokenizer.bytes), np.int64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.ids, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def learn(self, parts: list[str]) -> None:
+        """Parts go to the tokenizer as texts of ASKED of them; a token belongs to the part in whose
+        bytes it ends. Where the tokens have other bytes than the text, each part is asked alone."""
+        groups = [parts[i : i + ASKED] for i in range(0, len(parts), ASKED)]
+        ids, sizes = [self.ids], [self.sizes]
+        for low in range(0, len(groups), ASKED):
+            some = groups[low : low + ASKED]
+            for group, found in zip(some, self.tokenizer.encode([" ".join(g) for g in some])):
+                found = np.array(found, np.int32)
+                ends = np.cumsum([len(p.encode()) + 1 for p in group])
+                places = np.cumsum(self.lengths[found])
+                if len(places) and places[-1] == ends[-1] and np.isin(ends, places).all():
+                    ids.append(found)
+                    sizes.append(np.bincount(np.searchsorted(ends, places), minlength=len(group)))
+                else:
+                    alone = self.tokenizer.encode(group)
+                    ids += [np.array(x, np.int32) for x in alone]
+                    sizes.append(np.fromiter(map(len, alone), np.int64, len(alone)))
+        self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
+
+    def lists(self, numbers: np.ndarray, per_text: np.ndarray) -> pa.LargeListArray:
+        """The ids of each text, given the numbers of all parts and how many of them a text has."""
+        taken = listed(offsets_of(self.sizes), pa.array(self.ids)).take(pa.array(numbers))
+        ends = offsets_of(self.sizes[numbers])
+        return listed(ends[offsets_of(per_text)], taken.flatten())
+
+
 class Encoder:
     """Encodes texts by their parts between single spaces that stand between other characters.
 
@@ -99,40 +139,39 @@ class Encoder:
     every text, and each process asks for those of a part once; beyond REMEMBERED characters of
     parts it starts anew."""
 
-    def __init__(self, tokenizer):
-        self.tokenizer, self.bytes = tokenizer, tokenizer.bytes
+    def __init__(self, first: str, second: str):
+        self.kinds = [Kind(ByteLevel(first)), Kind(Pieces(second))]
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids, self.sizes, self.chars = np.zeros(0, np.int32), np.zeros(0, np.int64), 0
-
-    def learn(self, parts: list[str]) -> np.ndarray:
-        """The numbers of parts."""
+        self.chars = 0
+        for kind in self.kinds:
+            kind.forget()
+
+    def lists(self, texts: list[str]) -> list[pa.LargeListArray]:
+        """The ids of each text, of both kinds."""
+        parts = [CUT.split(t) for t in texts]
+        flat = pa.array([p for some in parts for p in some], pa.large_string()).dictionary_encode()
+        distinct = flat.dictionary.to_pylist()
         if self.chars > REMEMBERED:
             self.forget()
-        new = [p for p in parts if p not in self.known]
+        new = [p for p in distinct if p not in self.known]
         if new:
-            found = self.tokenizer.encode(new)
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, found), np.int64, len(new))])
-            self.ids = np.concatenate([self.ids, np.array([i for f in found for i in f], np.int32)])
             self.chars += sum(map(len, new))
-        return np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
-
-    def lists(self, parts: pa.DictionaryArray, per_text: np.ndarray) -> pa.LargeListArray:
-        """The ids of each text, given all parts and how many of them each text has."""
-        numbers = self.learn(parts.dictionary.to_pylist())[np.asarray(parts.indices)]
-        sizes = self.sizes[numbers]
-        ends = offsets_of(sizes)
-        at = np.repeat(offsets_of(self.sizes)[numbers] - ends[:-1], sizes) + np.arange(ends[-1])
-        return listed(ends[offsets_of(per_text)], pa.array(self.ids[at]))
+            for kind in self.kinds:
+                kind.learn(new)
+        numbers = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        numbers = numbers[np.asarray(flat.indices)]
+        per_text = np.fromiter(map(len, parts), np.int64, len(parts))
+        return [kind.lists(numbers, per_text) for kind in self.kinds]
 
 
 @cache
-def encoders(first: str, second: str) -> tuple[Encoder, Encoder]:
-    """Both encoders of this Python process."""
-    return Encoder(ByteLevel(first)), Encoder(Pieces(second))
+def encoder_of(first: str, second: str) -> Encoder:
+    """The encoder of this Python process: what one task has learnt serves the next."""
+    return Encoder(first, second)
 
 
 def offsets_of(sizes: np.ndarray) -> np.ndarray:
@@ -190,23 +229,20 @@ def group_pairs(a: pa.Table, b: pa.Table) -> pa.Table:
     return counted.sort_by([("text", "ascending"), ("pair", "ascending")])
 
 
-def align(texts: list[str | None], first, second) -> dict[str, pa.Array]:
+def align(texts: list[str | None], encoder: Encoder) -> dict[str, pa.Array]:
     """n_a, n_b, n_groups, n_links, groups_sha256, pairs and times of each text."""
     n = len(texts)
     known = np.array([bool(t) for t in texts], bool)
-    parts = [CUT.split(t) for t in texts if t]
-    flat = pa.array([p for some in parts for p in some], pa.large_string()).dictionary_encode()
-    per_text = np.fromiter(map(len, parts), np.int64, len(parts))
-    lists = [encoder.lists(flat, per_text) for encoder in (first, second)]
+    lists = encoder.lists([t for t in texts if t])
     whole = pa.array([" " + t for t in texts if t], pa.large_string())
-    right = pc.and_(*[lossless(x, t.bytes, whole) for x, t in zip(lists, (first, second))])
+    right = pc.and_(*[lossless(x, t.bytes, whole) for x, t in zip(lists, encoder.kinds)])
     known[known] = np.asarray(right.to_numpy(zero_copy_only=False), bool)
     m = int(known.sum())
     out = {c: np.zeros(n, np.int64) for c in ("n_a", "n_b", "n_groups", "n_links")}
     digests = [""] * n
     sizes, pairs, times = np.zeros(n, np.int64), pa.array([], pa.int64()), pa.array([], pa.int64())
     if m:
-        a, b = [token_ends(x.filter(right), t.bytes) for x, t in zip(lists, (first, second))]
+        a, b = [token_ends(x.filter(right), t.bytes) for x, t in zip(lists, encoder.kinds)]
         places = a.select(["text", "end", "at"]).join(
             b.select(["text", "end", "at"]).rename_columns(["text", "end", "other"]),
             ["text", "end"], join_type="inner", use_threads=False,
@@ -254,13 +290,13 @@ def aligned(docs: DataFrame, first: str, second: str) -> DataFrame:
     """COLUMNS of each row of `docs`; `row` numbers the rows."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = encoders(first, second)
+        encoder = encoder_of(first, second)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for part in runs(texts):
                 some = batch.slice(part.start, part.stop - part.start)
                 columns = {c: some.column(c) for c in ("row", "doc_id")}
-                columns |= align(texts[part], *both)
+                columns |= align(texts[part], encoder)
                 yield pa.record_batch(list(columns.values()), names=list(columns))
 
     rows = docs.select(

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from conftest import LONG, with_clashing
@@ -196,11 +197,13 @@ def plain_alignment(rows):
                 at += len(e)
                 places.append(at)
             ends.append(places)
-        both = sorted(set(ends[0]) & set(ends[1]))
-        groups, low = [], 0
-        for high in both:
-            groups.append([[i for i, e in zip(k[0], p) if low < e <= high] for k, p in zip(kinds, ends)])
-            low = high
+        both = set(ends[0]) & set(ends[1])
+        groups = [[[], []] for _ in both]
+        for k, (ids, _) in enumerate(kinds):
+            number = 0
+            for i, end in zip(ids, ends[k]):
+                groups[number][k].append(i)
+                number += end in both
         found.append((doc_id, kinds[0][0], kinds[1][0], groups))
     counts = Counter()
     for _, _, _, groups in found:
@@ -254,16 +257,28 @@ def test_alignment_of_odd_rows(odd_docs, no_docs):
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from(list("ab 1'.,\t\n 　▁é́東京s​\x1c<|>")), max_size=40))
 def test_parts_have_the_tokens_of_the_whole(text):
-    for encoder in token_alignment.encoders(A, B):
+    for kind in token_alignment.encoder_of(A, B).kinds:
         parts = token_alignment.CUT.split(text)
-        whole = encoder.tokenizer.encode([text])[0]
+        whole = kind.tokenizer.encode([text])[0]
         if "▁" not in text:
-            assert [i for p in encoder.tokenizer.encode(parts) for i in p] == whole
+            assert [i for p in kind.tokenizer.encode(parts) for i in p] == whole
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("ab.▁é東\n")), min_size=1, max_size=6), min_size=1, max_size=200))
+def test_parts_asked_together_have_their_own_tokens(parts):
+    for kind in token_alignment.encoder_of(A, B).kinds:
+        kind.forget()
+        kind.learn(parts)
+        ends = np.cumsum(kind.sizes)[:-1]
+        found = [x.tolist() for x in np.split(kind.ids, ends)]
+        assert found == [list(x) for x in kind.tokenizer.encode(parts)]
+    token_alignment.encoder_of(A, B).forget()
 
 
 def test_process_forgets_beyond_its_bound(monkeypatch):
     monkeypatch.setattr(token_alignment, "REMEMBERED", 50)
-    both = [token_alignment.Encoder(k(p)) for k, p in ((token_alignment.ByteLevel, A), (token_alignment.Pieces, B))]
-    small = [token_alignment.align([t, None], *both) for t in TEXTS * 2]
-    whole = token_alignment.align(TEXTS, *token_alignment.encoders(A, B))
+    encoder = token_alignment.Encoder(A, B)
+    small = [token_alignment.align([t, None], encoder) for t in TEXTS * 2]
+    whole = token_alignment.align(TEXTS, token_alignment.encoder_of(A, B))
     assert [x["groups_sha256"][0].as_py() for x in small] == whole["groups_sha256"].to_pylist() * 2
