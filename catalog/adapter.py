@@ -81,6 +81,22 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw readings as lines of their yearly files, some cut, garbled or incomplete."""
+    rows = raw(spark, sf_dir).filter("VALUE IS NOT NULL").withColumn("key", (F.col("DATE") % 100 + F.col("VALUE")) % 20)
+    empty, day = F.lit(""), F.col("DATE").cast("string")
+    fields = [
+        F.when(F.col("key") == 3, empty).otherwise(F.col("STATION")),
+        F.when(F.col("key") == 5, empty).when(F.col("key") == 6, "x").otherwise(day),
+        F.col("ELEMENT"),
+        F.when(F.col("key") == 7, empty).otherwise(F.col("VALUE").cast("string")),
+    ]
+    line = F.concat_ws(",", *fields)
+    rest = F.concat(F.lit(",,"), F.coalesce("QFLAG", empty), F.lit(",7,"))
+    cut = F.when(F.col("key") == 9, line).when(F.col("key") == 10, F.concat(line, rest, F.lit(",,")))
+    return rows.select(cut.otherwise(F.concat(line, rest)).alias("value"))
+
+
 def _state(key: str):
     return F.split_part(F.lit(STATES), F.lit(","), F.col(key) + 1).alias("STATE")
 

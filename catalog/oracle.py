@@ -1038,3 +1038,124 @@ check(
     )
     + ") WHERE total IS NOT NULL",
 )
+
+# Corrected years, rejected lines, stored counts and state.
+check(
+    "corrected_year_ingest",
+    (*RAW, "cleaned"),
+    """SELECT STATION, DATE, ELEMENT,
+       CASE WHEN ELEMENT IN ('TMAX', 'TMIN', 'PRCP') THEN CAST(moved AS DOUBLE) / 10
+            ELSE CAST(moved AS DOUBLE) END AS VALUE
+FROM (SELECT *, VALUE + CASE WHEN DATE // 10000 = 1997 THEN 1 ELSE 0 END AS moved FROM raw)
+WHERE QFLAG IS NULL AND ELEMENT IN ('TMAX', 'TMIN', 'PRCP', 'SNOW', 'SNWD', 'AWND')""",
+)
+check(
+    "raw_line_faults",
+    RAW,
+    """SELECT fault <> 'none' AS rejected, fault, count(*) AS lines,
+       CAST(sum(CASE WHEN fault = 'none' THEN VALUE END) AS BIGINT) AS value_sum,
+       CAST(sum(CASE WHEN fault <> 'none' THEN chars END) AS BIGINT) AS rejected_chars
+FROM (SELECT VALUE, CASE WHEN key IN (6, 9, 10) THEN 'malformed line' WHEN key = 3 THEN 'missing STATION'
+               WHEN key = 5 THEN 'missing DATE' WHEN key = 7 THEN 'missing VALUE' ELSE 'none' END AS fault,
+             length(STATION) * (key <> 3)::INT
+             + CASE key WHEN 5 THEN 0 WHEN 6 THEN 1 ELSE 8 END + length(ELEMENT)
+             + length(VALUE::VARCHAR) * (key <> 7)::INT + 3
+             + CASE WHEN key = 9 THEN 0 ELSE 4 + length(coalesce(QFLAG, '')) + 1 END
+             + CASE WHEN key = 10 THEN 2 ELSE 0 END AS chars
+      FROM (SELECT *, (DATE % 100 + VALUE) % 20 AS key FROM raw WHERE VALUE IS NOT NULL))
+GROUP BY ALL""",
+)
+check(
+    "station_line_faults",
+    (),
+    """SELECT CASE WHEN chars < 70 THEN 'short line' ELSE 'none' END AS fault, count(*) AS lines,
+       CAST(sum(chars) AS BIGINT) AS chars
+FROM (SELECT CASE WHEN c_custkey % 11 = 0 THEN 60 ELSE 71 END AS chars FROM customer) GROUP BY ALL""",
+)
+SQL["clustered_observations"] = SQL["wind_moderation"]
+check(
+    "quality_while_writing",
+    RAW,
+    """SELECT * FROM (
+  SELECT 'extreme_high_temperature' AS item, count(*) AS n FROM raw
+  WHERE ELEMENT IN ('TMAX', 'TMIN') AND VALUE > 45
+  UNION ALL SELECT 'extreme_low_temperature', count(*) FROM raw
+  WHERE ELEMENT IN ('TMAX', 'TMIN') AND VALUE < -45
+  UNION ALL SELECT 'negative_precipitation', count(*) FROM raw WHERE ELEMENT = 'PRCP' AND VALUE < 0
+  UNION ALL SELECT 'null_value', count(*) FROM raw WHERE VALUE IS NULL
+  UNION ALL SELECT ELEMENT, count(*) FROM raw GROUP BY ELEMENT)
+WHERE n > 0""",
+)
+check(
+    "run_documents",
+    ALL_SUMMARIES,
+    "SELECT run, hypothesis, metric_name, metric_value FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{run}' AS run, * FROM ("
+        + " UNION ALL ".join(
+            metric_rows(name, METRICS[name], f"sum_{name}", "NULL") for name in names
+        )
+        + ")"
+        for run, names in (("first", METRICS), ("second", ("H1", "H3")))
+    )
+    + ") WHERE metric_value IS NOT NULL",
+    "metric_value",
+)
+check(
+    "partition_upsert",
+    WINTERS,
+    """SELECT STATION, year, early_winter_prcp + (year = 1998)::INT AS early_winter_prcp,
+       late_winter_prcp + (year = 1998)::INT AS late_winter_prcp, year = 1998 AS rewritten
+FROM winters""",
+)
+SQL["percentile_from_state"] = SQL["percentile_threshold"]
+SQL["baseline_from_state"] = SQL["station_baseline"]
+check(
+    "profile_from_state",
+    RAW,
+    """SELECT 'overall' AS section, key, value FROM (
+  SELECT CAST(count(*) AS DOUBLE) AS records, CAST(count(DISTINCT STATION) AS DOUBLE) AS stations,
+         CAST(count(DISTINCT DATE // 10000) AS DOUBLE) AS years, CAST(min(DATE) AS DOUBLE) AS min_date,
+         CAST(max(DATE) AS DOUBLE) AS max_date,
+         count(*) / count(DISTINCT STATION) AS records_per_station FROM raw)
+UNPIVOT (value FOR key IN (records, stations, years, min_date, max_date, records_per_station))
+UNION ALL SELECT 'element', ELEMENT, CAST(count(*) AS DOUBLE) FROM raw GROUP BY ELEMENT
+UNION ALL SELECT 'year', CAST(DATE // 10000 AS VARCHAR), CAST(count(*) AS DOUBLE) FROM raw GROUP BY ALL
+UNION ALL SELECT 'duplicates', 'keys', CAST((SELECT count(*) FROM raw)
+  - (SELECT count(*) FROM (SELECT DISTINCT STATION, DATE, ELEMENT FROM raw)) AS DOUBLE)""",
+    "value",
+)
+DAY = "CAST(strptime(CAST(DATE AS VARCHAR), '%Y%m%d') AS DATE)"
+check(
+    "run_lengths_calendar",
+    (*OBS, "flags"),
+    f"""SELECT STATION, year, min(DATE) AS run_start, max(DATE) AS run_end,
+       count(*) AS run_length, max(VALUE) AS peak
+FROM (SELECT *, {DAY} - CAST(row_number() OVER (PARTITION BY STATION, year ORDER BY DATE) AS INTEGER)
+        AS island FROM flags WHERE is_extreme)
+GROUP BY STATION, year, island HAVING count(*) >= 2""",
+)
+check(
+    "lag_lead_calendar",
+    ("daily",),
+    f"""SELECT STATION, DATE, AWND, """
+    + ", ".join(
+        f"max(AWND) OVER (PARTITION BY STATION ORDER BY {DAY} RANGE BETWEEN INTERVAL {i} DAY {way}"
+        f" AND INTERVAL {i} DAY {way}) AS AWND_{kind}_{i}"
+        for kind, way in (("lag", "PRECEDING"), ("lead", "FOLLOWING"))
+        for i in range(1, 4)
+    )
+    + " FROM daily WHERE DATE % 3 <> 0",
+)
+check(
+    "before_after_calendar",
+    ("daily",),
+    f"""SELECT STATION, DATE, temp_range, avg_before, avg_after, avg_after - avg_before AS change
+FROM (SELECT STATION, DATE, temp_range,
+  CASE WHEN count(*) OVER b >= 3 THEN avg(temp_range) OVER b END AS avg_before,
+  CASE WHEN count(*) OVER a >= 3 THEN avg(temp_range) OVER a END AS avg_after
+  FROM (SELECT STATION, DATE, TMAX - TMIN AS temp_range FROM daily WHERE TMAX > TMIN AND DATE % 3 <> 0)
+  WINDOW b AS (PARTITION BY STATION ORDER BY {DAY} RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING),
+         a AS (PARTITION BY STATION ORDER BY {DAY} RANGE BETWEEN INTERVAL 1 DAY FOLLOWING AND INTERVAL 7 DAY FOLLOWING))""",
+    "avg_before avg_after change",
+)

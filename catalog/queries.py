@@ -16,6 +16,7 @@ from stationlab.operators import (
     quality,
     sampling,
     seasons,
+    state,
     thresholds,
     upsert,
     windows,
@@ -24,7 +25,7 @@ from stationlab.plans import heat, regional, report, snowmelt, wind, winter, wor
 from stationlab.schemas import KEY_ELEMENTS, LATE_SPRING, RESULT_TABLES, SPRING, SUMMER
 from stationlab.session import scratch_path
 from stationlab.sinks import files as sink_files
-from stationlab.sinks import results
+from stationlab.sinks import partitions, results
 from stationlab.sources import files as source_files
 from stationlab.streaming import ingest
 
@@ -94,18 +95,14 @@ def read_raw_yearly(spark, sf_dir):
 
 @query
 def read_filtered_years(spark, sf_dir):
+    """The year of each row's file, found in its path, beside the year of its date."""
     path = scratch_path(spark, "filtered")
-    rows = adapter.raw(spark, sf_dir).withColumn("y", dates.year_of("DATE"))
-    years = [r.y for r in rows.select("y").distinct().collect()]
-    for year in years:
-        rows.filter(F.col("y") == year).drop("y").write.csv(f"{path}/{year}", header=True)
-    # A year's file names are known from its folder; the column must name one of them.
-    read = None
-    for year in years:
-        part = source_files.read_filtered_years(spark, f"{path}/{year}/*").withColumn(
-            "file_year", F.when(F.col("source_file").startswith("part-"), F.lit(year)).cast("int")
-        )
-        read = part if read is None else read.unionAll(part)
+    rows = adapter.raw(spark, sf_dir).withColumn("file_year", dates.year_of("DATE"))
+    rows.write.partitionBy("file_year").csv(path, header=True)
+    read = source_files.read_filtered_years(spark, f"{path}/file_year=*/*").withColumn(
+        "file_year",
+        F.regexp_extract(F.col("_metadata.file_path"), r"file_year=(\d+)/", 1).cast("int"),
+    )
     return read.groupBy("STATION", dates.year_of("DATE").alias("year"), "file_year").agg(
         F.count(F.lit(1)).alias("records"),
         F.count("QFLAG").alias("flagged"),
@@ -114,6 +111,33 @@ def read_filtered_years(spark, sf_dir):
     )
 
 
+@query
+def raw_line_faults(spark, sf_dir):
+    """Yearly files with cut, garbled and incomplete lines: lines and sums by what became of them."""
+    path, table = scratch_path(spark, "raw-lines"), scratch_path(spark, "checked")
+    adapter.raw_lines(spark, sf_dir).write.text(path)
+    source_files.store_checked(source_files.read_raw_checked(spark, path), table)
+    return (
+        spark.read.parquet(table)
+        .groupBy(F.col("rejected").cast("boolean").alias("rejected"), F.coalesce("fault", F.lit("none")).alias("fault"))
+        .agg(
+            F.count(F.lit(1)).alias("lines"),
+            F.sum(F.when(F.col("fault").isNull(), F.col("VALUE"))).cast("long").alias("value_sum"),
+            F.sum(F.length("line")).alias("rejected_chars"),
+        )
+    )
+
+
+@query
+def station_line_faults(spark, sf_dir):
+    path = scratch_path(spark, "stations-text")
+    adapter.station_lines(spark, sf_dir).write.text(path)
+    checked = source_files.read_stations_checked(spark, path)
+    return checked.groupBy(F.coalesce("fault", F.lit("none")).alias("fault")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.length("value")).alias("chars")
+    )
+
+
 @query
 def parse_stations_fixed_width(spark, sf_dir):
     path = scratch_path(spark, "stations-text")
@@ -169,6 +193,49 @@ def incremental_year_ingest(spark, sf_dir):
     return spark.read.parquet(target).select("STATION", "DATE", "ELEMENT", "VALUE")
 
 
+@query
+def corrected_year_ingest(spark, sf_dir):
+    """All years delivered, then 1997 again with other values, then 1998 of an older delivery; and a
+    batch that runs twice."""
+    source, target = scratch_path(spark, "incoming"), scratch_path(spark, "ingested")
+    checkpoint = scratch_path(spark, "progress")
+    raw = adapter.raw(spark, sf_dir)
+    in_year = lambda year: raw.filter(dates.year_of("DATE") == year)
+    corrected = in_year(1997).withColumn("VALUE", F.col("VALUE") + 1)
+    late = in_year(1998).withColumn("VALUE", F.col("VALUE") + 2)
+    for number, rows in ((2, raw), (3, corrected), (1, late)):
+        rows.write.option("compression", "gzip").csv(f"{source}/delivery={number}")
+        ingest.ingest_deliveries(spark, source, target, checkpoint, files_per_batch=3)
+    again = scratch_path(spark, "batch")
+    corrected.write.parquet(again)
+    batch = spark.read.schema(corrected.schema).parquet(again).withColumn("delivery", F.lit(4))
+    for _ in range(2):
+        ingest.batch_writer(target)(batch, 1000)
+    ingest.drop_superseded(spark, target)
+    return ingest.current_years(spark, target).select("STATION", "DATE", "ELEMENT", "VALUE")
+
+
+@query
+def clustered_observations(spark, sf_dir):
+    """Wind moderation over observations stored in buckets by station."""
+    path = scratch_path(spark, "clustered")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    sink_files.write_clustered(obs_of(spark, sf_dir), name, path, 16)
+    return rounded(wind.wind_moderation(spark.table(name))[1])
+
+
+@query
+def quality_while_writing(spark, sf_dir):
+    """Issues and elements of the raw readings, counted while they are written."""
+    counts = quality.RowCounts(
+        adapter.RAW_ELEMENTS.split(","), max_tmax=45, max_tmin=45, min_tmax=-45, min_tmin=-45
+    )
+    watched = counts.watch(adapter.raw(spark, sf_dir))
+    sink_files.write_clean_long(watched, scratch_path(spark, "counted"))
+    elements = counts.coverage(spark).select(F.col("ELEMENT").alias("item"), F.col("records").alias("n"))
+    return counts.issues(spark).withColumnRenamed("issue", "item").unionAll(elements)
+
+
 @query
 def write_clean_long(spark, sf_dir):
     path = scratch_path(spark, "clean")
@@ -217,11 +284,31 @@ def results_document(spark, sf_dir):
     )
 
 
+def _paths(spec: dict[str, DataFrame]) -> dict[str, list[str]]:
+    """The number columns of each summary."""
+    return {
+        name: [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+        for name, df in spec.items()
+    }
+
+
+@query
+def run_documents(spark, sf_dir):
+    """Documents of two runs in one table, their metrics read by path; the second has two analyses."""
+    found = _summary_of_each(spark, sf_dir)
+    part = {name: found[name] for name in ("H1", "H3")}
+    path = scratch_path(spark, "documents")
+    report.run_documents(
+        {"first": report.results_document(found), "second": report.results_document(part)}
+    ).write.parquet(path)
+    return rounded(report.document_metrics(spark.read.parquet(path), _paths(found)))
+
+
 @query
 def export_all_results(spark, sf_dir):
-    store = results.ResultStore(spark, scratch_path(spark, "results"))
-    results.export_all_results(store, summaries(obs_of(spark, sf_dir)))
-    return rounded(store.read("analysis_summary").drop("description"))
+    folder = scratch_path(spark, "results")
+    results.export_all_results(spark, folder, summaries(obs_of(spark, sf_dir)))
+    return rounded(results.read_result(spark, folder, "analysis_summary").drop("description"))
 
 
 @query
@@ -232,12 +319,12 @@ def result_table_merges(spark, sf_dir):
     )
     stations = adapter.obs_stations(spark, sf_dir)
     run = workflow.analyze(obs_of(spark, sf_dir), stations, gates, quality_checks=False)
-    root = scratch_path(spark, "results")
+    folder, found = None, None
     for _ in range(2):
-        workflow.store(spark, run, root, stations)
-    store, found = results.ResultStore(spark, root), None
+        previous, folder = folder, scratch_path(spark, "results")
+        workflow.store(spark, run, folder, stations, previous)
     for name, spec in RESULT_TABLES.items():
-        table = store.read(name)
+        table = results.read_result(spark, folder, name)
         numbers = [
             c
             for c in (*spec["update"], *spec["insert_only"])
@@ -280,6 +367,25 @@ def keyed_upsert(spark, sf_dir):
     )
 
 
+@query
+def partition_upsert(spark, sf_dir):
+    """Winters stored by year, those of 1998 arriving with other values: rows, and whether the files
+    of their year were rewritten."""
+    names = ["STATION", "year", "early_winter_prcp", "late_winter_prcp"]
+    winters = winter.winter_detail(obs_of(spark, sf_dir), MIN_DAYS).select(*names)
+    path, keys, changed = scratch_path(spark, "winters"), names[:2], names[2:]
+    schema = winters.schema
+    partitions.upsert_partitions(spark, path, winters, keys, changed, "year", schema)
+    known = scratch_path(spark, "files")
+    partitions.partition_files(spark, path, "year").write.parquet(known)
+    updates = winters.filter("year = 1998").select(*keys, *[(F.col(c) + 1).alias(c) for c in changed])
+    partitions.upsert_partitions(spark, path, updates, keys, changed, "year", schema)
+    kept = spark.read.parquet(known).select("year", "file").withColumn("kept", F.lit(True))
+    files = partitions.partition_files(spark, path, "year").join(kept, ["year", "file"], "left")
+    state = files.groupBy("year").agg((F.count("kept") < F.count(F.lit(1))).alias("rewritten"))
+    return rounded(spark.read.schema(schema).parquet(path).join(state, "year").select(*names, "rewritten"))
+
+
 # Projections, filters and scalars.
 
 
@@ -469,16 +575,54 @@ def station_baseline(spark, sf_dir):
 @query
 def percentile_threshold(spark, sf_dir):
     """Thresholds of every supplier's readings, all elements together and per element."""
-    readings = adapter.raw(spark, sf_dir)
+    both = ["STATION", "ELEMENT"]
+    counts = thresholds.counted_readings(adapter.raw(spark, sf_dir), both, "VALUE")
+    n = F.col("n")
     return rounded(
-        thresholds.percentile_by_group(readings, ["STATION"], "VALUE", 0.95)
+        thresholds.percentile_by_group(counts, ["STATION"], "VALUE", 0.95, n)
         .withColumn("ELEMENT", F.lit("ALL"))
-        .unionByName(
-            thresholds.percentile_by_group(readings, ["STATION", "ELEMENT"], "VALUE", 0.90)
-        )
+        .unionByName(thresholds.percentile_by_group(counts, both, "VALUE", 0.90, n))
     )
 
 
+def _merged_state(spark: SparkSession, sf_dir: str) -> state.StationState:
+    """The state of the readings up to 1997, stored, and of the later ones, merged."""
+    obs = dates.derive_date_parts(adapter.raw(spark, sf_dir))
+    path = scratch_path(spark, "state")
+    state.write_state(state.state_of(obs.filter("year <= 1997")), path)
+    later = state.state_of(obs.filter("year > 1997"))
+    return state.merged(state.read_state(spark, path), later)
+
+
+@query
+def percentile_from_state(spark, sf_dir):
+    merged = _merged_state(spark, sf_dir)
+    return rounded(
+        merged.percentiles(["STATION"], 0.95)
+        .withColumn("ELEMENT", F.lit("ALL"))
+        .unionByName(merged.percentiles(["STATION", "ELEMENT"], 0.90))
+    )
+
+
+@query
+def profile_from_state(spark, sf_dir):
+    """The profile of all raw readings and their duplicate keys."""
+    merged = _merged_state(spark, sf_dir)
+    extra = merged.duplicate_keys().select(
+        F.lit("duplicates").alias("section"),
+        F.lit("keys").alias("key"),
+        F.col("duplicate_keys").cast("double").alias("value"),
+    )
+    return rounded(merged.profile().unionByName(extra))
+
+
+@query
+def baseline_from_state(spark, sf_dir):
+    rain = _yearly_rain(spark, sf_dir)
+    parts = [state.moments_of(rain.filter(years), "total") for years in ("year <= 1995", "year = 1996", "year > 1996")]
+    return rounded(state.baseline_of(state.merged_moments(parts), need_spread=True))
+
+
 @query
 def heat_wave_metrics(spark, sf_dir):
     return rounded(heat.heat_wave_metrics(heat.summer_flags(obs_of(spark, sf_dir), HEAT)))
@@ -632,6 +776,32 @@ def run_lengths(spark, sf_dir):
     return windows.run_lengths(_summer(spark, sf_dir), HEAT)
 
 
+def _days_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily readings of two days in three, so that row frames and calendar frames differ."""
+    return adapter.daily(spark, sf_dir).filter(F.col("DATE") % 3 != 0)
+
+
+@query
+def run_lengths_calendar(spark, sf_dir):
+    return windows.run_lengths(_summer(spark, sf_dir), HEAT, 2, calendar=True)
+
+
+@query
+def lag_lead_calendar(spark, sf_dir):
+    days = _days_with_gaps(spark, sf_dir).select("STATION", "DATE", "AWND")
+    return windows.lag_lead_features(days, "AWND", 3, calendar=True)
+
+
+@query
+def before_after_calendar(spark, sf_dir):
+    days = scalars.diurnal_range(_days_with_gaps(spark, sf_dir))
+    return rounded(
+        windows.before_after_window(
+            days.select("STATION", "DATE", "temp_range"), "temp_range", calendar=True, min_days=3
+        )
+    )
+
+
 @query
 def lag_lead_features(spark, sf_dir):
     days = adapter.daily(spark, sf_dir).select("STATION", "DATE", "AWND")

@@ -33,9 +33,15 @@ def day_of_year(date: str | Column = "DATE") -> Column:
     return F.dayofyear(F.try_to_date(column.cast("string"), "yyyyMMdd"))
 
 
+def day_number(date: str = "DATE") -> Column:
+    """Days since 1970-01-01, NULL where the integer names no calendar day."""
+    parts = [F.expr(f"cast(`{date}` div 10000 as int)"), month_of(date), day_of(date)]
+    return F.when(is_calendar_day(date), F.unix_date(F.make_date(*parts)))
+
+
 def is_calendar_day(date: str = "DATE") -> Column:
     """True where the integer names a day that exists. Plain arithmetic, so that it costs
-    nothing per row next to parsing text."""
+    nothing per row next to parsing text; most days are decided by being 28 or less."""
     year, month, day = year_of(date), month_of(date), day_of(date)
     leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
     length = (
@@ -43,7 +49,7 @@ def is_calendar_day(date: str = "DATE") -> Column:
         .when(month == 2, F.when(leap, 29).otherwise(28))
         .otherwise(31)
     )
-    return month.between(1, 12) & (day >= 1) & (day <= length)
+    return month.between(1, 12) & (day >= 1) & ((day <= 28) | (day <= length))
 
 
 def season_filter(df: DataFrame, months: Iterable[int], month: str = "month") -> DataFrame:

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stationlab.functions.dates import is_calendar_day
+from stationlab.functions.dates import is_calendar_day, year_of
 from stationlab.operators.joins import station_regions
-from stationlab.schemas import KEY_ELEMENTS, REGIONS
+from stationlab.schemas import ELEMENTS, KEY_ELEMENTS, REGIONS
 
 
 def _rows() -> Column:
@@ -90,20 +90,28 @@ def _distinct_dates(mask: str) -> Column:
     return F.coalesce(F.bit_count(mask), F.lit(1)).cast("long")
 
 
-def validate_quality(
-    obs: DataFrame,
-    max_tmax: float = 60.0,
-    max_tmin: float = 50.0,
-    min_tmax: float = -60.0,
-    min_tmin: float = -70.0,
-) -> DataFrame:
-    """Issues found and how many rows each concerns; checks without hits are left out.
+def date_blocks(obs: DataFrame) -> DataFrame:
+    """Rows and the mask of dates per station, element and 64-date block. Tables of different rows
+    merge: rows add up, masks are joined bit by bit."""
+    block, mask = _date_mask()
+    return obs.groupBy("STATION", "ELEMENT", block.alias("block")).agg(
+        _rows().alias("n"), mask.alias("mask")
+    )
 
-    Duplicates are rows beyond the first of each (STATION, DATE, ELEMENT). A date is invalid if it
-    is no calendar day; a key is missing if one of its three parts is."""
+
+def duplicates_of(blocks: DataFrame) -> DataFrame:
+    """Rows beyond the first of each key, as one row, from date blocks."""
+    extra = F.col("n") - _distinct_dates("mask")
+    return blocks.agg(F.coalesce(F.sum(extra), F.lit(0)).alias("duplicate_keys"))
+
+
+def row_checks(
+    max_tmax: float = 60.0, max_tmin: float = 50.0, min_tmax: float = -60.0, min_tmin: float = -70.0
+) -> dict[str, Column]:
+    """Tests of a single reading, by the name of the issue."""
     element, value = F.col("ELEMENT"), F.col("VALUE")
     is_tmax, is_tmin = element == "TMAX", element == "TMIN"
-    checks = {
+    return {
         "extreme_high_temperature": (is_tmax & (value > max_tmax))
         | (is_tmin & (value > max_tmin)),
         "extreme_low_temperature": (is_tmax & (value < min_tmax))
@@ -114,6 +122,59 @@ def validate_quality(
         & ~F.coalesce(is_calendar_day("DATE"), F.lit(False)),
         "missing_key": F.col("STATION").isNull() | F.col("DATE").isNull() | element.isNull(),
     }
+
+
+class RowCounts:
+    """Counts taken while readings pass by on their way to somewhere else, with `DataFrame.observe`.
+
+    `watch` returns the readings to be written; once they are, `issues` and `coverage` give what
+    `validate_quality` (but for duplicate keys, which need rows brought together) and
+    `coverage_by_element` give, without another read."""
+
+    def __init__(self, elements: Sequence[str] = tuple(ELEMENTS), **limits: float):
+        self.observation = Observation()
+        self.checks = row_checks(**limits)
+        self.elements = list(elements)
+
+    def watch(self, obs: DataFrame) -> DataFrame:
+        counts = [F.count_if(test).alias(f"issue_{name}") for name, test in self.checks.items()]
+        counts += [F.count_if(F.col("ELEMENT") == e).alias(f"element_{e}") for e in self.elements]
+        return obs.observe(
+            self.observation,
+            _rows().alias("records"),
+            F.min(year_of("DATE")).alias("min_year"),
+            F.max(year_of("DATE")).alias("max_year"),
+            *counts,
+        )
+
+    def figures(self) -> dict[str, int]:
+        """All counts; waits for the first action on the watched readings."""
+        return self.observation.get
+
+    def issues(self, spark: SparkSession) -> DataFrame:
+        found = [(name, self.figures()[f"issue_{name}"]) for name in self.checks]
+        return spark.createDataFrame([r for r in found if r[1]], "issue string, n long")
+
+    def coverage(self, spark: SparkSession) -> DataFrame:
+        figures = self.figures()
+        total = figures["records"]
+        rows = [(e, figures[f"element_{e}"]) for e in self.elements]
+        found = [(e, n, n / total) for e, n in sorted(rows, key=lambda r: (-r[1], r[0])) if n]
+        return spark.createDataFrame(found, "ELEMENT string, records long, share double")
+
+
+def validate_quality(
+    obs: DataFrame,
+    max_tmax: float = 60.0,
+    max_tmin: float = 50.0,
+    min_tmax: float = -60.0,
+    min_tmin: float = -70.0,
+) -> DataFrame:
+    """Issues found and how many rows each concerns; checks without hits are left out.
+
+    Duplicates are rows beyond the first of each (STATION, DATE, ELEMENT). A date is invalid if it
+    is no calendar day; a key is missing if one of its three parts is."""
+    checks = row_checks(max_tmax, max_tmin, min_tmax, min_tmin)
     block, mask = _date_mask()
     per_block = obs.groupBy("STATION", "ELEMENT", block.alias("_block")).agg(
         _rows().alias("_rows"),
@@ -150,9 +211,18 @@ def dataset_profile(obs: DataFrame) -> DataFrame:
 
     The readings are read once. Their counts per station, element and year are summed by
     station, by element and by year together, and the stations are then summed up."""
-    cube = obs.groupBy("STATION", "ELEMENT", "year").agg(
+    return profile_of(profile_cube(obs))
+
+
+def profile_cube(obs: DataFrame) -> DataFrame:
+    """Rows and first and last date per station, element and year. Cubes of different rows merge."""
+    return obs.groupBy("STATION", "ELEMENT", "year").agg(
         _rows().alias("n"), F.min("DATE").alias("first"), F.max("DATE").alias("last")
     )
+
+
+def profile_of(cube: DataFrame) -> DataFrame:
+    """The profile from a cube."""
     sets = [[F.col("STATION")], [F.col("ELEMENT")], [F.col("year")]]
     section = (
         F.when(F.grouping("ELEMENT") == 0, "element")

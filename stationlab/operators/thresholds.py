@@ -20,6 +20,12 @@ def keyed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
+def counted_readings(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """How often (`n`) each value occurs per group: percentiles of the group, and of any coarser one,
+    follow from it with `weight=F.col("n")`, and share its one shuffle of the readings."""
+    return keyed(df, list(by)).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+
+
 def percentile_by_group(
     df: DataFrame,
     by: Sequence[str],

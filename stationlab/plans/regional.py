@@ -13,7 +13,6 @@ from stationlab.plans.heat import heat_of, heat_summary, heat_wave_metrics, summ
 from stationlab.plans.snowmelt import melt_anomalies, snowmelt_summary
 from stationlab.plans.wind import wind_days, wind_summary
 from stationlab.plans.winter import winter_anomalies, winter_summary
-from stationlab.session import scratch_path
 
 # The names of the analyses.
 H1 = "H1_winter_precipitation"
@@ -73,15 +72,15 @@ def regional_consistency(
     min_wind_days: int = 100,
     min_years: int = 5,
     lag_days: int = 7,
+    years: DataFrame | None = None,
 ) -> DataFrame:
     """One row per analysis and eligible region; see `regional_of`.
 
-    The observations are read three times: for all that is per station-year, which is stored in
-    the shared folder because four branches use it, for summer days and for wind days."""
-    spark = obs.sparkSession
-    path = scratch_path(spark, "station-years")
-    station_years.station_years(obs).write.parquet(path)
-    years = spark.read.parquet(path)
+    Nothing runs before the result is used. The observations are read for all that is per
+    station-year, which four branches share, for summer days and for wind days. A caller who has
+    stored `station_years` gives them as `years`."""
+    if years is None:
+        years = station_years.station_years(obs)
     summers = heat_wave_metrics(summer_flags(obs, heat_percentile))
     tables = {
         "H1": winter_anomalies(station_years.winters(years, min_days), min_years),

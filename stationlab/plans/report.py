@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,3 +118,32 @@ def results_document(summaries: Mapping[str, DataFrame]) -> DataFrame:
             F.lit("{"), F.array_join(F.sort_array(F.collect_list(entry)), ","), F.lit("}")
         ).alias("document")
     )
+
+
+def run_documents(documents: Mapping[str, DataFrame]) -> DataFrame:
+    """(run, document): the one-row JSON documents of several runs as VARIANT values in one table."""
+    parts = [
+        document.select(F.lit(run).alias("run"), F.parse_json("document").alias("document"))
+        for run, document in documents.items()
+    ]
+    return _stacked(parts)
+
+
+def document_metric(document: str, hypothesis: str, metric: str) -> Column:
+    """A number of a document by its path, NULL where the run has none."""
+    path = f"$.{DOCUMENT_NAMES.get(hypothesis, hypothesis)}.{metric}"
+    return F.try_variant_get(document, path, "double")
+
+
+def document_metrics(documents: DataFrame, metrics: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(run, hypothesis, metric_name, metric_value) of the named metrics, each read by its path."""
+    entries = [
+        F.struct(
+            F.lit(hypothesis).alias("hypothesis"),
+            F.lit(metric).alias("metric_name"),
+            document_metric("document", hypothesis, metric).alias("metric_value"),
+        )
+        for hypothesis, names in metrics.items()
+        for metric in names
+    ]
+    return documents.select("run", F.inline(F.array(*entries))).filter("metric_value IS NOT NULL")

@@ -11,7 +11,7 @@ from stationlab.operators.joins import station_semi_join
 from stationlab.plans import heat, regional, report, snowmelt, station_years, wind, winter
 from stationlab.session import scratch_path
 from stationlab.sinks import files as sink_files
-from stationlab.sinks.results import ResultStore, export_all_results, yearly_trend_rows
+from stationlab.sinks.results import export_all_results, yearly_trend_rows
 from stationlab.sources import files as source_files
 
 
@@ -102,11 +102,17 @@ class Analyses:
 
 
 def prepare(
-    spark: SparkSession, station_text: str, raw_files: str, target: str, quotas: dict[str, int]
+    spark: SparkSession,
+    station_text: str,
+    raw_files: str,
+    target: str,
+    quotas: dict[str, int],
+    counts: quality.RowCounts | None = None,
 ) -> DataFrame:
     """Selects stations, keeps their clean readings and stores them. Returns the stations.
 
-    Writes `stations`, `station_ids` and `observations` below `target`."""
+    Writes `stations`, `station_ids` and `observations` below `target`. `counts` takes the quality
+    counts of the kept readings while they are written."""
     known = source_files.read_stations_fixed_width(spark, station_text)
     stations = sampling.even_spaced_sample(known, quotas)
     table, ids = f"{target}/stations", f"{target}/station_ids"
@@ -114,6 +120,7 @@ def prepare(
     raw = source_files.read_raw_yearly(spark, raw_files)
     known_ids = source_files.read_station_ids(spark, ids)
     kept = station_semi_join(prep.clean_observations(raw), known_ids)
+    kept = kept if counts is None else counts.watch(kept)
     sink_files.write_clean_long(kept, f"{target}/observations")
     return source_files.read_station_metadata(spark, table)
 
@@ -147,9 +154,14 @@ def analyze(
 
 
 def store(
-    spark: SparkSession, found: Analyses, root: str, stations: DataFrame | None = None
+    spark: SparkSession,
+    found: Analyses,
+    folder: str,
+    stations: DataFrame | None = None,
+    previous: str | None = None,
 ) -> list[str]:
-    """Merges all results into the tables below `root` and writes the JSON document.
+    """Writes all results and the JSON document into the run folder `folder`, merged with those of
+    the run folder `previous`.
 
     The tables that everything follows from are computed once, each from one read of the
     observations, into the shared folder; summaries, regions, trends and document come from there."""
@@ -161,7 +173,7 @@ def store(
     found = replace(found, tables=kept)
     table = None if found.regional is None else regional.regional_results_table(found.regional)
     written = export_all_results(
-        ResultStore(spark, root), found.results, table, stations, found.trends()
+        spark, folder, found.results, table, stations, found.trends(), previous
     )
-    sink_files.write_results_document(found.document(), f"{root}/document")
+    sink_files.write_results_document(found.document(), f"{folder}/document")
     return written

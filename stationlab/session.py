@@ -31,14 +31,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{FOLDER}/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether something is stored there, in any file system Spark knows."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def drop_scratch(spark: SparkSession, path: str | None = None) -> None:
     """Removes one scratch path, or all of them; nothing that reads them may run later."""
     top = f"{shared_folder(spark).rstrip('/')}/{FOLDER}"
     if path is not None and not path.startswith(f"{top}/"):
         raise ValueError(f"not a scratch path: {path}")
-    context = spark.sparkContext
-    target = context._jvm.org.apache.hadoop.fs.Path(path or top)
-    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    remove_path(spark, path or top)
 
 
 def durable(df: DataFrame) -> DataFrame:

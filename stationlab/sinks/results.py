@@ -1,11 +1,9 @@
-"""Versioned result tables that are updated by key."""
+"""Result tables that are updated by key, one folder per run."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +12,7 @@ from stationlab.operators.joins import station_key
 from stationlab.operators.upsert import keyed_merge
 from stationlab.plans.report import summary_metrics_long
 from stationlab.schemas import RESULT_TABLES
+from stationlab.session import path_exists
 
 INT_COLUMNS = ("year", "event_date", "snowmelt_doy")
 COUNT_COLUMNS = ("heat_wave_days", "extreme_days", "sample_size", "num_stations")
@@ -106,82 +105,49 @@ def merged_result(
     return keyed_merge(current, rows, spec["keys"], spec["update"], order_by)
 
 
-class ResultStore:
-    """Result tables below a shared folder, one subfolder per version, and a log of versions.
-
-    A merge reads the newest logged version, writes the next one under a name of its own, and logs
-    it when it is whole; so a lost job leaves the previous version untouched, readers never see a
-    half-written table, and other folders do no harm. Of merges that ran at once one is logged
-    first by name; the others raise, and can be run again. Versions stay; whoever owns
-    the folder removes old ones."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def _log(self, table: str) -> list[tuple[int, str]]:
-        """(version, folder) of all logged versions, of which the first per version counts."""
-        log = self.spark.read.schema("version int, folder string")
-        try:
-            rows = log.parquet(f"{self.root}/{table}/log/*").collect()
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return []
-        first: dict[int, str] = {}
-        for version, folder in sorted(rows):
-            first.setdefault(version, folder)
-        return sorted(first.items())
-
-    def read(self, table: str) -> DataFrame | None:
-        versions = self._log(table)
-        if not versions:
-            return None
-        return self.spark.read.schema(result_schema(table)).parquet(
-            f"{self.root}/{table}/{versions[-1][1]}"
-        )
-
-    def merge(self, table: str, updates: DataFrame, order_by: list[str] | None = None) -> None:
-        versions = self._log(table)
-        merged = merged_result(self.spark, table, updates, self.read(table), order_by)
-        version = versions[-1][0] + 1 if versions else 1
-        folder = f"v{version}-{uuid.uuid4().hex}"
-        merged.write.mode("error").parquet(f"{self.root}/{table}/{folder}")
-        entry = self.spark.range(1).select(
-            F.lit(version).alias("version"), F.lit(folder).alias("folder")
-        )
-        entry.write.mode("error").parquet(f"{self.root}/{table}/log/{folder}")
-        if dict(self._log(table))[version] != folder:
-            raise RuntimeError(f"{table}: another merge wrote version {version}; merge again")
+def read_result(spark: SparkSession, folder: str | None, table: str) -> DataFrame | None:
+    """A result table of a run folder, None where the run has none."""
+    path = f"{folder}/{table}"
+    if folder is None or not path_exists(spark, path):
+        return None
+    return spark.read.schema(result_schema(table)).parquet(path)
 
 
 def export_all_results(
-    store: ResultStore,
+    spark: SparkSession,
+    folder: str,
     results: Mapping[str, tuple[DataFrame | None, DataFrame | None]],
     regional: DataFrame | None = None,
     stations: DataFrame | None = None,
     trends: DataFrame | None = None,
+    previous: str | None = None,
 ) -> list[str]:
-    """Merges every detail table that exists, and all summaries, into the store.
-
-    `results` maps H1 to H4 to (detail, summary); `trends` has rows of yearly_trends. Returns the
-    names of the tables written."""
-    written, metrics = [], None
+    """Writes the result tables of a run into its own folder: those of the run folder `previous` after
+    the updates. Tables without updates are carried over. Returns the names of the updated tables.
+
+    A run folder is written once, by Spark's own commit, and never changed: two runs never write to
+    the same table, a second run into the same folder is refused, and a lost run leaves `previous`
+    as it is. `results` maps H1 to H4 to (detail, summary); `trends` has rows of yearly_trends."""
+    updates: dict[str, DataFrame] = {}
+    metrics = None
     for name, (detail, summary) in results.items():
         if detail is None:
             continue
-        store.merge(DETAIL_TABLES[name], detail)
-        written.append(DETAIL_TABLES[name])
+        updates[DETAIL_TABLES[name]] = detail
         if summary is not None:
             rows = summary_metrics_long(summary, name)
             metrics = rows if metrics is None else metrics.unionByName(rows)
-    for table, rows in (
-        ("analysis_summary", metrics),
-        ("regional_results", regional),
-        ("yearly_trends", trends),
-        ("stations", None if stations is None else station_rows(stations)),
-    ):
-        if rows is not None:
-            store.merge(table, rows)
-            written.append(table)
-    return written
+    others = {
+        "analysis_summary": metrics,
+        "regional_results": regional,
+        "yearly_trends": trends,
+        "stations": None if stations is None else station_rows(stations),
+    }
+    updates |= {table: rows for table, rows in others.items() if rows is not None}
+    for table in RESULT_TABLES:
+        current = read_result(spark, previous, table)
+        if table in updates:
+            current = merged_result(spark, table, updates[table], current)
+        if current is not None:
+            current.write.mode("error").parquet(f"{folder}/{table}")
+    return list(updates)

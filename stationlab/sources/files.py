@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationlab.functions.dates import day_of, derive_date_parts, month_of
-from stationlab.operators.prep import parse_stations_fixed_width
+from stationlab.operators.prep import parse_stations_fixed_width, station_line_fault
 from stationlab.operators.sampling import sample_observations
 from stationlab.schemas import OBSERVATION, RAW_DAILY, STATION, STORED_OBSERVATION
 
@@ -40,6 +41,58 @@ def read_raw_yearly(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_DAILY).csv(path, header=False)
 
 
+REQUIRED = ("STATION", "DATE", "ELEMENT", "VALUE")
+
+
+def read_raw_checked(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
+    """Every line of the yearly files as a row, with `source_file`, `fault` and `line`.
+
+    A line is malformed if it has too few or too many fields, or one that is no number where a number
+    belongs; its fault names what is missing if a required field is empty. Good lines have neither
+    fault nor line; see `kept_rows` and `rejected_rows`."""
+    bad = "_corrupt_record"
+    schema = T.StructType([*RAW_DAILY.fields, T.StructField(bad, T.StringType())])
+    # Without pruning, so that fields are counted whatever columns are used later.
+    rows = (
+        spark.read.schema(schema)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", bad)
+        .option("columnPruning", "false")
+        .csv(path, header=header)
+        .withColumn("source_file", F.col("_metadata.file_name"))
+    )
+    fault = F.when(F.col(bad).isNotNull(), F.lit("malformed line"))
+    for name in REQUIRED:
+        fault = fault.when(F.col(name).isNull(), F.lit(f"missing {name}"))
+    line = F.coalesce(bad, F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RAW_DAILY.names]))
+    return rows.withColumn("fault", fault).select(
+        *RAW_DAILY.names, "source_file", "fault", F.when(F.col("fault").isNotNull(), line).alias("line")
+    )
+
+
+def read_stations_checked(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of the fixed-width station text, as `value` with `source_file` and `fault`."""
+    lines = spark.read.text(path).withColumn("source_file", F.col("_metadata.file_name"))
+    return lines.withColumn("fault", station_line_fault())
+
+
+def kept_rows(checked: DataFrame) -> DataFrame:
+    """Rows without a fault, as the reader without checks gives them."""
+    return checked.filter("fault IS NULL").drop("fault", "line", "source_file")
+
+
+def rejected_rows(checked: DataFrame) -> DataFrame:
+    """(source_file, fault, line): the reject table."""
+    line = "line" if "line" in checked.columns else "value"
+    return checked.filter("fault IS NOT NULL").select("source_file", "fault", F.col(line).alias("line"))
+
+
+def store_checked(checked: DataFrame, path: str) -> None:
+    """Kept and rejected rows as the partitions `rejected=false` and `rejected=true` of one table,
+    from one read of the files."""
+    checked.withColumn("rejected", F.col("fault").isNotNull()).write.partitionBy("rejected").parquet(path)
+
+
 def read_filtered_years(spark: SparkSession, path: str) -> DataFrame:
     """All yearly files with a header matched by a path or glob, with their file name."""
     return (

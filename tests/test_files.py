@@ -2,6 +2,7 @@ import json
 from unittest.mock import MagicMock
 
 import pytest
+from pyspark.errors import AnalysisException
 from observation_tables import observation_rows
 from pyspark.sql import functions as F
 
@@ -119,44 +120,36 @@ def test_every_result_table_merges(spark):
             assert row[name] == old[name], (table, name)
 
 
-def test_store_keeps_versions(spark, tmp_path):
-    store = results.ResultStore(spark, str(tmp_path))
-    assert store.read("stations") is None
+def test_runs_have_folders_of_their_own(spark, tmp_path):
     stations = spark.createDataFrame(
         [("A", 1.0, 0.0)], "STATION_ID string, LATITUDE double, ELEVATION double"
     )
-    written = results.export_all_results(store, {"H1": (None, None)}, stations=stations)
-    assert written == ["stations"]
-    store.merge("stations", results.station_rows(stations.withColumn("LATITUDE", F.lit(0.0))))
-    for name in ("v9", "old copy"):
-        (tmp_path / "stations" / name).mkdir()
-    row = store.read("stations").first()
-    assert (row.station_id, row.latitude, row.elevation, row.region) == ("A", 0.0, 0.0, None)
-    names = sorted(p.name.split("-")[0] for p in (tmp_path / "stations").iterdir())
-    assert names == ["log", "old copy", "v1", "v2", "v9"]
-
-
-def test_of_merges_at_once_one_counts_and_the_other_raises(spark, tmp_path):
-    store = results.ResultStore(spark, str(tmp_path))
-    rows = results.station_rows(spark.createDataFrame([("A", 1.0)], "STATION_ID string, LATITUDE double"))
-    rival = spark.createDataFrame([(1, "v1-0")], "version int, folder string")
-    results.merged_result(spark, "stations", rows).write.parquet(f"{tmp_path}/stations/v1-0")
-    known = store._log
-    calls = iter([[]])
-
-    def raced(table):
-        found = next(calls, None)
-        if found is None:
-            found = known(table)
-        else:
-            rival.write.parquet(f"{tmp_path}/stations/log/v1-0")
-        return found
-
-    store._log = raced
-    store.read = lambda table: None
-    with pytest.raises(RuntimeError, match="merge again"):
-        store.merge("stations", rows)
-    assert results.ResultStore(spark, str(tmp_path)).read("stations").count() == 1
+    first, second, third = (f"{tmp_path}/run{i}" for i in range(3))
+    assert results.read_result(spark, None, "stations") is None
+    assert results.read_result(spark, first, "stations") is None
+    nothing = {"H1": (None, None)}
+    assert results.export_all_results(spark, first, nothing, stations=stations) == ["stations"]
+    moved = spark.createDataFrame(
+        [("A", 0.0), ("B", 2.0)], "STATION_ID string, LATITUDE double"
+    )
+    results.export_all_results(spark, second, nothing, stations=moved, previous=first)
+    rows = {r.station_id: r.latitude for r in results.read_result(spark, second, "stations").collect()}
+    assert rows == {"A": 0.0, "B": 2.0}
+    # A run without news carries tables over; earlier runs stay as they were.
+    assert results.export_all_results(spark, third, nothing, previous=second) == []
+    assert results.read_result(spark, third, "stations").count() == 2
+    assert results.read_result(spark, first, "stations").count() == 1
+
+
+def test_two_runs_cannot_write_the_same_folder(spark, tmp_path):
+    one, other = (
+        spark.createDataFrame([(name, 1.0)], "STATION_ID string, LATITUDE double") for name in "AB"
+    )
+    folder = f"{tmp_path}/run"
+    results.export_all_results(spark, folder, {}, stations=one)
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        results.export_all_results(spark, folder, {}, stations=other)
+    assert results.read_result(spark, folder, "stations").first().station_id == "A"
 
 
 def test_counts_beyond_an_int_are_stored(spark):

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from stationlab.operators.joins import map_state_to_region
 from stationlab.plans import workflow
-from stationlab.sinks.results import ResultStore
+from stationlab.operators import quality
+from stationlab.sinks.results import read_result
 from stationlab.sources.files import read_observations
 
 
@@ -26,25 +27,31 @@ def test_from_raw_files_to_stored_results(spark, generated, generated_stations,
         empty.alias("TIME"),
     ).write.option("compression", "gzip").csv(raw)
 
-    stations = workflow.prepare(spark, text, raw, target, {"Southwest": 3, "West": 9, "Northeast": 3})
+    counts = quality.RowCounts(max_tmax=30, min_tmin=0)
+    quotas = {"Southwest": 3, "West": 9, "Northeast": 3}
+    stations = workflow.prepare(spark, text, raw, target, quotas, counts)
     assert stations.count() == 10
     obs = read_observations(spark, f"{target}/observations", "parquet")
     assert obs.select("STATION").distinct().count() == 10
     assert obs.filter("day = 13").count() == 0
+    # Counted while the readings were written, the same as over what was written.
+    issues = quality.validate_quality(obs, max_tmax=30, min_tmin=0).filter("issue <> 'duplicate_keys'")
+    assert sorted(counts.issues(spark).collect()) == sorted(issues.collect()) != []
+    assert counts.coverage(spark).collect() == quality.coverage_by_element(obs).collect()
+    assert counts.figures()["records"] == obs.count()
 
     found = workflow.analyze(obs, stations, workflow.Gates(season_days=45))
-    root = str(tmp_path / "results")
-    tables = workflow.store(spark, found, root, stations)
+    runs = [str(tmp_path / f"run{i}") for i in range(2)]
+    tables = workflow.store(spark, found, runs[0], stations)
     assert len(tables) == 8
-    store = ResultStore(spark, root)
-    first = {t: store.read(t).count() for t in tables}
+    first = {t: read_result(spark, runs[0], t).count() for t in tables}
     assert all(first.values())
     # Three analyses in three regions; snowmelt needs stations whose melt day varies.
     assert 9 <= first["regional_results"] <= 12 and first["stations"] == 10
-    workflow.store(spark, found, root, stations)
-    assert {t: store.read(t).count() for t in tables} == first
+    workflow.store(spark, found, runs[1], stations, runs[0])
+    assert {t: read_result(spark, runs[1], t).count() for t in tables} == first
 
-    document = json.loads(spark.read.text(f"{root}/document").first().value)
+    document = json.loads(spark.read.text(f"{runs[1]}/document").first().value)
     assert len(document) == 4
     assert found.verdicts().count() == 4
     assert found.reports["quality_issues"].count() == 0
