@@ -10,21 +10,30 @@ FOLDER = "stationlab"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir. Where that is unset: on a local master, which has
-    one machine only, a folder of this application below spark.local.dir; on a cluster a folder
-    below the home of the default file system, which all executors share."""
+    """The folder named in spark.checkpoint.dir, with its scheme. Where that is unset: on a local
+    master, which has one machine only, a folder of this application below spark.local.dir; on a
+    cluster a folder below the home of the default file system, which all executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     folder = folder or context.getCheckpointDir()
     if folder:
-        return folder
+        return qualified(spark, folder)
     if context.master == "local" or context.master.startswith("local["):
         local = spark.conf.get("spark.local.dir", "/tmp").split(",")[0]
-        return f"{local}/{FOLDER}-{context.applicationId}"
+        return f"file:{local}/{FOLDER}-{context.applicationId}"
     files = context._jvm.org.apache.hadoop.fs.FileSystem.get(context._jsc.hadoopConfiguration())
     return f"{files.getHomeDirectory().toString()}/.{FOLDER}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and authority, as Spark's default file system completes it, so that
+    readers other than Spark find the same place."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(context._jsc.hadoopConfiguration())
+    return files.makeQualified(place).toString()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, never used before. Lazy results may read it, so it stays
     until its owner drops it, or the whole folder, with `drop_scratch`."""
