@@ -14,7 +14,7 @@ import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,8 +81,23 @@ class Flattener:
         return max(1, (part.get("pages") or 0) * TOKENS_PER_PAGE)
 
 
-def whole(value) -> int | None:
-    return None if value is None or value != value else int(value)
+ATTACHMENT_TYPE = pa.struct(
+    [("number", pa.int32()), ("type", pa.string()), ("ref", pa.string()), ("place", pa.int64()), ("tokens", pa.int64())]
+)
+TURN_TYPES = pa.schema(
+    [("conv_id", pa.int64()), ("seq", pa.int64()), ("role", pa.string()), ("formatted", pa.string()),
+     ("place", pa.int64()), ("loss_begin", pa.int64()), ("loss_end", pa.int64()), ("tokens", pa.int64()),
+     ("attachments", pa.list_(ATTACHMENT_TYPE))]
+)
+SUMMARY_TYPES = pa.schema(
+    [("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
+     ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
+)
+
+
+def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    """Rows as Arrow columns: whole numbers stay whole beside nulls."""
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
 
 def format_chats(turns: DataFrame) -> DataFrame:
@@ -91,25 +106,24 @@ def format_chats(turns: DataFrame) -> DataFrame:
     null), tokens (expanded), attachments.
 
     Turns follow `turn` (null first), then role and text. Null roles, parts and texts are empty; a
-    null conv_id is a conversation. Repeated rows are turns each. A conversation streams through one
+    null conv_id is a conversation; a table without turns gives none. Repeated rows are turns each. A conversation streams through one
     task turn by turn, so its length takes time and no memory. Other columns are not read.
     """
 
-    def form(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, seq, place, flattener = object(), 0, 0, Flattener()
         for batch in batches:
             rows = []
-            for conv, role, parts in zip(batch["conv_id"], batch["role"], batch["parts"]):
-                conv = whole(conv)
+            for conv, role, parts in zip(*[batch.column(c).to_pylist() for c in ("conv_id", "role", "parts")]):
                 if conv != current:
                     current, seq, place, flattener = conv, 0, 0, Flattener()
-                role = role if isinstance(role, str) else ""
+                role = role or ""
                 text = f"{OPEN}{escape_role(role)}{COLON}"
                 begin, tokens, found = place + len(text), 0, []
                 for part in parts if parts is not None else ():
                     if part is None:
                         continue
-                    flat, n, attachment = flattener.visit(dict(part), place + len(text))
+                    flat, n, attachment = flattener.visit(part, place + len(text))
                     text, tokens = text + flat, tokens + n
                     if attachment:
                         found.append(attachment)
@@ -118,9 +132,8 @@ def format_chats(turns: DataFrame) -> DataFrame:
                 loss = (begin, end) if role == "assistant" else (None, None)
                 rows.append((conv, seq, role, text, place, *loss, tokens, found))
                 seq, place = seq + 1, place + len(text)
-            names = [x.split()[0] for x in TURNS.split(", ")[:8]] + ["attachments"]
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({c: "Int64" for c in ("conv_id", "loss_begin", "loss_end")})
+            if rows:
+                yield batch_of(rows, TURN_TYPES)
 
     ordered = (
         turns.select(
@@ -132,7 +145,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn", "role", "parts")
     )
-    return ordered.drop("turn").mapInPandas(form, TURNS)
+    return ordered.drop("turn").mapInArrow(form, TURNS)
 
 
 def text_parts(text) -> object:
@@ -165,7 +178,7 @@ def read_chats(formatted: DataFrame) -> DataFrame:
     """Per conversation, from the formatted turns alone: conv_id, n_turns, turns_sha256, loss_chars,
     loss_sha256, formatted_chars. Hashes run along the turns, so no task holds a conversation."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, state = object(), None
 
         def closed() -> list[tuple]:
@@ -173,36 +186,30 @@ def read_chats(formatted: DataFrame) -> DataFrame:
                 return []
             return [(current, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4])]
 
-        def frame(rows: list[tuple]) -> pd.DataFrame:
-            out = pd.DataFrame(rows, columns=[x.split()[0] for x in SUMMARY.split(", ")])
-            return out.astype({"conv_id": "Int64"})
-
         for batch in batches:
             done = []
-            for row in zip(*[batch[c] for c in ("conv_id", "formatted", "place", "loss_begin", "loss_end")]):
-                conv, text, place, begin, end = row
-                conv = whole(conv)
+            columns = ("conv_id", "formatted", "place", "loss_begin", "loss_end")
+            for conv, text, place, begin, end in zip(*[batch.column(c).to_pylist() for c in columns]):
                 if conv != current or state is None:
                     done += closed()
                     current, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
                 role, content = parse_turn(text)
                 said = f"{role}\n{plain_text(content)}\n"
                 state[1].update(said.encode("utf-8", "surrogatepass"))
-                begin, end = whole(begin), whole(end)
                 if begin is not None:
-                    loss = plain_text(text[begin - int(place) : end - int(place)])
+                    loss = plain_text(text[begin - place : end - place])
                     state[2] += len(loss)
                     state[3].update(loss.encode("utf-8", "surrogatepass"))
                 state[0] += 1
                 state[4] += len(text)
             if done:
-                yield frame(done)
+                yield batch_of(done, SUMMARY_TYPES)
         if state is not None:
-            yield frame(closed())
+            yield batch_of(closed(), SUMMARY_TYPES)
 
     rows = formatted.select("conv_id", "seq", "formatted", "place", "loss_begin", "loss_end")
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
-    return ordered.mapInPandas(read, SUMMARY)
+    return ordered.mapInArrow(read, SUMMARY)
 
 
 SUMMARY = (

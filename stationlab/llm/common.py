@@ -107,17 +107,21 @@ def ranked(df: DataFrame, order: list[str], name: str = "name") -> DataFrame:
     return placed.withColumn(name, F.col(name) - 1)
 
 
-def opened(uri: str):
-    """(pyarrow file system, path) of a place in the shared folder, usable inside tasks."""
-    from pyarrow import fs
+# Schemes that Spark and pyarrow name differently.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
 
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if _short(uri) else uri)
 
+def opened(uri: str):
+    """(pyarrow file system, path) of a place in the shared folder, usable inside tasks. Places have a
+    scheme (`session.qualified`); one without could mean another file system to Spark."""
+    from pyarrow import fs
 
-def _short(uri: str) -> bool:
-    return uri.startswith("file:/") and not uri.startswith("file://")
+    scheme, colon, rest = uri.partition(":")
+    if not colon or not rest.startswith("/"):
+        raise ValueError(f"a place without a scheme: {uri}")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
 
 
 class Published:

@@ -9,18 +9,31 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stationlab.llm.common import opened, stored
+from stationlab.session import path_exists, scratch_path
+
 RATE = 0.06
-MIN_CHARS = 24
+# Shorter items have no budget and must begin and end with words; those below SHORT characters are found
+# only where they are the whole text, as they occur in ordinary text by chance.
+MIN_CHARS, SHORT = 24, 12
+# From here on, scripts do not put spaces between words.
+UNSPACED = 0x2E80
 BLOCK_BYTES = 16_000_000
+SLICE = 256
 
 HITS = "array<struct<item_id: long, distance: int, begin: int, end: int>>"
+HIT_TYPE = pa.list_(
+    pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("begin", pa.int32()), ("end", pa.int32())])
+)
 
 _WORDLIKE = np.array([chr(c).isalnum() for c in range(1 << 16)])
 
@@ -74,6 +87,17 @@ def myers(item: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def at_words(text: str, begin: int, end: int) -> bool:
+    """Whether a part of a normalised text begins and ends with a word."""
+
+    def limit(outer: int, inner: int) -> bool:
+        if not 0 <= outer < len(text) or " " in (text[outer], text[inner]):
+            return True
+        return min(ord(text[outer]), ord(text[inner])) >= UNSPACED
+
+    return limit(begin - 1, begin) and limit(end, end - 1)
+
+
 class Matcher:
     """Finds which of some items occur in a text with at most their budget of edits."""
 
@@ -82,10 +106,10 @@ class Matcher:
         self.whole: dict[str, list[int]] = {}
         self.pieces = ahocorasick.Automaton()
         for number, (_, text, k) in enumerate(self.items):
-            if len(text) < MIN_CHARS:
+            if len(text) < SHORT:
                 self.whole.setdefault(text, []).append(number)
                 continue
-            for place, piece in pieces(text, k):
+            for place, piece in pieces(text, k if len(text) >= MIN_CHARS else 0):
                 known = self.pieces.get(piece, None)
                 if known is None:
                     self.pieces.add_word(piece, known := [])
@@ -104,6 +128,10 @@ class Matcher:
             for number, upto in owners:
                 _, item, k = self.items[number]
                 begin = last + 1 - upto
+                if len(item) < MIN_CHARS:
+                    if number not in best and at_words(plain, begin, begin + len(item)):
+                        best[number] = (0, begin, begin + len(item))
+                    continue
                 # The stretch looked at around a begin holds every match that begins k nearer.
                 if any(abs(begin - b) <= k for b in seen.get(number, ())):
                     continue
@@ -117,52 +145,94 @@ class Matcher:
         return [(self.items[n][0], *found) for n, found in sorted(best.items())]
 
 
-def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
-    """The items as (item_id, normalised text), in blocks of about `block_bytes` at most.
-
-    The texts are searched once for each block, so no task or broadcast holds more than one."""
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text")
+def stored_blocks(items: DataFrame, block_bytes: int) -> list[str]:
+    """Folders of the items as (item_id, text), each of about `block_bytes` at most. Tasks read them
+    there, so that neither the driver nor a task holds more items than a block."""
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text IS NOT NULL")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // block_bytes)
-    for block in range(blocks):
-        part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        yield sorted(
-            ((i, normalised(text)) for i, text in part.collect()), key=lambda x: (x[0] is None, x)
-        )
-
-
-def found_items(text: Column, items: DataFrame, rate: float = RATE) -> Column:
-    """Array of (item_id, distance, begin, end) of the items found in a whole text."""
-
-    def matching(block: list[tuple]):
-        @F.pandas_udf(HITS)
-        def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            matcher = Matcher(block, rate)
-            for batch in batches:
-                yield pd.Series(
-                    [
-                        [dict(zip(("item_id", "distance", "begin", "end"), x)) for x in found]
-                        for found in map(matcher.find, batch)
-                    ]
-                )
-
-        return udf(text)
-
-    found = [matching(block) for block in item_blocks(items)]
-    return F.concat(*found) if found else F.array().cast(HITS)
-
-
-def contamination(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
+    folder = scratch_path(items.sparkSession, "benchmark-items")
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1)))
+    if blocks:
+        rows.withColumn("block", block).write.partitionBy("block").parquet(folder)
+    found = [f"{folder}/block={i}" for i in range(blocks)]
+    return [f for f in found if path_exists(items.sparkSession, f)]
+
+
+@lru_cache(maxsize=1)
+def matcher_of(folder: str, rate: float) -> Matcher:
+    """The matcher of a block, one at a time in each Python process."""
+    import pyarrow.parquet as pq
+
+    fs, path = opened(folder)
+    rows = pq.read_table(path, filesystem=fs, columns=["item_id", "text"], partitioning=None).to_pydict()
+    known = ((i, normalised(text)) for i, text in zip(rows["item_id"], rows["text"]))
+    return Matcher(sorted(known, key=lambda x: (x[0] is None, x)), rate)
+
+
+def hits_of(rows: DataFrame, folder: str, rate: float) -> DataFrame:
+    """The columns of `rows` but the text, with the hits of a block, where there are any."""
+    kept = [f for f in rows.schema.fields if f.name != "text"]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = matcher_of(folder, rate)
+        names = ("item_id", "distance", "begin", "end")
+        for batch in batches:
+            for low in range(0, batch.num_rows, SLICE):
+                some = batch.slice(low, SLICE)
+                found = [matcher.find(text) for text in some.column("text").to_pylist()]
+                at = pa.array([i for i, hits in enumerate(found) if hits], pa.int64())
+                hits = pa.array([[dict(zip(names, x)) for x in h] for h in found if h], HIT_TYPE)
+                columns = [some.column(f.name).take(at) for f in kept] + [hits]
+                yield pa.record_batch(columns, names=[*[f.name for f in kept], "hits"])
+
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    return rows.mapInArrow(search, f"{types}, hits {HITS}")
+
+
+def contamination(
+    docs: DataFrame, items: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """One row per document and item in it: doc_id, item_id, distance, begin, end.
 
-    Null and empty texts hold nothing; items without letters or digits are found nowhere, items
-    under MIN_CHARS characters only where they are the whole text. Repeated rows and repeated items
-    are reported each. Other columns are not read; empty tables give an empty one.
+    Null and empty texts hold nothing; items without letters or digits are found nowhere. Items under
+    MIN_CHARS normalised characters are found without edits, at word limits; those under SHORT only
+    where they are the whole text. Repeated rows and repeated items are reported each. Texts are
+    searched whole, once for each block of items. Other columns are not read; empty tables give an
+    empty one.
     """
-    hits = docs.select("doc_id", found_items(F.col("text"), items, rate).alias("hits"))
-    return hits.filter(F.size("hits") > 0).select("doc_id", F.inline("hits"))
-
-
-def decontaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
-    """The rows in which no item is found, with their columns."""
-    return docs.filter(F.size(found_items(F.col("text"), items, rate)) == 0)
+    rows = docs.select("doc_id", "text")
+    found = None
+    for folder in stored_blocks(items, block_bytes):
+        part = hits_of(rows, folder, rate)
+        found = part if found is None else found.unionAll(part)
+    if found is None:
+        found = docs.filter("1 = 0").select("doc_id", F.array().cast(HITS).alias("hits"))
+    return found.select("doc_id", F.inline("hits"))
+
+
+def decontaminated(
+    docs: DataFrame, items: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The rows in which no item is found, with their columns; repeated rows, and null and empty texts,
+    stay each. As in `contamination`; without items, or in an empty table, nothing is dropped.
+
+    What one block of items leaves is stored before the next one is searched."""
+    folders = stored_blocks(items, block_bytes)
+    for i, folder in enumerate(folders):
+        docs = clean_of(docs, folder, rate)
+        if i + 1 < len(folders):
+            docs = stored(docs, "clean-of-a-block")
+    return docs
+
+
+def clean_of(docs: DataFrame, folder: str, rate: float) -> DataFrame:
+    """The rows in which no item of a block is found."""
+
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = matcher_of(folder, rate)
+        for batch in batches:
+            yield pd.Series([not matcher.find(text) for text in batch], dtype="bool")
+
+    return docs.filter(clean(F.col("text")))

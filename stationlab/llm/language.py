@@ -4,7 +4,8 @@ Grams of up to four letters are counted over all training texts; counts, continu
 discounts and interpolated probabilities are tables that Spark computes. The model of a language is
 sorted arrays of 64-bit gram keys with log-probabilities and back-off weights, in files of the
 shared folder, which tasks load. A text gets the language of the lowest cross-entropy per letter,
-and is accepted if that is not above what training texts of that language and length reach.
+and is accepted if that is not above what texts of that language and length reach which the models
+have not seen.
 """
 
 from __future__ import annotations
@@ -26,20 +27,29 @@ CHUNK = 1 << 20
 HELD = 1 << 20
 SLICE = 256
 ACCEPTED = 0.999
+CALIBRATED = 5
+LEAN = 5
 UNDETERMINED = "und"
 UNKNOWN = float(np.log(1e-6))
 
 _LETTER = np.array([chr(c).isalpha() for c in range(1 << 16)])
+# Codes of the first plane that are never letters, surrogates and private use, stand for the letters of
+# all other planes: each of these keeps a code of its own block of SPARE.
+SPARE_FROM, SPARE = 0xD800, 0x2100
 
 
 def coded(text: str | None) -> np.ndarray:
-    """Lower-case letters as 16-bit codes (those beyond the first plane share one), words divided by
-    one space, with spaces before and after; empty for a text without letters."""
-    codes = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    letters = np.where(codes < 1 << 16, _LETTER[codes & 0xFFFF], True)
+    """Lower-case letters as 16-bit codes, words divided by one space, with spaces before and after;
+    empty for a text without letters."""
+    whole = (text or "").lower()
+    codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), "<u4")
+    letters = _LETTER[codes & 0xFFFF] & (codes < 1 << 16)
+    beyond = np.flatnonzero(codes >= 1 << 16)
+    letters[beyond] = [chr(c).isalpha() for c in codes[beyond]]
     if not letters.any():
         return np.zeros(0, np.uint64)
-    codes = np.where(letters, np.minimum(codes, 0xFFFF), 32)
+    codes = np.where(codes < 1 << 16, codes, SPARE_FROM + codes % SPARE)
+    codes = np.where(letters, codes, 32)
     codes = codes[letters | np.r_[False, letters[:-1]]]
     pad = [32] * (ORDER - 1)
     return np.concatenate([pad, codes, [32] if codes[-1] != 32 else []]).astype(np.uint64)
@@ -185,14 +195,14 @@ class Models:
         for k in range(2, ORDER + 1):
             at = order == -k
             self.contexts[k] = np.unique(keys[at])
-            self.gammas[k] = np.zeros((len(self.contexts[k]), len(self.langs)))
+            self.gammas[k] = np.zeros((len(self.contexts[k]), len(self.langs)), np.float32)
             self.gammas[k][np.searchsorted(self.contexts[k], keys[at]), column[at]] = logp[at]
         for k in range(1, ORDER + 1):
             at = order == k
             self.grams[k] = np.unique(keys[at])
             values = self.backed_off(self.grams[k], k)
             values[np.searchsorted(self.grams[k], keys[at]), column[at]] = logp[at]
-            self.values[k] = values
+            self.values[k] = values.astype(np.float32)
 
     def backed_off(self, keys: np.ndarray, k: int) -> np.ndarray:
         """Log-probabilities of grams as no language knows them at order k."""
@@ -211,7 +221,7 @@ class Models:
         if not len(self.grams[k]):
             return self.backed_off(keys, k)
         at = np.minimum(np.searchsorted(self.grams[k], keys), len(self.grams[k]) - 1)
-        out = self.values[k][at]
+        out = self.values[k][at].astype(np.float64)
         missed = self.grams[k][at] != keys
         if missed.any():
             out[missed] = self.backed_off(keys[missed], k)
@@ -286,48 +296,80 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 3
 
 
+def unseen(text: Column) -> Column:
+    """One text in CALIBRATED of those that may be learnt from: the counts leave it out, so that it
+    can tell how unseen texts score. Copies of a text are on one side."""
+    return F.pmod(F.xxhash64(F.lit("unseen"), text), F.lit(CALIBRATED)) == 0
+
+
+def limits(found: DataFrame) -> DataFrame:
+    """(l, g, limit): the highest accepted entropy per language and length (a power of two of letters).
+
+    From unseen texts (lang, length, entropy) told right: their distances from the mean of their
+    language and length, in standard deviations, are pooled, and the limit is their quantile at
+    ACCEPTED, corrected for their number; without enough of them everything is accepted. Groups of
+    few texts lean on the spread of their language, and a length without texts has no limit.
+    """
+    steps = (
+        found.groupBy("lang", "length", F.round(F.col("entropy") * 1000).alias("step"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    x, n = F.col("step") / 1000, F.col("n")
+    sums = [F.sum(n).alias("n"), F.sum(n * x).alias("x"), F.sum(n * x * x).alias("xx")]
+    groups = stored(steps.groupBy("lang", "length").agg(*sums), "language-groups")
+    spread = (F.col("xx") - F.col("x") * F.col("x") / n).alias("ss")
+    whole = groups.select("lang", "n", spread).groupBy("lang").agg(
+        (F.sum("ss") / F.sum("n")).alias("pooled")
+    )
+    # The variance of a group, with its language's counting for LEAN texts more.
+    groups = groups.select("lang", "length", "n", (F.col("x") / n).alias("mean"), spread)
+    groups = groups.join(F.broadcast(whole.withColumnRenamed("lang", "wl")), F.col("lang") == F.col("wl"))
+    variance = (F.col("ss") + LEAN * F.col("pooled")) / (F.col("n") + LEAN)
+    groups = groups.select(
+        F.col("lang").alias("l"), F.col("length").alias("g"), F.col("n").alias("texts"), "mean",
+        F.greatest(F.sqrt(F.greatest(variance, F.lit(0.0))), F.lit(0.001)).alias("sd"),
+    )
+    # The mean of few texts is uncertain itself.
+    wide = F.col("sd") * F.sqrt(1 + 1 / F.col("texts"))
+    steps = steps.join(F.broadcast(groups), (F.col("lang") == F.col("l")) & (F.col("length") == F.col("g")))
+    scores = steps.groupBy(F.round((x - F.col("mean")) / wide, 2).alias("z")).agg(F.sum(n).alias("n"))
+    upto = F.sum("n").over(Window.orderBy("z"))
+    total = F.sum("n").over(Window.partitionBy())
+    limit = scores.select("z", upto.alias("upto"), total.alias("total"))
+    limit = limit.filter(F.col("upto") >= F.ceil((F.col("total") + 1) * ACCEPTED)).agg(F.min("z").alias("q"))
+    return groups.join(F.broadcast(limit), F.lit(True)).select("l", "g", (F.col("mean") + F.col("q") * wide).alias("limit"))
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score, entropy, accepted, one row per row of `docs`.
 
     Learns from rows with a text, a language and an id whose remainder is not 1; only the text is
-    scored. `und` with score 0 is given where a text is null or has no letter, and where nothing was
-    learnt. Equal entropies give the first language by code point. A text is accepted if its entropy
-    is at most the 99.9 % quantile of training texts of that language and of letters within a power
-    of two, or if there are none. Other columns are not read.
+    scored, whole, however long. `und` with score 0 is given where a text is null or has no letter,
+    and where nothing was learnt. Equal entropies give the first language by code point; equal texts
+    get equal results. A text is accepted if its entropy is at most the limit of its language and
+    length, learnt from a fifth of the texts to learn from that the models have not seen. An empty
+    table gives an empty one; other columns are not read.
     """
     spark = docs.sparkSession
     learnt = docs.filter(
         (remainder(F.col("doc_id")) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
     folder = scratch_path(spark, "language-models")
-    model = kneser_ney(gram_counts(learnt))
+    model = kneser_ney(gram_counts(learnt.filter(~unseen(F.col("text")))))
     model.repartitionByRange("lang", "order", "gram").sortWithinPartitions(
         "lang", "order", "gram"
     ).write.parquet(folder)
     rows = docs.select(
         "doc_id",
         F.coalesce(remainder(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"),
-        F.when(remainder(F.col("doc_id")) != 1, F.col("lang")).alias("told"),
+        F.when((remainder(F.col("doc_id")) != 1) & unseen(F.col("text")), F.col("lang")).alias("told"),
         "text",
     )
     found = stored(scored(rows, folder), "languages")
     found = found.withColumn("length", F.floor(F.log2(F.greatest("letters", F.lit(1)))))
-    steps = (
-        found.filter("told = lang")
-        .groupBy("lang", "length", F.ceil(F.col("entropy") * 1000).alias("step"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    group = Window.partitionBy("lang", "length")
-    reached = F.sum("n").over(group.orderBy("step")) >= ACCEPTED * F.sum("n").over(group)
-    limits = (
-        steps.withColumn("reached", reached)
-        .filter("reached")
-        .groupBy(F.col("lang").alias("l"), F.col("length").alias("g"))
-        .agg((F.min("step") / 1000).alias("limit"))
-    )
-    judged = found.join(
-        limits, (F.col("lang") == F.col("l")) & (F.col("length") == F.col("g")), "left"
-    )
+    # One row per language and power of two.
+    most = F.broadcast(limits(found.filter("told = lang")))
+    judged = found.join(most, (F.col("lang") == F.col("l")) & (F.col("length") == F.col("g")), "left")
     return judged.select(
         "doc_id",
         "held_out",

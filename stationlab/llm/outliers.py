@@ -9,12 +9,12 @@ vectors with their counts. All sums are over whole numbers, so results do not de
 from __future__ import annotations
 
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlab.llm.common import stored
+from stationlab.llm.common import looked_up, stored
 
 SPACE = r"[\x20\x09-\x0D]"
 UNIT = 1024
@@ -28,9 +28,10 @@ STEPS = 100
 # A start counts as better than the first if its log-determinant is lower by this, and a step as
 # better than the one before if its log-determinant is lower by that.
 BETTER, FALL = 0.01, 1e-6
-# A group below this size shares the estimate of its language's small groups; where those are
-# fewer together, they are not judged.
+# A group below this size shares the estimate of its language's small groups, and these that of all
+# languages' small ones; only where those are fewer together, they are not judged.
 LEAST_ROWS = 40
+EVERYWHERE = "everywhere"
 # Quantiles of chi-squared with four degrees of freedom: median, and 0.999.
 MEDIAN, LIMIT = 3.3567, 18.467
 FINEST = 256
@@ -44,31 +45,25 @@ def let(value: Column, body) -> Column:
 def repeated_words(words: Column) -> Column:
     """Words that lie in 3-word windows found twice or more.
 
-    The hash of a window and its place share a long; sorted, equal windows are neighbours."""
+    Windows are sorted by a 64-bit hash, so that equal ones are neighbours; neighbours of one hash
+    are compared word by word."""
 
     def covered(w: Column) -> Column:
-        bits = F.ceil(F.log2(F.size(w) + 1)).cast("int")
-
-        def places(b: Column) -> Column:
-            keys = F.transform(
-                F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0))),
-                lambda x, i: F.call_function(
-                    "shiftleft", F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)), b
-                ).bitwiseOR(i.cast("long")),
-            )
+        keys = F.transform(
+            F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0))),
+            lambda x, i: F.struct(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")),
+        )
 
-            def repeated(s: Column) -> Column:
-                top = lambda x: F.call_function("shiftright", x, b)
-                near = lambda x, j: F.coalesce(
-                    top(F.get(s, j)) == top(x), F.lit(False)
-                )
-                found = F.filter(s, lambda x, j: near(x, j - 1) | near(x, j + 1))
-                low = F.call_function("shiftleft", F.lit(1).cast("long"), b) - 1
-                return F.transform(found, lambda x: x.bitwiseAND(low))
+        def repeated(s: Column) -> Column:
+            def same(a: Column, b: Column) -> Column:
+                words_agree = [F.get(w, a["i"] + k) == F.get(w, b["i"] + k) for k in range(3)]
+                equal = F.when(a["h"] == b["h"], reduce(and_, words_agree))
+                return F.coalesce(equal, F.lit(False))
 
-            return let(F.sort_array(keys), repeated)
+            found = F.filter(s, lambda x, j: same(F.get(s, j - 1), x) | same(F.get(s, j + 1), x))
+            return F.transform(found, lambda x: x["i"])
 
-        at = let(bits, places)
+        at = let(F.sort_array(keys), repeated)
         around = F.transform(at, lambda i: F.array(i, i + 1, i + 2))
         return F.size(F.array_distinct(F.flatten(around))).cast("long")
 
@@ -258,20 +253,20 @@ def estimates(vectors: DataFrame) -> DataFrame:
 
 
 def with_groups(rows: DataFrame) -> DataFrame:
-    """Adds the group of each row: language and source (null is a value), or the language's small
-    groups together; null where even those are too few."""
+    """Adds the group of each of the (stored) rows: language and source (null is a value), or the small
+    groups of the language together, or those of all; null where even these are too few."""
     name = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("null"))
-    rows = rows.withColumn("language", name(F.col("lang"))).withColumn(
+    named = rows.withColumn("language", name(F.col("lang"))).withColumn(
         "own", F.concat(F.col("language"), F.lit("\n"), name(F.col("source")))
     )
-    sizes = rows.groupBy("own", "language").agg(F.count(F.lit(1)).alias("n"))
-    small = F.col("n") < LEAST_ROWS
-    group = F.when(~small, F.col("own")).otherwise(F.col("language"))
-    together = F.sum("n").over(Window.partitionBy(group))
-    sizes = sizes.select(
-        F.col("own").alias("o"), F.when(together >= LEAST_ROWS, group).alias("group")
-    )
-    return rows.join(sizes, F.col("own") == F.col("o")).drop("o", "own", "language")
+    sizes = named.groupBy("own", "language").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.withColumn("group", F.when(F.col("n") >= LEAST_ROWS, F.col("own")))
+    for wider in (F.col("language"), F.lit(EVERYWHERE)):
+        small = F.sum(F.when(F.col("group").isNull(), F.col("n"))).over(Window.partitionBy(wider))
+        group = F.coalesce("group", F.when(small >= LEAST_ROWS, wider))
+        sizes = sizes.withColumn("group", group)
+    sizes = stored(sizes.select("own", "group", "n"), "group-sizes")
+    return looked_up(named, sizes, ["own"]).drop("own", "language")
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -279,14 +274,14 @@ def judge(docs: DataFrame) -> DataFrame:
     distance (null where it was not measured), one row per row of `docs`.
 
     Texts that fail the base rules take no part in the estimates. Null languages and sources are
-    groups of their own. Rows of groups too small to estimate are kept. An empty table gives an
-    empty one; other columns are not read. Two windows of a text count as equal if 44 bits of
-    their hashes or more are.
+    groups of their own; groups below LEAST_ROWS are judged together, by language or all, and kept
+    where even all of these are fewer. Repeated rows count each and share their verdict; texts are
+    counted whole, however long. An empty table gives an empty one; other columns are not read.
     """
     every = stored(with_features(statistics(docs)), "statistics")
+    grouped = stored(with_groups(every.filter("NOT base_failed")), "grouped")
     vectors = stored(
-        with_groups(every.filter("NOT base_failed"))
-        .filter("group IS NOT NULL")
+        grouped.filter("group IS NOT NULL")
         .groupBy("group", *FEATURES)
         .agg(F.count(F.lit(1)).alias("n")),
         "vectors",
@@ -296,9 +291,10 @@ def judge(docs: DataFrame) -> DataFrame:
     # The inner rows spread too little; their median distance says by how much.
     scale = F.greatest(F.col("mid") / F.lit(FINEST * MEDIAN), F.lit(1.0)).alias("scale")
     final = stored(joined(estimate, middle).select(*estimate.columns, scale), "estimates")
-    judged = with_groups(every.filter("NOT base_failed"))
-    table = final.withColumnRenamed("group", "g")
-    judged = judged.join(table, F.col("group") == F.col("g"), "left")
+    sizes = vectors.groupBy(F.col("group").alias("sg")).agg(F.sum("n").alias("n"))
+    table = final.join(sizes, F.col("group") == F.col("sg")).drop("sg")
+    unjudged = grouped.filter("group IS NULL")
+    judged = looked_up(grouped.filter("group IS NOT NULL"), table, ["group"])
     shown = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     distance = F.sqrt(squared_distance() / F.col("scale"))
     good = judged.select(
@@ -306,7 +302,8 @@ def judge(docs: DataFrame) -> DataFrame:
         F.coalesce(squared_distance() <= F.col("scale") * LIMIT, F.lit(True)).alias("kept"),
         distance.alias("distance"),
     )
+    alone = unjudged.select(*shown, F.lit(True).alias("kept"), F.lit(None).cast("double").alias("distance"))
     failed = every.filter("base_failed").select(
         *shown, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance")
     )
-    return good.unionAll(failed)
+    return good.unionAll(alone).unionAll(failed)

@@ -27,12 +27,14 @@ def uniform(*columns) -> Column:
 def boundaries(thin: DataFrame, total: int, ranges: int, sample: int) -> list[int]:
     """Keys that split the sizes into `ranges` about equal parts, from about `sample` keys.
 
-    A record is drawn with a chance in proportion to its size; one larger than a sample's share is
-    always drawn and counts for its size. The draw depends on the record alone.
+    Equal records are drawn together, once, with a chance in proportion to their bytes; those larger
+    than a sample's share are always drawn and count for their bytes. So about `sample` keys are
+    drawn whatever repeats, and the draw depends on the records alone.
     """
-    share = F.col("size") * F.lit(sample / max(total, 1))
+    share = F.col("size") * F.col("n") * F.lit(sample / max(total, 1))
+    equal = thin.groupBy("doc_id", "key", "size").agg(F.count(F.lit(1)).alias("n"))
     drawn = (
-        thin.filter(uniform("doc_id", "key", "size", F.lit("draw")) < share)
+        equal.filter(uniform("doc_id", "key", "size", F.lit("draw")) < share)
         .select("key", F.greatest(share, F.lit(1.0)).alias("weight"))
         .collect()
     )
@@ -93,7 +95,7 @@ def shard(
     of their own; equal rows are interchangeable. An empty table gives an empty one. Only doc_id
     and text are read, so other columns never clash. The sample is a few keys per range, whatever
     the input; a piece holds at most about 1.25 ranges of bytes or `piece_rows` rows, so no task
-    sorts more. Equal texts stay in one shard unless they alone overfill a range.
+    sorts more, however many rows are equal or long. Equal texts stay in one shard unless they alone overfill a range.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     thin = stored(
@@ -102,6 +104,7 @@ def shard(
             (F.octet_length(text) + 1).cast("long").alias("size"),
             F.crc32(text).alias("text_crc32"),
             F.xxhash64(text).alias("key"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "shard-sizes",
     )
@@ -113,26 +116,36 @@ def shard(
     by_row = divided(
         by_text, ["r", "t"], "d", F.xxhash64("doc_id", F.lit("row")), limit, piece_rows
     )
+    # Where equal rows alone overfill a piece, they are dealt out; they stand for each other.
+    # There are no more such rows than ranges and pieces of rows.
+    equal = thin.groupBy("doc_id", "key", "size").agg(F.count(F.lit(1)).alias("n"))
+    parts = F.ceil(F.greatest(F.col("n") * F.col("size") / F.lit(limit), F.col("n") / F.lit(piece_rows)))
+    many = equal.select(
+        F.col("doc_id").alias("ed"), F.col("key").alias("ek"), F.col("size").alias("es"), parts.alias("parts")
+    ).filter("parts > 1")
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in (("doc_id", "ed"), ("key", "ek"), ("size", "es"))]
+    copy = F.pmod(F.xxhash64("row", F.lit("copy")), F.col("parts"))
+    by_copy = by_row.join(F.broadcast(many), same, "left").withColumn("e", F.coalesce(copy, F.lit(0)))
+    by_copy = by_copy.drop("ed", "ek", "es", "parts")
     pieces = stored(
-        by_row.groupBy("r", "t", "d").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")),
+        by_copy.groupBy("r", "t", "d", "e").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")),
         "shard-pieces",
     )
-    order = Window.orderBy("r", "t", "d").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.orderBy("r", "t", "d", "e").rowsBetween(Window.unboundedPreceding, -1)
     middle = F.coalesce(F.sum("b").over(order), F.lit(0)) + F.col("b") / 2
     placed = pieces.withColumn(
         "shard", F.least(F.floor(middle * shards / max(total, 1)), F.lit(shards - 1)).cast("int")
     )
-    inside = Window.partitionBy("shard").orderBy("r", "t", "d").rowsBetween(
+    inside = Window.partitionBy("shard").orderBy("r", "t", "d", "e").rowsBetween(
         Window.unboundedPreceding, -1
     )
     starts = placed.select(
-        F.col("r").alias("pr"), F.col("t").alias("pt"), F.col("d").alias("pd"), "shard",
+        F.col("r").alias("pr"), F.col("t").alias("pt"), F.col("d").alias("pd"), F.col("e").alias("pe"), "shard",
         F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("start"),
     )
-    row = Window.partitionBy("r", "t", "d").orderBy("key", "doc_id", "size", "text_crc32")
-    return by_row.join(
-        starts, (F.col("r") == F.col("pr")) & (F.col("t") == F.col("pt")) & (F.col("d") == F.col("pd"))
-    ).select(
+    row = Window.partitionBy("r", "t", "d", "e").orderBy("key", "doc_id", "size", "text_crc32")
+    same = [F.col(a) == F.col(b) for a, b in zip("rtde", ("pr", "pt", "pd", "pe"))]
+    return by_copy.join(starts, same).select(
         "doc_id",
         "size",
         "text_crc32",

@@ -22,11 +22,23 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationlab.llm.common import Published, opened
+from stationlab.session import qualified
 
 SEQ_LEN = 2048
 BATCH = 64
 END_ID = 1
 KNOWN_WORDS = 1_000_000
+# First characters by which documents of one id are ordered.
+TOLD_APART = 64
+# Texts, and parts of them that have the same ids together if runs can be encoded one by one.
+PROBES = [
+    ("one two", ("one", "two")),
+    ("  one\t\n two ", ("one", "two")),
+    ("Word", ("word",)),
+    ("word.", ("word", ".")),
+    ("WORD,word.,", ("word", ",", "word", ".", ",")),
+    ("x9. it's", ("x9", ".", "it's")),
+]
 TOGETHER = 64
 INDEX = "doc_id long, part int, file string, place long, n_tokens long"
 
@@ -50,9 +62,10 @@ def parted(run: str) -> tuple[str, str]:
 class Encoder:
     """Encodes texts, asking the tokenizer once for each distinct run between ASCII white space.
 
-    Valid for tokenizers that, as the given one, drop white space, ignore case and split letters
-    from punctuation: the ids of a text are then those of its runs, one after another. At most
-    KNOWN_WORDS pieces are remembered; beyond that the memory starts anew.
+    This holds for tokenizers that, as the given one, drop white space, ignore case and split letters
+    from punctuation: the ids of a text are then those of its runs, one after another. Others, told
+    by what they make of PROBES, get whole texts. At most KNOWN_WORDS pieces are remembered; beyond
+    that the memory starts anew.
     """
 
     def __init__(self, path: str):
@@ -64,6 +77,16 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.forget()
+        self.by_runs = all(self._ids(text) == self._ids(*parts) for text, parts in PROBES)
+
+    def _ids(self, *texts: str) -> list[int]:
+        found = self.tokenizer.encode_batch(list(texts), add_special_tokens=False)
+        return [i for coded in found for i in coded.ids]
+
+    def whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids = [self._ids(text) for text in pc.fill_null(texts, "").to_pylist()]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((i for some in ids for i in some), self.type, int(sizes.sum())), sizes
 
     def forget(self) -> None:
         self.known: dict[str, int] = {"": 0}
@@ -103,6 +126,8 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per text), without end ids; a null text counts as empty."""
+        if not self.by_runs:
+            return self.whole(texts)
         runs = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
         coded = pc.dictionary_encode(runs.flatten())
         offsets = np.asarray(runs.offsets, dtype=np.int64) - int(runs.offsets[0].as_py())
@@ -134,13 +159,17 @@ def write_token_files(
     seq_len: int = SEQ_LEN,
     end_id: int = END_ID,
 ) -> None:
-    """Writes the documents in ascending order of doc_id (null first; equal ids by text).
+    """Writes the documents in ascending order of doc_id (null first; equal ids by the first characters
+    of the text, then by its digest).
 
     Every row is a document of its own, rows with equal ids too; null texts are empty ones, which
     hold the end id alone. An empty table gives an index without rows and no file. Only doc_id and
-    text are read. Spark range-partitions the rows, each task writes one file in bounded memory.
+    text are read. Spark range-partitions the rows, each task writes one file; beside the ids of a
+    thousand texts it holds one batch, however long the documents.
     """
 
+    folder = qualified(docs.sparkSession, folder)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer)
         schema = file_schema(seq_len, pa.from_numpy_dtype(encoder.type))
@@ -199,8 +228,16 @@ def write_token_files(
                 out.drop()
             raise
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Ranges end within an id, and even within equal rows, where one id has many.
+    order = ["doc_id", "begin", "digest", "tie"]
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "text",
+        F.substring("text", 1, TOLD_APART).alias("begin"),
+        F.md5("text").alias("digest"),
+        F.rand(11).alias("tie"),
+    )
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     ordered.mapInArrow(write, INDEX).write.parquet(f"{folder}/index")
 
 
@@ -243,6 +280,7 @@ class TokenFile:
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """One row per document as read back from the files: doc_id, start (ids of all documents
     before it), n_tokens, ids_crc32 over little-endian 32-bit ids, file and place."""
+    folder = qualified(spark, folder)
     index = spark.read.schema(INDEX).parquet(f"{folder}/index")
     sums = index.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

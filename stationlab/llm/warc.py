@@ -16,17 +16,17 @@ from dataclasses import dataclass
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationlab.llm.common import Published, opened, stored
+from stationlab.session import qualified
 
 MIN_REVISIT = 1000
 SPLIT_BYTES = 64 << 20
 READ = 1 << 16
 MAGIC = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
-HEAD_LIMIT = 1 << 20
 BATCH_BYTES = 8 << 20
 
 ROWS = (
@@ -102,6 +102,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     Only finished files are named there. Repeated rows become records of their own; an empty table
     gives no file."""
 
+    folder = qualified(pages.sparkSession, folder)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size, n = None, 0, 0
         try:
@@ -142,9 +144,11 @@ def parsed(data: bytes, at: int) -> tuple[dict[str, str], bytes, int] | str:
     """(headers, block, end) of the record at a place, or why there is none."""
     if not VERSION.match(data, at):
         return "no version line"
-    end = data.find(b"\r\n\r\n", at, at + HEAD_LIMIT)
+    end = data.find(b"\r\n\r\n", at)
     if end < 0:
-        return "headers have no end"
+        # Headers may be of any length, but every whole line has its colon.
+        lines = data[at:].split(b"\r\n")[1:-1]
+        return "headers have no end" if all(b":" in line for line in lines) else "malformed header"
     headers = {}
     for line in data[at:end].decode("utf-8", "replace").split("\r\n")[1:]:
         name, colon, value = line.partition(":")
@@ -244,11 +248,12 @@ def salvage_plain(source) -> Iterator[Found]:
                 held, base = source.read_at(want, at), at
             got = parsed(held, at - base)
             cut = got in ("headers have no end", "block is cut or has another length")
-            if not cut or want >= size - at or (got == "headers have no end" and want > HEAD_LIMIT):
+            if not cut or want >= size - at:
                 break
             head = held.find(b"\r\n\r\n", at - base)
             length = re.search(rb"(?i)\r\ncontent-length: *(\d{1,12})\r\n", held[at - base : head + 2])
-            need = head - (at - base) + 8 + int(length[1]) if head >= 0 and length else want * 2
+            more = min(want * 2, size - at)
+            need = head - (at - base) + 8 + int(length[1]) if head >= 0 and length else more
             if need <= want or need > size - at:
                 break
             want = need
@@ -306,9 +311,10 @@ def read_archives(
     """Records and gaps of archives: (file, bytes) rows name them within the folder.
 
     Records have a null reason; a gap has its place, length and reason, all else null. Compressed
-    archives are read by several tasks, each from the first valid member of its range on.
+    archives are read by as many tasks as ranges, each from the first valid member of its range on;
+    a plain one is read by one. A record of any length is held whole; no file gives no rows.
     """
-    step = F.lit(split_bytes)
+    folder, step = qualified(spark, folder), F.lit(split_bytes)
     ranges = files.select(
         "file",
         F.explode(F.sequence(F.lit(0), F.greatest(F.col("bytes") - 1, F.lit(0)), step)).alias("begin"),
@@ -345,7 +351,10 @@ def read_archives(
         if rows:
             yield batch_of()
 
-    return ranges.repartition("file", "begin").mapInArrow(read, ROWS)
+    # Few small rows stand for much to read: each range is a task of its own.
+    ranges = stored(ranges.withColumn("task", F.row_number().over(Window.orderBy("file", "begin")) - 1), "ranges")
+    tasks = max(1, ranges.count())
+    return ranges.repartitionById(tasks, F.col("task").cast("int")).select("file", "begin").mapInArrow(read, ROWS)
 
 
 def page_records(rows: DataFrame) -> DataFrame:

@@ -92,6 +92,39 @@ def test_odd_chats(spark):
     assert chat.read_chats(chat.format_chats(df.filter("1 = 0"))).count() == 0
 
 
+def test_ids_beyond_doubles_stay_whole_beside_null(spark):
+    ids = [None, 2**53, 2**53 + 1, 2**53 + 2, -(2**53) - 1]
+    df = spark.createDataFrame([(i, 0, "user", f"text {i}") for i in ids], "conv_id long, turn long, role string, text string")
+    df = df.coalesce(1).withColumn("parts", chat.text_parts(F.col("text")))
+    found = {r.conv_id: r.n_turns for r in chat.read_chats(chat.format_chats(df)).collect()}
+    assert found == dict.fromkeys(ids, 1)
+
+
+def test_very_long_chats_and_pages(spark):
+    text = "### Assistant: </turn> \\ é" * 40_000
+    df = spark.createDataFrame([(1, 0, "assistant", text)], "conv_id long, turn long, role string, text string")
+    row = chat.read_chats(chat.format_chats(df.withColumn("parts", chat.text_parts(F.col("text"))))).first()
+    assert (row.n_turns, row.loss_chars) == (1, len(text))
+    folder = scratch_path(spark, "test-archives")
+    pages = spark.createDataFrame([(1, "u", text), (2, "u", text)], "page_id long, url string, html string")
+    found = warc.page_records(warc.read_archives(spark, folder, warc.write_archives(pages, folder))).collect()
+    assert {(r.page_id, r.record_type, r.payload_bytes) for r in found} == {
+        (1, "revisit", len(text.encode())), (2, "response", len(text.encode()))
+    }
+
+
+def test_places_have_schemes(spark, tmp_path):
+    from stationlab.llm.common import opened
+    from stationlab.session import qualified
+
+    assert qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    assert scratch_path(spark, "x").startswith("file:/")
+    fs, path = opened(f"file:{tmp_path}")
+    assert path == str(tmp_path) and fs.type_name == "local" and opened(f"file://{tmp_path}")[1] == path
+    with pytest.raises(ValueError, match="without a scheme"):
+        opened("/ck/somewhere")
+
+
 # Archives
 
 
@@ -158,6 +191,24 @@ def test_gaps_are_reported_by_spark(spark, tmp_path):
     assert len(rows) == 4 and [(r.offset, r.length) for r in gap] == [(len(members[0]), len(members[1]))]
 
 
+def test_headers_of_any_length(spark):
+    record = warc.record(1, "http://x/" + "a" * 2_000_000, b"payload", None, False)
+    plain = list(warc.salvage_plain(pa.PythonFile(io.BytesIO(b"WARC/1.1\r\nno header here\r\n" + record * 2), "r")))
+    assert [x.reason for x in plain] == ["malformed header", None, None]
+    packed = pa.PythonFile(io.BytesIO(warc.gzip_member(record)), "r")
+    assert [x.reason for x in warc.salvage_members(packed, 0, 100)] == [None]
+
+
+def test_each_range_is_a_task(spark):
+    folder = scratch_path(spark, "test-archives")
+    pages = spark.range(300).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.sha2(F.col("id").cast("string"), 512).alias("html"))
+    files = warc.write_archives(pages.repartition(3), folder)
+    ranges = sum(-(-r.bytes // 8192) for r in files.collect())
+    rows = warc.read_archives(spark, folder, files, split_bytes=8192)
+    tasks = rows.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert rows.count() == 300 and rows.rdd.getNumPartitions() == ranges and tasks > 0.8 * ranges
+
+
 def test_odd_pages(spark):
     same = "<p>" + "é" * 800
     rows = [
@@ -218,6 +269,19 @@ def test_equal_texts_stay_together_unless_they_overfill_a_range(spark):
     assert all(len(s) == 1 for s in shards.values())
 
 
+def test_equal_rows_are_split_and_drawn_together(spark):
+    """A third of all rows is one row: its copies lie in several shards, the sample stays small."""
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "one row of a third " * 9).otherwise(F.concat(F.lit("text "), F.col("id"))).alias("text"),
+    )
+    found = sharding.shard(rows, ranges=64, sample=512).collect()
+    check_shards(found, [tuple(r) for r in rows.collect()])
+    sizes = [sum(r.size for r in found if r.shard == s) for s in range(16)]
+    assert max(sizes) < 1.5 * sum(sizes) / 16
+    assert len({r.shard for r in found if r.doc_id == 7}) > 5
+
+
 def test_splitters_and_search_agree(spark):
     bounds = [-5, 0, 7, 7, 40]
     keys = spark.createDataFrame([(k,) for k in range(-10, 50)], "k long")

@@ -319,6 +319,37 @@ def test_toxicity_of_odd_rows(odd_docs, no_docs, odd_labels):
     assert toxicity.toxicity(no_docs, odd_labels.filter("1 = 0")).count() == 0
 
 
+def test_trained_scorer_meets_odd_rows(spark, odd_docs):
+    docs, labels = toxic_corpus(spark, 400)
+    odd = odd_docs.select(F.lit(5_000_000).cast("long").alias("doc_id"), "text", *[c for c in odd_docs.columns if c not in ("doc_id", "text")])
+    both = docs.unionByName(odd, allowMissingColumns=True)
+    rows = toxicity.toxicity(both, labels).filter("doc_id = 5000000").collect()
+    assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
+    assert len(set(toxicity.toxicity(both, labels).select("score").distinct().collect())) > 50
+    kept = toxicity.without_toxic(both, labels)
+    assert kept.columns == both.columns and kept.filter("text IS NULL").count() == 2
+
+
+@pytest.mark.parametrize("mark", [["qzwvx"], ["brkkr", "vloms", "gurpt"], [" ".join(["some", "words", "known", "here", "often"])]])
+def test_short_marks_and_phrases_are_learnt(mark):
+    """Marks of five letters, and a phrase of ordinary words, in otherwise ordinary text."""
+    rng = random.Random(9)
+    letters = "etaoinshrdlucm"
+    known = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(1500)] + "some words known here often".split()
+
+    def text(toxic):
+        some = rng.choices(known, k=rng.randint(60, 200))
+        for _ in range(4 * toxic):
+            some.insert(rng.randrange(len(some)), rng.choice(mark))
+        return " ".join(some)
+
+    learnt, unseen = ([(text(i % 4 == 0), int(i % 4 == 0)) for i in range(n)] for n in (800, 200))
+    scorer = toxicity.fit(learnt).scores()
+    right = [(scorer.score(t) >= 0.5) == y for t, y in unseen]
+    assert sum(right) >= 0.9 * len(right)
+    assert sum(r for r, (_, y) in zip(right, unseen) if y) >= 0.75 * 50
+
+
 # Languages
 
 
@@ -345,6 +376,65 @@ def test_probabilities_of_a_context_sum_to_one(spark):
     assert np.allclose(np.array(plain), np.exp(models.lookup(keys)))
 
 
+def test_model_equals_plain_kneser_ney(spark):
+    """Interpolated Kneser-Ney by the textbook, over dictionaries."""
+    texts = ["abab abba baab cabbage", "a cab \U00010400\U00010401 bag"]
+    docs = spark.createDataFrame([("x", t) for t in texts], "lang string, text string")
+    models = language.Models(language.kneser_ney(language.gram_counts(docs)).toPandas())
+    counts = [None] + [{} for _ in range(4)]
+    for t in texts:
+        codes = tuple(int(c) for c in language.coded(t))
+        for i in range(len(codes) - 3):
+            counts[4][codes[i : i + 4]] = counts[4].get(codes[i : i + 4], 0) + 1
+    for k in (3, 2, 1):
+        for gram in counts[k + 1]:
+            counts[k][gram[1:]] = counts[k].get(gram[1:], 0) + 1
+    size = len(counts[1]) + 1
+
+    def discount(k):
+        ones, twos = (sum(n == m for n in counts[k].values()) for m in (1, 2))
+        return max(0.1, min(0.95, ones / (ones + 2 * twos) if ones + 2 * twos else 0.5))
+
+    def probability(gram):
+        k = len(gram)
+        if not k:
+            return 1 / size
+        after = [n for g, n in counts[k].items() if g[:-1] == gram[:-1]]
+        if not after:
+            return probability(gram[1:])
+        d = discount(k)
+        own = max(counts[k].get(gram, 0) - d, 0) / sum(after)
+        return own + d * len(after) / sum(after) * probability(gram[1:])
+
+    letters = sorted({g[-1] for g in counts[1]} | {ord("z")})
+    grams = [(32, ord("a"), ord("b"), c) for c in letters] + [(ord("q"), ord("z"), ord("a"), c) for c in letters]
+    keys = np.array([sum(c << 16 * (3 - i) for i, c in enumerate(g)) for g in grams], np.uint64)
+    assert np.allclose(np.exp(models.lookup(keys)[:, 0]), [probability(g) for g in grams], rtol=1e-4)
+
+
+def test_languages_of_other_planes_are_told_apart(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(60):
+        base = 0x10480 if i % 2 else 0x10330
+        rows.append((i, "xa" if i % 2 else "xb", " ".join("".join(chr(base + rng.randrange(26)) for _ in range(6)) for _ in range(30))))
+    found = language.identify(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()
+    assert all(r.lang_pred == ("xa" if r.doc_id % 2 else "xb") for r in found)
+
+
+def test_unseen_texts_are_accepted_at_the_nominal_rate(spark):
+    """Texts of one kind: those held out are accepted as often as those learnt from."""
+    rng = random.Random(12)
+    known = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) for _ in range(900)]
+    rows = [(i, "en", " ".join(rng.choices(known, k=rng.randint(20, 60)))) for i in range(9000)]
+    strange = [(10_000 + i, None, " ".join("".join(rng.choice("qxzjkvw") for _ in range(5)) for _ in range(40))) for i in range(50)]
+    docs = spark.createDataFrame(rows + strange, "doc_id long, lang string, text string")
+    found = language.identify(docs).collect()
+    held = [r.accepted for r in found if r.held_out and r.doc_id < 10_000]
+    assert len(held) > 2500 and abs(sum(held) / len(held) - language.ACCEPTED) < 0.01
+    assert not any(r.accepted for r in found if r.doc_id >= 10_000)
+
+
 def test_languages_of_odd_rows(odd_docs, no_docs):
     rows = language.identify(odd_docs).collect()
     assert len(rows) == odd_docs.count()
@@ -418,12 +508,24 @@ def test_found_items_equal_a_full_search(spark):
     assert clean == set(range(60)) - {d for d, _ in expected}
 
 
-def test_blocks_of_items_find_the_same(spark, monkeypatch):
+def test_blocks_of_items_find_the_same(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     once = sorted(map(tuple, dc.contamination(docs, items).collect()))
-    monkeypatch.setattr(dc.item_blocks, "__defaults__", (2000,))
-    assert once and sorted(map(tuple, dc.contamination(docs, items).collect())) == once
+    assert once and sorted(map(tuple, dc.contamination(docs, items, block_bytes=2000).collect())) == once
+    clean, again = (dc.decontaminated(docs, items, block_bytes=b) for b in (2000, 10**9))
+    assert clean.exceptAll(again).isEmpty() and again.exceptAll(clean).isEmpty()
+
+
+def test_short_items_are_found_at_word_limits(spark):
+    items = [(1, "What is a quark?"), (2, "東京は日本の首都ですよね本当"), (3, "one dog"), (4, "a quark is what")]
+    texts = ["so: what is a QUARK, then", "what is a quarkk", "hm, awhat is a quark", "これは東京は日本の首都ですよね本当と思う",
+             "there is one dog here", "One dog!"]
+    docs = docs_of(spark, texts)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.begin, r.end) for r in dc.contamination(docs, bench).collect()}
+    assert found == {(0, 1): (3, 18), (3, 2): (3, 17), (5, 3): (0, 7)}
+    assert {r.doc_id for r in dc.decontaminated(docs, bench).collect()} == {1, 2, 4}
 
 
 def test_decontamination_of_odd_rows(odd_docs, no_docs, odd_items):
