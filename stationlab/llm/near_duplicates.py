@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlab.llm.common import components, stored
+from stationlab.llm.common import components, looked_up, stored
 
 SHINGLE = 5
 ENTRIES = 16
@@ -179,13 +179,87 @@ def ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def shingles_of(text: Column) -> Column:
+    @F.pandas_udf("array<long>")
+    def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([labelled_shingles(text).view(np.int64).tolist() for text in batch])
+
+    return udf(text)
+
+
+def rarest(texts: DataFrame) -> DataFrame:
+    """(token, node, size, rank, near): of each of the (stored) texts the shared shingles among its
+    rarest, by which every similar pair can be found.
+
+    Shingles are put in the order of how many of these texts hold them. Similar texts share enough
+    of them that one lies among the first of both, far beyond what all texts of a template share.
+    `near` marks those that the smaller text of a pair needs, the larger one needs them all."""
+    held = stored(texts.select("node", shingles_of(F.col("text")).alias("s")), "shingles")
+    single = held.select("node", F.size("s").alias("size"), F.explode("s").alias("token"))
+    often = single.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    often = stored(often.withColumn("times", F.col("n")), "shingle-counts")
+    ordered = looked_up(single, often, ["token"]).groupBy("node", "size").agg(
+        F.sort_array(F.collect_list(F.struct("times", "token"))).alias("s")
+    )
+    size, rank = F.col("size"), F.col("rank")
+    ranked = ordered.select("node", "size", F.size("s").alias("m"), F.posexplode("s").alias("at", "e"))
+    ranked = ranked.select("node", "size", (size - F.col("m") + F.col("at")).alias("rank"), "e.token")
+    first = lambda share: rank < size - F.ceil(size * share - 1e-9) + 1
+    return ranked.filter(first(SIMILARITY)).withColumn("near", first(2 * SIMILARITY / (1 + SIMILARITY)))
+
+
+def rooted(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different classes so far, with the roots of these in order."""
+    for side in "ab":
+        known = parts.select(F.col("node").alias("p"), F.col("root").alias(f"r{side}"))
+        pairs = pairs.join(known, F.col(side) == F.col("p"), "left").drop("p")
+        pairs = pairs.withColumn(f"r{side}", F.coalesce(f"r{side}", side))
+    pairs = pairs.filter("ra <> rb")
+    low, high = F.least("ra", "rb"), F.greatest("ra", "rb")
+    return pairs.withColumns({"ra": low, "rb": high})
+
+
+def missing_pairs(buckets: DataFrame, texts: DataFrame, parts: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b, shared): pairs of texts in buckets whose texts are of several classes, that may be
+    similar and were not compared; `shared` counts the rare shingles that both hold."""
+    placed = buckets.filter("n > 3").join(
+        parts.select(F.col("node").alias("p"), "root"), F.col("node") == F.col("p"), "left"
+    ).select("entry", "key", "node", F.coalesce("root", "node").alias("root"))
+    mixed = placed.groupBy("entry", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = mixed.filter("low <> high").select(F.col("entry").alias("e"), F.col("key").alias("k"))
+    inside = placed.join(mixed, (F.col("entry") == F.col("e")) & (F.col("key") == F.col("k")), "left_semi")
+    inside = inside.select(F.col("node").alias("i")).distinct()
+    tokens = stored(
+        rarest(stored(texts.join(inside, F.col("node") == F.col("i"), "left_semi"), "mixed-texts")), "rare-shingles"
+    )
+    names = ("token", "node", "size", "rank")
+    smaller = tokens.filter("near").select(*[F.col(c).alias(f"{c}_s") for c in names])
+    larger = tokens.select(*names)
+    rest = F.least(F.col("size") - F.col("rank"), F.col("size_s") - F.col("rank_s"))
+    need = F.ceil((F.col("size") + F.col("size_s")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9)
+    pairs = larger.join(
+        smaller,
+        (F.col("token") == F.col("token_s"))
+        & (F.col("node") != F.col("node_s"))
+        & (F.col("size_s") <= F.col("size"))
+        & (F.col("size_s") >= F.col("size") * SIMILARITY - 1e-9)
+        # What is left of both after their first shared shingle must suffice.
+        & (rest >= need),
+    )
+    pairs = pairs.groupBy(*ordered(F.col("node"), F.col("node_s"))).agg(F.count(F.lit(1)).alias("shared"))
+    return rooted(pairs.join(known, ["a", "b"], "left_anti"), parts).select("a", "b", "shared")
+
+
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows: doc_id, node; nodes: node, first, class_node, class_id), the latter one per text.
 
     Within a bucket (texts that share an entry) each text is compared with two centres, others in
-    each entry's buckets; then with the bucket's text of most links, if that is in another class,
-    until nothing new is linked. So a bucket costs a few comparisons per text, and a text between
-    others that are not alike still joins them.
+    each entry's buckets, which joins most of them. Where a bucket then still holds texts of several
+    classes, every pair of these that can be similar is found by its rarest shingles. Such pairs are
+    compared a few at a time for each two classes, those that share most first, until all are or their
+    classes are one. So a bucket of copies costs a few comparisons per text, and no two similar
+    texts of a bucket stay apart.
     """
     sketched = stored(
         docs.select("doc_id", node_of(F.col("text")).alias("node"), sketches(F.col("text")).alias("sketch")),
@@ -233,35 +307,17 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = stored(pairs, "pairs")
     links = stored(compared(pairs, texts), "links")
     parts = stored(components(links), "parts")
-    larger = buckets.filter("n > 2")
-    while True:
-        degree = links.select(F.explode(F.array("a", "b")).alias("d")).groupBy("d").agg(
-            F.count(F.lit(1)).alias("links")
-        )
-        known = parts.join(degree, F.col("node") == F.col("d")).select(
-            F.col("node").alias("p"), "root", "links"
-        )
-        placed = larger.join(known, F.col("node") == F.col("p"), "left").select(
-            "entry", "key", "node", F.coalesce("root", "node").alias("root"),
-            F.coalesce("links", F.lit(0)).alias("links"),
-        )
-        hubs = placed.groupBy("entry", "key").agg(
-            F.max(F.struct("links", "node", "root")).alias("hub")
-        ).select(F.col("entry").alias("e"), F.col("key").alias("k"), "hub.node", "hub.root")
-        hubs = hubs.withColumnRenamed("node", "hub").withColumnRenamed("root", "hub_root")
-        new = (
-            placed.join(hubs, (F.col("entry") == F.col("e")) & (F.col("key") == F.col("k")))
-            .filter("root <> hub_root")
-            .select(*ordered(F.col("node"), F.col("hub")))
-            .distinct()
-            .join(pairs, ["a", "b"], "left_anti")
-        )
-        new = stored(new, "pairs")
-        more = stored(compared(new, texts), "links")
-        if more.isEmpty():
-            break
-        pairs, links = pairs.union(new), links.union(more)
-        parts = stored(components(links), "parts")
+    left = stored(missing_pairs(buckets, texts, parts, pairs), "candidates")
+    together = 4
+    while not left.isEmpty():
+        left = rooted(left, parts)
+        turn = F.row_number().over(Window.partitionBy("ra", "rb").orderBy(F.desc("shared"), "a", "b"))
+        left = stored(left.select("a", "b", "shared", (turn <= together).alias("now")), "candidates")
+        more = stored(compared(left.filter("now").select("a", "b"), texts), "links")
+        if not more.isEmpty():
+            links = links.union(more)
+            parts = stored(components(links), "parts")
+        left, together = left.filter("NOT now").drop("now"), together * 4
     grouped = nodes.select("node", "first").join(
         parts.select(F.col("node").alias("p"), "root"), F.col("node") == F.col("p"), "left"
     ).select("node", "first", F.coalesce("root", "node").alias("root"))
@@ -279,8 +335,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id and class_id, the least doc_id of its class; one row per row of `docs`.
 
     Equal texts are one class, empty ones too. A null text is a class of its own. Texts of fewer
-    than five words are similar only if their words are the same. Repeated rows share their class; a
-    class without ids has a null one. An empty table gives an empty one; other columns are not read.
+    than five words are similar only if their words are the same. Long texts are sketched and aligned
+    whole. Repeated rows share their class; a class without ids has a null one. An empty table gives
+    an empty one; other columns are not read.
     """
     rows, nodes = classes(docs)
     known = nodes.select(F.col("node").alias("n"), "class_id")

@@ -115,6 +115,34 @@ def test_near_duplicates_of_odd_rows(spark, odd_docs, no_docs):
     assert near_duplicates.without_near_duplicates(no_docs).count() == 0
 
 
+def test_no_link_is_lost_inside_templates(spark):
+    """Texts of one template, less alike than the limit, share large buckets; some are near copies."""
+    rng = random.Random(2)
+    texts = []
+    for f in range(3):
+        template = [f"t{f}w{i}" for i in range(200)]
+
+        def changed(text, at):
+            return text[:at] + [f"o{rng.randrange(10**7)}" for _ in range(8)] + text[at + 8 :]
+
+        places = [rng.randrange(85) for _ in range(70)]
+        made = [changed(template, at) for at in places]
+        texts += made + [changed(made[i], places[i] + 100) for i in range(30)]
+    texts = [" ".join(t) for t in texts]
+    shingles = [near_duplicates.labelled_shingles(t) for t in texts]
+    root = list(range(300))
+    for a in range(300):
+        for b in range(a):
+            if a // 100 == b // 100 and root[a] != root[b] and near_duplicates.similarity(shingles[a], shingles[b]):
+                old, new = root[a], root[b]
+                root = [new if r == old else r for r in root]
+    found = {r.doc_id: r.class_id for r in near_duplicates.near_duplicates(docs_of(spark, texts)).collect()}
+    want = {}
+    for i, r in enumerate(root):
+        want[i] = min(j for j in range(300) if root[j] == r)
+    assert found == want
+
+
 # Token files
 
 
