@@ -308,7 +308,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = stored(compared(pairs, texts), "links")
     parts = stored(components(links), "parts")
     left = stored(missing_pairs(buckets, texts, parts, pairs), "candidates")
-    together = 4
+    together = 16
     while not left.isEmpty():
         left = rooted(left, parts)
         turn = F.row_number().over(Window.partitionBy("ra", "rb").orderBy(F.desc("shared"), "a", "b"))
@@ -317,7 +317,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if not more.isEmpty():
             links = links.union(more)
             parts = stored(components(links), "parts")
-        left, together = left.filter("NOT now").drop("now"), together * 4
+        left, together = left.filter("NOT now").drop("now"), together * 64
     grouped = nodes.select("node", "first").join(
         parts.select(F.col("node").alias("p"), "root"), F.col("node") == F.col("p"), "left"
     ).select("node", "first", F.coalesce("root", "node").alias("root"))
