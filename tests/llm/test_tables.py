@@ -6,14 +6,17 @@ import json
 import random
 import zlib
 
+import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from stationlab.llm import chat, mixing, sharding, warc
+from stationlab.llm import chat, decontamination, mixing, near_duplicates, sharding, toxicity, warc
 from stationlab.llm.common import components
 from stationlab.llm.queries import QUERIES, SQL
 from stationlab.session import scratch_path
@@ -355,6 +358,107 @@ def test_pipeline_stages(spark):
     assert json.dumps(sorted(r.start for r in result)[:1]) == "[0]"
 
 
+def small_corpus():
+    """Copies, near copies, toxic texts, passages of a benchmark item, null and empty texts."""
+    rng = random.Random(21)
+    known = ["".join(rng.choice("etaoinshrdlucm") for _ in range(rng.randint(2, 8))) for _ in range(700)]
+    say = lambda n: " ".join(rng.choices(known, k=n))
+    items = [(i, say(25)) for i in range(4)]
+    rows = []
+    for i in range(260):
+        text = say(rng.randint(30, 90))
+        if i % 4 == 0:
+            words = text.split()
+            for _ in range(5):
+                words.insert(rng.randrange(len(words)), rng.choice(["vilewort", "zznasty", "kwinsult"]))
+            text = " ".join(words)
+        elif i % 13 == 1:
+            text = f"{text}; {items[i % 4][1].title()} {say(9)}"
+        elif i % 17 == 2 and rows:
+            text = rows[-1][1] + " and one word"
+        elif i % 19 == 3 and rows:
+            text = rows[-1][1]
+        rows.append((i, text, "en", f"s{i % 5}" if i % 11 else None, len(text)))
+    rows += [(900, None, "en", "s1", 0), (901, "", "en", "s1", 0), (902, "", None, "s2", 0)]
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(260)]
+    return rows, labels, items
+
+
+def plain_pipeline(rows, labels, items):
+    """The five stages on lists, by their definitions."""
+    by_id = {r[0]: r for r in rows}
+    told = {}
+    for i, _, toxic in labels:
+        if zlib.crc32(str(i).encode()) % 5 and by_id[i][1] is not None:
+            text = by_id[i][1]
+            told[text] = max(toxic, told.get(text, 0))
+    digest = lambda t: hashlib.md5(t.encode()).hexdigest()
+    scorer = toxicity.fit(sorted(told.items(), key=lambda r: digest(r[0]))).scores()
+    rows = [r for r in rows if scorer.score(r[1]) < 0.5]
+    clean = len(rows)
+    kept, seen = [], []
+    for r in sorted(rows):
+        if r[1] is None:
+            kept.append(r)
+            continue
+        shingles = near_duplicates.labelled_shingles(r[1])
+        alike = [c for c, text, s in seen if text == r[1] or near_duplicates.similarity(s, shingles)]
+        seen.append((min(alike, default=r[0]), r[1], shingles))
+        if not alike:
+            kept.append(r)
+    rows = []
+    for r in kept:
+        text = decontamination.normalised(r[1])
+        best = [(decontamination.normalised(t), decontamination.myers(decontamination.normalised(t), text)[0]) for _, t in items]
+        if all(d > decontamination.budget(len(t), decontamination.RATE) for t, d in best):
+            rows.append(r)
+    size = {r[0]: len((r[1] or "").split()) for r in rows}
+    sources = sorted({r[3] for r in rows}, key=lambda s: (s is None, s or ""))
+    total = {s: sum(size[r[0]] for r in rows if r[3] == s) for s in sources}
+    weight = {s: i % 3 + 1 for i, s in enumerate(sources)}
+    target, open_ = {}, set(sources)
+    while True:
+        left = sum(total.values()) - sum(target.values())
+        level = left / sum(weight[s] for s in open_)
+        full = [s for s in open_ if 3 * total[s] <= level * weight[s]]
+        if not full:
+            break
+        target |= {s: 3.0 * total[s] for s in full}
+        open_ -= set(full)
+    target |= {s: level * weight[s] for s in open_}
+    queue = []
+    for n, s in enumerate(sources):
+        done = 0
+        mine = sorted((hashlib.md5(f"mix:{r[0]}".encode()).hexdigest(), r) for r in rows if r[3] == s)
+        for place, (_, r) in enumerate(mine):
+            done += size[r[0]]
+            queue += [((k * total[s] + done) / target[s], n, k, place, r) for k in range(3)]
+    taken, spent = [], 0
+    for *_, r in sorted(queue, key=lambda x: x[:4]):
+        spent += size[r[0]]
+        if spent > sum(total.values()):
+            break
+        taken.append(r)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    out, start = [], 0
+    for r in sorted(taken):
+        ids = np.array(tokenizer.encode(r[1] or "", add_special_tokens=False).ids + [1], "<u4")
+        out.append((r[0], start, len(ids), zlib.crc32(ids)))
+        start += len(ids)
+    return clean, out
+
+
+def test_pipeline_equals_its_plain_version(spark, tmp_path):
+    rows, labels, items = small_corpus()
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = sorted(tuple(r)[:4] for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    clean, want = plain_pipeline(rows, labels, items)
+    assert found == sorted(want) and 120 < len(found) and 150 < clean < 240
+
+
 def test_pipeline_stages_of_odd_rows(spark, odd_docs, no_docs):
     for name, stage in corpus_pipeline.STAGES:
         rows = stage(spark, odd_docs, SF)
