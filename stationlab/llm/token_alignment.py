@@ -115,7 +115,8 @@ class Kind:
                 found = np.array(found, np.int32)
                 ends = np.cumsum([len(p.encode()) + 1 for p in group])
                 places = np.cumsum(self.lengths[found])
-                if len(places) and places[-1] == ends[-1] and np.isin(ends, places).all():
+                last = np.searchsorted(places, ends)
+                if last[-1] < len(places) and (places[last] == ends).all() and places[-1] == ends[-1]:
                     ids.append(found)
                     sizes.append(np.bincount(np.searchsorted(ends, places), minlength=len(group)))
                 else:
@@ -213,18 +214,28 @@ def as_text(ids: pa.ChunkedArray, sizes: np.ndarray) -> pa.Array:
     return pc.binary_join(listed(offsets_of(sizes), strings), pa.scalar(",", pa.large_string()))
 
 
-def group_pairs(a: pa.Table, b: pa.Table) -> pa.Table:
-    """(text, pair, times): how often the ids of a pair share a group of a text. Equal ids of a group
-    are counted first, so a group costs its different pairs of ids."""
+def paired(first: pa.Array, second: pa.Array) -> pa.Array:
+    """Two ids as one whole number."""
+    high = pc.shift_left(first.cast(pa.int64()), pa.scalar(32, pa.int64()))
+    return pc.bit_wise_or(high, second.cast(pa.int64()))
+
+
+def group_pairs(a: pa.Table, b: pa.Table, alone: np.ndarray) -> pa.Table:
+    """(text, pair, times): how often the ids of a pair share a group of a text.
+
+    Groups of one token on either side, most of them, are pairs as they are. In all others equal ids
+    are counted first, so a group costs its different pairs of ids, not its pairs of tokens."""
+    single = [t.filter(pa.array(alone[np.asarray(t["group"])])) for t in (a, b)]
+    pairs = paired(single[0]["id"], single[1]["id"])
+    ones = pa.table({"text": single[0]["text"], "pair": pairs, "times": pa.array(np.ones(len(pairs), np.int64))})
+    a, b = [t.filter(pa.array(~alone[np.asarray(t["group"])])) for t in (a, b)]
     left = a.group_by(["text", "group", "id"], use_threads=False).aggregate([("id", "count")])
     right = b.group_by(["group", "id"], use_threads=False).aggregate([("id", "count")])
     right = right.rename_columns({"id": "other", "id_count": "other_count"})
     both = left.join(right, "group", join_type="inner", use_threads=False)
-    pair = pc.bit_wise_or(
-        pc.shift_left(both["id"].cast(pa.int64()), pa.scalar(32, pa.int64())), both["other"].cast(pa.int64())
-    )
     times = pc.multiply(both["id_count"], both["other_count"])
-    counted = pa.table({"text": both["text"], "pair": pair, "times": times})
+    more = pa.table({"text": both["text"], "pair": paired(both["id"], both["other"]), "times": times})
+    counted = pa.concat_tables([ones, more.cast(ones.schema)])
     counted = counted.group_by(["text", "pair"], use_threads=False).aggregate([("times", "sum")])
     return counted.sort_by([("text", "ascending"), ("pair", "ascending")])
 
@@ -262,7 +273,9 @@ def align(texts: list[str | None], encoder: Encoder) -> dict[str, pa.Array]:
         for i, line in zip(np.flatnonzero(known), joined):
             digests[i] = hashlib.sha256(line.encode()).hexdigest()
         found = group_pairs(
-            a.append_column("group", pa.array(groups[0])), b.append_column("group", pa.array(groups[1]))
+            a.append_column("group", pa.array(groups[0])),
+            b.append_column("group", pa.array(groups[1])),
+            (n_a == 1) & (n_b == 1),
         )
         sizes[known] = np.bincount(np.asarray(found["text"]), minlength=m)
         pairs, times = found["pair"].combine_chunks(), found["times_sum"].combine_chunks()
