@@ -36,7 +36,7 @@ PROBES = [
     ("  one\t\n two ", ("one", "two")),
     ("Word", ("word",)),
     ("word.", ("word", ".")),
-    ("WORD,word.,", ("word", ",", "word", ".", ",")),
+    ("WORD,word.,", ("word,word", ".,")),
     ("x9. it's", ("x9", ".", "it's")),
 ]
 TOGETHER = 64

@@ -158,6 +158,36 @@ def test_encoder_gives_the_ids_of_whole_texts(texts):
     assert ids.tolist() == [i for x in whole for i in x]
 
 
+def test_tokenizers_that_keep_white_space_get_whole_texts():
+    texts = ["Two  words.", "a\n\tb", None, "", "x " * 50 + "END.,"]
+    for name, by_runs in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        encoder = token_files.Encoder(public_tokenizers.path(name))
+        assert encoder.by_runs == by_runs
+        ids, sizes = encoder.encode(pa.array(texts))
+        want = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert sizes.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+
+
+def test_documents_of_one_id_lie_in_several_files(spark):
+    """A third of all rows has one id: ranges end within it."""
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "the same text again").otherwise(F.concat(F.lit("text "), F.col("id"))).alias("text"),
+    )
+    folder = scratch_path(spark, "test-tokens")
+    # Such small ranges would be merged again.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_files.write_token_files(rows, folder, TOKENIZER, seq_len=32)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = token_files.read_token_files(spark, folder)
+    assert found.count() == 6000
+    assert found.filter("doc_id = 5").select("file").distinct().count() > 1
+    order = [r.doc_id for r in found.orderBy("start").collect()]
+    assert order == sorted(order)
+
+
 def check_token_files(spark, docs, seq_len):
     folder = scratch_path(spark, "test-tokens")
     token_files.write_token_files(docs, folder, TOKENIZER, seq_len=seq_len)
