@@ -9,9 +9,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import LONG, with_clashing
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from odd_tables import LONG, with_clashing
 from pyspark.sql import functions as F
 
 from stationlab.llm import block_names, prefix_trie, token_alignment
