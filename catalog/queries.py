@@ -21,7 +21,7 @@ from stationlab.operators import (
     upsert,
     windows,
 )
-from stationlab.plans import heat, regional, report, snowmelt, wind, winter, workflow
+from stationlab.plans import heat, regional, report, snowmelt, station_years, wind, winter, workflow
 from stationlab.schemas import KEY_ELEMENTS, LATE_SPRING, RESULT_TABLES, SPRING, SUMMER
 from stationlab.session import scratch_path
 from stationlab.sinks import files as sink_files
@@ -925,13 +925,18 @@ def snowmelt_by_elevation(spark, sf_dir):
 
 
 def _regional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station-years are stored first, as four branches use them."""
+    obs, path = obs_of(spark, sf_dir), scratch_path(spark, "station-years")
+    years = station_years.station_years(obs)
+    years.write.parquet(path)
     return regional.regional_consistency(
-        obs_of(spark, sf_dir),
+        obs,
         adapter.obs_stations(spark, sf_dir),
         min_rows=REGION_ROWS,
         heat_percentile=HEAT,
         min_days=MIN_DAYS,
         min_spring_days=MIN_DAYS,
+        years=spark.read.schema(years.schema).parquet(path),
     )
 
 

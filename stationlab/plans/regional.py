@@ -76,9 +76,9 @@ def regional_consistency(
 ) -> DataFrame:
     """One row per analysis and eligible region; see `regional_of`.
 
-    Nothing runs before the result is used. The observations are read for all that is per
-    station-year, which four branches share, for summer days and for wind days. A caller who has
-    stored `station_years` gives them as `years`."""
+    Nothing runs before the result is used. The observations are read for summer days, for wind days
+    and for station-years. Four branches use the latter, so a caller with large observations stores
+    `station_years` and gives them as `years`; otherwise each branch computes them."""
     if years is None:
         years = station_years.station_years(obs)
     summers = heat_wave_metrics(summer_flags(obs, heat_percentile))
