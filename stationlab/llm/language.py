@@ -336,8 +336,9 @@ def limits(found: DataFrame) -> DataFrame:
     upto = F.sum("n").over(Window.orderBy("z"))
     total = F.sum("n").over(Window.partitionBy())
     limit = scores.select("z", upto.alias("upto"), total.alias("total"))
-    limit = limit.filter(F.col("upto") >= F.ceil((F.col("total") + 1) * ACCEPTED)).agg(F.min("z").alias("q"))
-    return groups.join(F.broadcast(limit), F.lit(True)).select("l", "g", (F.col("mean") + F.col("q") * wide).alias("limit"))
+    reached = limit.filter(F.col("upto") >= F.ceil((F.col("total") + 1) * ACCEPTED))
+    quantile = F.lit(reached.agg(F.min("z")).first()[0]).cast("double")
+    return groups.select("l", "g", (F.col("mean") + quantile * wide).alias("limit"))
 
 
 def identify(docs: DataFrame) -> DataFrame:
