@@ -229,26 +229,35 @@ def missing_pairs(buckets: DataFrame, texts: DataFrame, parts: DataFrame, known:
     mixed = placed.groupBy("entry", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     mixed = mixed.filter("low <> high").select(F.col("entry").alias("e"), F.col("key").alias("k"))
     inside = placed.join(mixed, (F.col("entry") == F.col("e")) & (F.col("key") == F.col("k")), "left_semi")
-    inside = inside.select(F.col("node").alias("i")).distinct()
-    tokens = stored(
-        rarest(stored(texts.join(inside, F.col("node") == F.col("i"), "left_semi"), "mixed-texts")), "rare-shingles"
+    inside = stored(inside.select(F.col("node").alias("i"), "root").distinct(), "mixed-nodes")
+    mixed_texts = stored(texts.join(inside, F.col("node") == F.col("i"), "left_semi"), "mixed-texts")
+    tokens = rarest(mixed_texts).join(inside, F.col("node") == F.col("i")).drop("i")
+    tokens = stored(tokens, "rare-shingles")
+    # Only pairs of two classes matter. A shingle's largest class, which may be a group of any size, is
+    # never joined with itself, and shingles of one class are left out.
+    classes_of = tokens.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("classes")
     )
-    names = ("token", "node", "size", "rank")
+    classes_of = classes_of.filter("classes > 1").select(F.col("token").alias("t"), "main")
+    tokens = tokens.join(classes_of, F.col("token") == F.col("t")).drop("t")
+    tokens = stored(tokens.withColumn("main", F.col("root") == F.col("main")), "rare-shingles")
+    names = ("token", "node", "size", "rank", "root", "main")
     smaller = tokens.filter("near").select(*[F.col(c).alias(f"{c}_s") for c in names])
     larger = tokens.select(*names)
     rest = F.least(F.col("size") - F.col("rank"), F.col("size_s") - F.col("rank_s"))
     need = F.ceil((F.col("size") + F.col("size_s")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9)
-    pairs = larger.join(
-        smaller,
+    possible = (
         (F.col("token") == F.col("token_s"))
-        & (F.col("node") != F.col("node_s"))
+        & (F.col("root") != F.col("root_s"))
         & (F.col("size_s") <= F.col("size"))
         & (F.col("size_s") >= F.col("size") * SIMILARITY - 1e-9)
         # What is left of both after their first shared shingle must suffice.
-        & (rest >= need),
+        & (rest >= need)
     )
+    pairs = larger.filter("NOT main").join(smaller, possible)
+    pairs = pairs.unionAll(larger.filter("main").join(smaller.filter("NOT main_s"), possible))
     pairs = pairs.groupBy(*ordered(F.col("node"), F.col("node_s"))).agg(F.count(F.lit(1)).alias("shared"))
-    return rooted(pairs.join(known, ["a", "b"], "left_anti"), parts).select("a", "b", "shared")
+    return pairs.join(known, ["a", "b"], "left_anti")
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
