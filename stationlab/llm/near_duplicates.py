@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ SHINGLE = 5
 ENTRIES = 16
 MINIMA = 4
 SIMILARITY = 0.8
+SLICE = 256
 
 _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
@@ -179,13 +181,19 @@ def ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def shingles_of(text: Column) -> Column:
-    @F.pandas_udf("array<long>")
-    def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def with_shingles(texts: DataFrame) -> DataFrame:
+    """(node, s): the labelled shingles of texts (node, text), a few texts at a time."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.Series([labelled_shingles(text).view(np.int64).tolist() for text in batch])
+            for low in range(0, batch.num_rows, SLICE):
+                some = batch.slice(low, SLICE)
+                found = [labelled_shingles(text).view(np.int64) for text in some.column("text").to_pylist()]
+                ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
+                lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found)))
+                yield pa.record_batch([some.column("node"), lists], names=["node", "s"])
 
-    return udf(text)
+    return texts.select("node", "text").mapInArrow(work, "node binary, s array<long>")
 
 
 def rarest(texts: DataFrame) -> DataFrame:
@@ -195,7 +203,7 @@ def rarest(texts: DataFrame) -> DataFrame:
     Shingles are put in the order of how many of these texts hold them. Similar texts share enough
     of them that one lies among the first of both, far beyond what all texts of a template share.
     `near` marks those that the smaller text of a pair needs, the larger one needs them all."""
-    held = stored(texts.select("node", shingles_of(F.col("text")).alias("s")), "shingles")
+    held = stored(with_shingles(texts), "shingles")
     single = held.select("node", F.size("s").alias("size"), F.explode("s").alias("token"))
     often = single.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     often = stored(often.withColumn("times", F.col("n")), "shingle-counts")

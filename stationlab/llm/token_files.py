@@ -27,7 +27,7 @@ from stationlab.session import qualified
 SEQ_LEN = 2048
 BATCH = 64
 END_ID = 1
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 700_000
 # First characters by which documents of one id are ordered.
 TOLD_APART = 64
 # Texts, and parts of them that have the same ids together if runs can be encoded one by one.
