@@ -26,6 +26,11 @@ ENTRIES = 16
 MINIMA = 4
 SIMILARITY = 0.8
 SLICE = 256
+# Of the classes of a rare shingle: rounds of comparing with typical texts, these for each shingle, and
+# comparisons for each text in a round, later for each two classes.
+ROUNDS = 3
+TYPICAL = 4
+FIRST = 16
 
 _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
@@ -228,42 +233,77 @@ def rooted(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return pairs.withColumns({"ra": low, "rb": high})
 
 
-def missing_pairs(buckets: DataFrame, texts: DataFrame, parts: DataFrame, known: DataFrame) -> DataFrame:
-    """(a, b, shared): pairs of texts in buckets whose texts are of several classes, that may be
-    similar and were not compared; `shared` counts the rare shingles that both hold."""
+def mixed_shingles(buckets: DataFrame, texts: DataFrame, parts: DataFrame) -> DataFrame:
+    """The rarest shingles of the texts in buckets whose texts are of several classes."""
     placed = buckets.filter("n > 3").join(
         parts.select(F.col("node").alias("p"), "root"), F.col("node") == F.col("p"), "left"
     ).select("entry", "key", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("entry", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     mixed = mixed.filter("low <> high").select(F.col("entry").alias("e"), F.col("key").alias("k"))
     inside = placed.join(mixed, (F.col("entry") == F.col("e")) & (F.col("key") == F.col("k")), "left_semi")
-    inside = stored(inside.select(F.col("node").alias("i"), "root").distinct(), "mixed-nodes")
+    inside = stored(inside.select(F.col("node").alias("i")).distinct(), "mixed-nodes")
     mixed_texts = stored(texts.join(inside, F.col("node") == F.col("i"), "left_semi"), "mixed-texts")
-    tokens = rarest(mixed_texts).join(inside, F.col("node") == F.col("i")).drop("i")
-    tokens = stored(tokens, "rare-shingles")
-    # Only pairs of two classes matter. A shingle's largest class, which may be a group of any size, is
-    # never joined with itself, and shingles of one class are left out.
+    return stored(rarest(mixed_texts), "rare-shingles")
+
+
+def by_class(tokens: DataFrame, parts: DataFrame) -> DataFrame:
+    """The rare shingles that texts of several classes hold, with the root of the text's class and
+    whether that is the shingle's largest class."""
+    known = parts.select(F.col("node").alias("p"), "root")
+    tokens = tokens.join(known, F.col("node") == F.col("p"), "left").drop("p")
+    tokens = tokens.withColumn("root", F.coalesce("root", "node"))
     classes_of = tokens.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(
         F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("classes")
     )
     classes_of = classes_of.filter("classes > 1").select(F.col("token").alias("t"), "main")
     tokens = tokens.join(classes_of, F.col("token") == F.col("t")).drop("t")
-    tokens = stored(tokens.withColumn("main", F.col("root") == F.col("main")), "rare-shingles")
-    names = ("token", "node", "size", "rank", "root", "main")
-    smaller = tokens.filter("near").select(*[F.col(c).alias(f"{c}_s") for c in names])
-    larger = tokens.select(*names)
+    return stored(tokens.withColumn("main", F.col("root") == F.col("main")), "rare-shingles")
+
+
+def beside(tokens: DataFrame) -> DataFrame:
+    return tokens.select(*[F.col(c).alias(f"{c}_s") for c in ("token", "node", "size", "rank", "root", "main")])
+
+
+def may_reach() -> Column:
+    """Whether two texts of different classes that hold a shingle can be similar."""
     rest = F.least(F.col("size") - F.col("rank"), F.col("size_s") - F.col("rank_s"))
     need = F.ceil((F.col("size") + F.col("size_s")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9)
-    possible = (
+    return (
         (F.col("token") == F.col("token_s"))
         & (F.col("root") != F.col("root_s"))
-        & (F.col("size_s") <= F.col("size"))
         & (F.col("size_s") >= F.col("size") * SIMILARITY - 1e-9)
+        & (F.col("size") >= F.col("size_s") * SIMILARITY - 1e-9)
         # What is left of both after their first shared shingle must suffice.
         & (rest >= need)
     )
-    pairs = larger.filter("NOT main").join(smaller, possible)
-    pairs = pairs.unionAll(larger.filter("main").join(smaller.filter("NOT main_s"), possible))
+
+
+def typical_pairs(tokens: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b): each text outside a shingle's largest class with some typical texts of that class, in which
+    few rarer shingles come before it. A text gets at most FIRST of them, those that share most with it;
+    the rows grow with the shingles and not with the size of a class."""
+    slot = F.pmod(F.xxhash64("node", "token"), F.lit(TYPICAL))
+    held = tokens.filter("main").groupBy("token", slot.alias("slot"))
+    held = held.agg(F.min(F.struct(F.col("rank") / F.col("size"), "node", "size", "rank", "root")).alias("e"))
+    typical = held.select("token", "e.node", "e.size", "e.rank", "e.root", F.lit(True).alias("main"))
+    pairs = tokens.filter("NOT main").join(beside(typical), may_reach())
+    pairs = pairs.groupBy("node", "node_s").agg(F.count(F.lit(1)).alias("shared"))
+    turn = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("shared"), "node_s"))
+    pairs = pairs.withColumn("turn", turn).filter(F.col("turn") <= FIRST)
+    return pairs.select(*ordered(F.col("node"), F.col("node_s"))).distinct().join(known, ["a", "b"], "left_anti")
+
+
+def missing_pairs(tokens: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b, shared): pairs of texts that may be similar and were not compared; `shared` counts the
+    rare shingles that both hold.
+
+    Only pairs of two classes matter. A shingle's largest class, which may be a group of any size, is
+    never joined with itself, and shingles of one class are left out."""
+    smaller, smaller_first = beside(tokens.filter("near")), F.col("size_s") <= F.col("size")
+    pairs = tokens.filter("NOT main").join(smaller, may_reach() & smaller_first)
+    pairs = pairs.select("node", "node_s").unionAll(
+        tokens.filter("main").join(smaller.filter("NOT main_s"), may_reach() & smaller_first).select("node", "node_s")
+    )
     pairs = pairs.groupBy(*ordered(F.col("node"), F.col("node_s"))).agg(F.count(F.lit(1)).alias("shared"))
     return pairs.join(known, ["a", "b"], "left_anti")
 
@@ -273,7 +313,8 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Within a bucket (texts that share an entry) each text is compared with two centres, others in
     each entry's buckets, which joins most of them. Where a bucket then still holds texts of several
-    classes, every pair of these that can be similar is found by its rarest shingles. Such pairs are
+    classes, these are first held against typical texts of the classes that hold their rarest shingles;
+    then every pair of different classes that can be similar is found by these shingles. Such pairs are
     compared a few at a time for each two classes, those that share most first, until all are or their
     classes are one. So a bucket of copies costs a few comparisons per text, and no two similar
     texts of a bucket stay apart.
@@ -324,8 +365,18 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = stored(pairs, "pairs")
     links = stored(compared(pairs, texts), "links")
     parts = stored(components(links), "parts")
-    left = stored(missing_pairs(buckets, texts, parts, pairs), "candidates")
-    together = 16
+    tokens = mixed_shingles(buckets, texts, parts)
+    # Most texts beside a large class are similar to a typical text of it; these join it first, so that
+    # few are left to be held against all of it.
+    for _ in range(ROUNDS):
+        some = stored(typical_pairs(by_class(tokens, parts), pairs), "pairs")
+        more = stored(compared(some, texts), "links")
+        if more.isEmpty():
+            break
+        pairs, links = pairs.union(some), links.union(more)
+        parts = stored(components(links), "parts")
+    left = stored(missing_pairs(by_class(tokens, parts), pairs), "candidates")
+    together = FIRST
     while not left.isEmpty():
         left = rooted(left, parts)
         turn = F.row_number().over(Window.partitionBy("ra", "rb").orderBy(F.desc("shared"), "a", "b"))

@@ -143,6 +143,24 @@ def test_no_link_is_lost_inside_templates(spark):
     assert found == want
 
 
+def test_candidates_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    """Texts at the edge of a large group of near copies join it by a few of its texts."""
+    rng = random.Random(5)
+    base = " ".join(words(rng, 60))
+    texts = [edited(rng, base, rng.choice([0, 1, 1, 2, 2, 3])) for _ in range(600)]
+    held, kept = [], near_duplicates.stored
+
+    def stored(df, name):
+        out = kept(df, name)
+        held.extend([out.count()] if name == "candidates" else [])
+        return out
+
+    monkeypatch.setattr(near_duplicates, "stored", stored)
+    found = near_duplicates.near_duplicates(docs_of(spark, texts))
+    assert len({r.class_id for r in found.collect()}) < 300
+    assert held[0] < 2 * len(texts)
+
+
 # Token files
 
 
