@@ -10,6 +10,7 @@ from stationlab.functions.dates import day_of, derive_date_parts, month_of
 from stationlab.operators.prep import parse_stations_fixed_width, station_line_fault
 from stationlab.operators.sampling import sample_observations
 from stationlab.schemas import OBSERVATION, RAW_DAILY, STATION, STORED_OBSERVATION
+from stationlab.session import setting
 
 
 def read_observations(spark: SparkSession, path: str, format: str = "csv") -> DataFrame:
@@ -89,8 +90,12 @@ def rejected_rows(checked: DataFrame) -> DataFrame:
 
 def store_checked(checked: DataFrame, path: str) -> None:
     """Kept and rejected rows as the partitions `rejected=false` and `rejected=true` of one table,
-    from one read of the files."""
-    checked.withColumn("rejected", F.col("fault").isNotNull()).write.partitionBy("rejected").parquet(path)
+    from one read of the files.
+
+    Each task keeps a writer open for either partition. Spark's default sorts a task's rows by partition
+    first, which holds all of them."""
+    with setting(checked.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+        checked.withColumn("rejected", F.col("fault").isNotNull()).write.partitionBy("rejected").parquet(path)
 
 
 def read_filtered_years(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from observation_tables import observation_rows
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from stationlab.operators import quality
 from stationlab.plans import report
@@ -190,3 +191,23 @@ def test_generator_is_repeatable_and_complete(spark):
 
 def test_observation_rows_helper(spark):
     assert observation_rows(spark, [("A", 20201231, "TMAX", 1.0)]).first().month == 12
+
+
+def test_storing_checked_rows_does_not_sort_them(spark, tmp_path, monkeypatch):
+    """Without two open writers Spark sorts all rows of a task by partition before it writes them."""
+    lines = "".join(f"A,2020010{i % 9 + 1},TMAX,{i if i % 3 else ''},,,7,\n" for i in range(30))
+    checked = sources.read_raw_checked(spark, write(tmp_path / "raw.csv", lines))
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    held, parquet = [], DataFrameWriter.parquet
+
+    def watched(self, *args):
+        held.append(spark.conf.get(writers))
+        return parquet(self, *args)
+
+    before = spark.conf.get(writers)
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    sources.store_checked(checked, f"{tmp_path}/stored")
+    assert held == ["2"] and spark.conf.get(writers) == before
+    stored = spark.read.parquet(f"{tmp_path}/stored")
+    sizes = {str(r.rejected).lower(): r["count"] for r in stored.groupBy("rejected").count().collect()}
+    assert sizes == {"true": 10, "false": 20}
