@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationlab.llm.common import Published, opened
-from stationlab.session import qualified
+from stationlab.session import qualified, setting
 
 SEQ_LEN = 2048
 BATCH = 64
 END_ID = 1
-KNOWN_WORDS = 700_000
+KNOWN_WORDS = 300_000
+# Texts encoded at a time.
+TEXTS = 1000
 # First characters by which documents of one id are ordered.
 TOLD_APART = 64
 # Texts, and parts of them that have the same ids together if runs can be encoded one by one.
@@ -97,9 +99,10 @@ class Encoder:
     def learn(self, runs: list[str]) -> np.ndarray:
         """Two numbers of known pieces for each run."""
         pieces = [piece for run in runs for piece in parted(run)]
-        if len(self.known) + len(pieces) > KNOWN_WORDS:
-            self.forget()
         new = list(dict.fromkeys(x for x in pieces if x not in self.known))
+        if len(self.known) + len(new) > KNOWN_WORDS:
+            self.forget()
+            new = list(dict.fromkeys(x for x in pieces if x not in self.known))
         if new:
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             ids, sizes = self.ask(new)
@@ -192,8 +195,8 @@ def write_token_files(
 
         try:
             for batch in batches:
-                for low in range(0, batch.num_rows, 1000):
-                    texts = batch.column("text").slice(low, 1000)
+                for low in range(0, batch.num_rows, TEXTS):
+                    texts = batch.column("text").slice(low, TEXTS)
                     if out is None:
                         out = Published(folder, f"tokens-{part:05d}.arrow")
                         sink = pa.ipc.new_stream(out.stream, schema)
@@ -204,7 +207,7 @@ def write_token_files(
                     n = len(sizes)
                     yield pa.record_batch(
                         [
-                            batch.column("doc_id").slice(low, 1000),
+                            batch.column("doc_id").slice(low, TEXTS),
                             pa.array(np.full(n, part, np.int32)),
                             pa.array([out.name] * n),
                             pa.array(ends - sizes),
@@ -238,7 +241,9 @@ def write_token_files(
         F.rand(11).alias("tie"),
     )
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    ordered.mapInArrow(write, INDEX).write.parquet(f"{folder}/index")
+    # Larger batches would only wait, in Spark's and in Python's memory.
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS)):
+        ordered.mapInArrow(write, INDEX).write.parquet(f"{folder}/index")
 
 
 class TokenFile:

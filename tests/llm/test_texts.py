@@ -176,6 +176,16 @@ def test_encoder_gives_the_ids_of_whole_texts(texts):
     assert ids.tolist() == [i for x in whole for i in x]
 
 
+def test_known_pieces_do_not_make_an_encoder_forget(monkeypatch):
+    encoder = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(token_files, "KNOWN_WORDS", 50)
+    runs = [f"w{i}" for i in range(30)]
+    encoder.learn(runs)
+    known = encoder.known
+    encoder.learn(runs)
+    assert encoder.known is known
+
+
 def test_tokenizers_that_keep_white_space_get_whole_texts():
     texts = ["Two  words.", "a\n\tb", None, "", "x " * 50 + "END.,"]
     for name, by_runs in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
