@@ -208,8 +208,9 @@ def rarest(texts: DataFrame) -> DataFrame:
     Shingles are put in the order of how many of these texts hold them. Similar texts share enough
     of them that one lies among the first of both, far beyond what all texts of a template share.
     `near` marks those that the smaller text of a pair needs, the larger one needs them all."""
-    held = stored(with_shingles(texts), "shingles")
-    single = held.select("node", F.size("s").alias("size"), F.explode("s").alias("token"))
+    # Three steps read these rows; stored as rows, each shingle is made one once.
+    single = with_shingles(texts).select("node", F.size("s").alias("size"), F.explode("s").alias("token"))
+    single = stored(single, "shingles")
     often = single.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     often = stored(often.withColumn("times", F.col("n")), "shingle-counts")
     ordered = looked_up(single, often, ["token"]).groupBy("node", "size").agg(

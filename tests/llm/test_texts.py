@@ -1,6 +1,7 @@
 """Near-duplicates, token files, outliers, toxicity, languages, decontamination."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -14,6 +15,7 @@ from tokenizers import Tokenizer
 
 from stationlab.llm import decontamination as dc
 from stationlab.llm import language, near_duplicates, outliers, token_files, toxicity
+from stationlab.llm.common import stored
 from stationlab.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -186,6 +188,14 @@ def test_known_pieces_do_not_make_an_encoder_forget(monkeypatch):
     assert encoder.known is known
 
 
+def test_shingles_become_rows_once(spark):
+    texts = [" ".join(f"w{(i * 7 + j) % 90}" for j in range(30)) for i in range(40)]
+    df = stored(spark.createDataFrame([(str(i).encode(), t) for i, t in enumerate(texts)], "node binary, text string"), "t")
+    found = near_duplicates.rarest(df)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() and not re.findall(r"(?<!pos)explode\(", plan)
+
+
 def test_tokenizers_that_keep_white_space_get_whole_texts():
     texts = ["Two  words.", "a\n\tb", None, "", "x " * 50 + "END.,"]
     for name, by_runs in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
