@@ -51,14 +51,15 @@ def file_schema(seq_len: int, ids: pa.DataType) -> pa.Schema:
     )
 
 
-def parted(run: str) -> tuple[str, str]:
-    """A run as two pieces with the same ids: full stops and commas after a letter or digit are
+def parted(runs: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Runs as two pieces each with the same ids: full stops and commas after a letter or digit are
     always tokens of their own, and case never matters outside special tokens."""
-    core = run.rstrip(".,")
-    if not core or not (core[-1].isalpha() or core[-1] in "0123456789"):
-        core = run
-    tail = run[len(core) :]
-    return (core.lower() if core.isascii() and "<" not in core else core), tail
+    core = pc.utf8_rtrim(runs, ".,")
+    ends = pc.match_substring_regex(core, r"[\p{L}0-9]\z")
+    core = pc.if_else(ends, core, runs)
+    tail = pc.if_else(ends, pc.replace_substring_regex(runs, r"(?s)^.*[^.,]", ""), "")
+    plain = pc.and_not(pc.string_is_ascii(core), pc.match_substring(core, "<"))
+    return pc.if_else(plain, pc.ascii_lower(core), core), tail
 
 
 class Encoder:
@@ -67,7 +68,7 @@ class Encoder:
     This holds for tokenizers that, as the given one, drop white space, ignore case and split letters
     from punctuation: the ids of a text are then those of its runs, one after another. Others, told
     by what they make of PROBES, get whole texts. At most KNOWN_WORDS pieces are remembered; beyond
-    that the memory starts anew.
+    that those stay which the texts at hand hold.
     """
 
     def __init__(self, path: str):
@@ -90,26 +91,38 @@ class Encoder:
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter((i for some in ids for i in some), self.type, int(sizes.sum())), sizes
 
-    def forget(self) -> None:
-        self.known: dict[str, int] = {"": 0}
-        self.flat = np.zeros(0, self.type)
-        self.lengths = np.zeros(1, np.int64)
-        self.starts = np.zeros(2, np.int64)
+    def forget(self, kept: list[str] | None = None) -> None:
+        """Forgets all pieces but the known ones among `kept`."""
+        kept = ["", *(x for x in kept if x and x in self.known)] if kept else [""]
+        if len(kept) == 1:
+            self.flat, self.lengths = np.zeros(0, self.type), np.zeros(1, np.int64)
+        else:
+            number = np.fromiter(map(self.known.__getitem__, kept), np.int64, len(kept))
+            self.flat, self.lengths = self.ids_of(number), self.lengths[number]
+        self.known: dict[str, int] = dict(zip(kept, range(len(kept))))
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
+
+    def ids_of(self, number: np.ndarray) -> np.ndarray:
+        """The ids of known pieces, one piece after another."""
+        sizes = self.lengths[number]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.starts[number] - (ends - sizes), sizes) + np.arange(ends[-1])]
 
-    def learn(self, runs: list[str]) -> np.ndarray:
+    def learn(self, runs: pa.Array | list[str]) -> np.ndarray:
         """Two numbers of known pieces for each run."""
-        pieces = [piece for run in runs for piece in parted(run)]
-        new = list(dict.fromkeys(x for x in pieces if x not in self.known))
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.forget()
-            new = list(dict.fromkeys(x for x in pieces if x not in self.known))
+        pieces = pa.concat_arrays(parted(pa.array(runs, pa.large_string()))).dictionary_encode()
+        distinct = pieces.dictionary.to_pylist()
+        new = [x for x in distinct if x not in self.known]
         if new:
+            if len(self.known) + len(new) > KNOWN_WORDS:
+                self.forget(distinct)
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             ids, sizes = self.ask(new)
             self.flat = np.concatenate([self.flat, ids])
             self.lengths = np.concatenate([self.lengths, sizes])
             self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        return number[np.asarray(pieces.indices)].reshape(2, -1).T.ravel()
 
     def ask(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per word) from the tokenizer, which gets a few words at a time as one text;
@@ -136,13 +149,11 @@ class Encoder:
         offsets = np.asarray(runs.offsets, dtype=np.int64) - int(runs.offsets[0].as_py())
         if not len(coded):
             return np.zeros(0, self.type), np.zeros(len(texts), np.int64)
-        pairs = self.learn(coded.dictionary.to_pylist()).reshape(-1, 2)
+        pairs = self.learn(coded.dictionary).reshape(-1, 2)
         number = pairs[np.asarray(coded.indices)].ravel()
-        sizes = self.lengths[number]
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.starts[number] - (ends - sizes), sizes) + np.arange(ends[-1])
+        ends = np.cumsum(self.lengths[number])
         per_text = np.diff(np.concatenate([[0], ends])[2 * offsets])
-        return self.flat[at], per_text
+        return self.ids_of(number), per_text
 
 
 @cache

@@ -188,6 +188,20 @@ def test_known_pieces_do_not_make_an_encoder_forget(monkeypatch):
     assert encoder.known is known
 
 
+def test_full_encoders_keep_the_pieces_at_hand(monkeypatch):
+    encoder = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(token_files, "KNOWN_WORDS", 50)
+    asked, ask = [], encoder.ask
+    monkeypatch.setattr(encoder, "ask", lambda words: asked.append(len(words)) or ask(words))
+    runs = [f"Word{i}." for i in range(40)]
+    encoder.learn(runs)
+    more = [f"more{i}," for i in range(25)]
+    numbers = encoder.learn(runs[20:] + more)
+    assert asked == [41, 26]
+    want = [encoder.tokenizer.encode(run, add_special_tokens=False).ids for run in runs[20:] + more]
+    assert encoder.ids_of(numbers).tolist() == [i for ids in want for i in ids]
+
+
 def test_shingles_become_rows_once(spark):
     texts = [" ".join(f"w{(i * 7 + j) % 90}" for j in range(30)) for i in range(40)]
     df = stored(spark.createDataFrame([(str(i).encode(), t) for i, t in enumerate(texts)], "node binary, text string"), "t")
