@@ -276,6 +276,19 @@ def test_parts_asked_together_have_their_own_tokens(parts):
     token_alignment.encoder_of(A, B).forget()
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("ab \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u2003\u3000é")), max_size=9), max_size=6))
+def test_arrow_cuts_texts_as_the_pattern_does(texts):
+    assert token_alignment.cut(texts).to_pylist() == [token_alignment.CUT.split(t) for t in texts]
+
+
+def test_even_texts_are_cut_by_arrow_alone(monkeypatch):
+    encoder = token_alignment.Encoder(A, B)
+    want = [x.to_pylist() for x in encoder.lists(["one two.\nthree", "four"])]
+    monkeypatch.setattr(token_alignment, "CUT", None)
+    assert [x.to_pylist() for x in encoder.lists(["one two.\nthree", "four"])] == want
+
+
 def test_process_forgets_beyond_its_bound(monkeypatch):
     monkeypatch.setattr(token_alignment, "REMEMBERED", 50)
     encoder = token_alignment.Encoder(A, B)
