@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 from contextlib import suppress
-from functools import reduce
+from functools import reduce, wraps
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,6 +15,11 @@ from pyspark.sql import functions as F
 from stationlab.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
+# Rows of texts that go to Python at a time; larger batches would only wait, in Spark's and in Python's memory.
+TEXTS = 1000
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# What forgets the objects that an operator keeps in a Python process from task to task.
+KEPT: dict[str, Callable[[], None]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +33,36 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system, which the allocators of this Python process hold otherwise."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def lean(owner: str) -> Callable[[Callable], Callable]:
+    """For the Python work of an operator's tasks. Spark keeps a Python process for tasks of later stages,
+    so a task forgets what other operators keep there, and leaves no freed memory behind."""
+
+    def of(work: Callable) -> Callable:
+        @wraps(work)
+        def run(batches: Iterator) -> Iterator:
+            for name, forget in KEPT.items():
+                if name != owner:
+                    forget()
+            give_back()
+            try:
+                yield from work(batches)
+            finally:
+                give_back()
+
+        return run
+
+    return of
+
+
 def n_words(text: Column) -> Column:
     """Words of a text as a long; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

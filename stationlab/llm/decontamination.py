@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlab.llm.common import opened, stored
+from stationlab.llm.common import KEPT, lean, opened, stored
 from stationlab.session import path_exists, scratch_path
 
 RATE = 0.06
@@ -170,10 +170,14 @@ def matcher_of(folder: str, rate: float) -> Matcher:
     return Matcher(sorted(known, key=lambda x: (x[0] is None, x)), rate)
 
 
+KEPT["decontamination"] = matcher_of.cache_clear
+
+
 def hits_of(rows: DataFrame, folder: str, rate: float) -> DataFrame:
     """The columns of `rows` but the text, with the hits of a block, where there are any."""
     kept = [f for f in rows.schema.fields if f.name != "text"]
 
+    @lean("decontamination")
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = matcher_of(folder, rate)
         names = ("item_id", "distance", "begin", "end")
@@ -230,6 +234,7 @@ def clean_of(docs: DataFrame, folder: str, rate: float) -> DataFrame:
     """The rows in which no item of a block is found."""
 
     @F.pandas_udf("boolean")
+    @lean("decontamination")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         matcher = matcher_of(folder, rate)
         for batch in batches:

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlab.llm.common import components, looked_up, stored
+from stationlab.llm.common import BATCH_ROWS, TEXTS, components, lean, looked_up, stored
+from stationlab.session import setting
 
 SHINGLE = 5
 ENTRIES = 16
@@ -144,6 +145,7 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
 
 def sketches(text: Column) -> Column:
     @F.pandas_udf("array<long>")
+    @lean("near_duplicates")
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([sketch(text) for text in batch])
@@ -153,6 +155,7 @@ def sketches(text: Column) -> Column:
 
 def similarities(left: Column, right: Column) -> Column:
     @F.pandas_udf("double")
+    @lean("near_duplicates")
     def udf(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for some, others in batches:
             held: dict[str, np.ndarray] = {}
@@ -189,6 +192,7 @@ def ordered(a: Column, b: Column) -> list[Column]:
 def with_shingles(texts: DataFrame) -> DataFrame:
     """(node, s): the labelled shingles of texts (node, text), a few texts at a time."""
 
+    @lean("near_duplicates")
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, SLICE):
@@ -320,6 +324,11 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes are one. So a bucket of copies costs a few comparisons per text, and no two similar
     texts of a bucket stay apart.
     """
+    with setting(docs.sparkSession, BATCH_ROWS, str(TEXTS)):
+        return _classes(docs)
+
+
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sketched = stored(
         docs.select("doc_id", node_of(F.col("text")).alias("node"), sketches(F.col("text")).alias("sketch")),
         "sketches",

@@ -21,15 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stationlab.llm.common import Published, opened
+from stationlab.llm.common import BATCH_ROWS, KEPT, TEXTS, Published, lean, opened
 from stationlab.session import qualified, setting
 
 SEQ_LEN = 2048
 BATCH = 64
 END_ID = 1
 KNOWN_WORDS = 300_000
-# Texts encoded at a time.
-TEXTS = 1000
 # First characters by which documents of one id are ordered.
 TOLD_APART = 64
 # Texts, and parts of them that have the same ids together if runs can be encoded one by one.
@@ -162,6 +160,9 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 
 
+KEPT["token_files"] = encoder_of.cache_clear
+
+
 def _close_documents(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> np.ndarray:
     return np.insert(ids, np.cumsum(sizes), end_id)
 
@@ -184,6 +185,7 @@ def write_token_files(
 
     folder = qualified(docs.sparkSession, folder)
 
+    @lean("token_files")
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer)
         schema = file_schema(seq_len, pa.from_numpy_dtype(encoder.type))
@@ -252,8 +254,7 @@ def write_token_files(
         F.rand(11).alias("tie"),
     )
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    # Larger batches would only wait, in Spark's and in Python's memory.
-    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS)):
+    with setting(docs.sparkSession, BATCH_ROWS, str(TEXTS)):
         ordered.mapInArrow(write, INDEX).write.parquet(f"{folder}/index")
 
 
@@ -304,6 +305,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")
     )
 
+    @lean("token_files")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, opened_file = None, None
         for batch in batches:

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlab.llm.common import stored
+from stationlab.llm.common import lean, stored
 
 WINDOW = 12
 # The sample of labelled texts: distinct whole texts, about so many bytes of each label, each text
@@ -289,6 +289,7 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def learnt(docs: DataFrame, labels: DataFrame) -> Model:
     """The model, fitted by one task from the bounded sample; the driver gets its few kilobytes."""
 
+    @lean("toxicity")
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, left = [], [ORDINARY_BYTES * 1.1, TOXIC_BYTES * 1.1]
         for batch in batches:
@@ -311,6 +312,7 @@ def scored(text: Column, model: Model) -> Column:
     """The score of each text, whole; null and empty texts are scored as texts without words."""
 
     @F.pandas_udf("double")
+    @lean("toxicity")
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = model.scores()
         for batch in batches:

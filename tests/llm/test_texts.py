@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -15,7 +16,7 @@ from tokenizers import Tokenizer
 
 from stationlab.llm import decontamination as dc
 from stationlab.llm import language, near_duplicates, outliers, token_files, toxicity
-from stationlab.llm.common import stored
+from stationlab.llm.common import BATCH_ROWS, TEXTS, give_back, lean, stored
 from stationlab.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -210,6 +211,38 @@ def test_shingles_become_rows_once(spark):
     assert found.count() and not re.findall(r"(?<!pos)explode\(", plan)
 
 
+def test_tasks_forget_what_other_operators_keep():
+    def work(batches):
+        token_files.encoder_of(TOKENIZER)
+        yield from batches
+
+    token_files.encoder_of.cache_clear()
+    assert list(lean("token_files")(work)(iter([1, 2]))) == [1, 2]
+    assert list(lean("token_files")(lambda batches: iter(batches))(iter([]))) == []
+    assert token_files.encoder_of.cache_info().currsize == 1
+    assert list(lean("near_duplicates")(lambda batches: iter(batches))(iter([3]))) == [3]
+    assert token_files.encoder_of.cache_info().currsize == 0
+
+
+def test_freed_memory_is_given_back():
+    def held():
+        return int(re.search(r"Pss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+    strings = [b"%d" % i * 1000 for i in range(30_000)]
+    pinned = strings[::100]
+    most = held()
+    del strings
+    give_back()
+    assert pinned and held() < most - 50
+
+
+def test_near_duplicates_send_few_texts_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "_classes", lambda docs: docs.sparkSession.conf.get(BATCH_ROWS))
+    before = spark.conf.get(BATCH_ROWS)
+    assert near_duplicates.classes(docs_of(spark, ["a"])) == str(TEXTS)
+    assert spark.conf.get(BATCH_ROWS) == before
+
+
 def test_tokenizers_that_keep_white_space_get_whole_texts():
     texts = ["Two  words.", "a\n\tb", None, "", "x " * 50 + "END.,"]
     for name, by_runs in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
